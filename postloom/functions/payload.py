@@ -12,6 +12,7 @@ import math
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from postloom.functions.numbers import safe_int
 from postloom.functions.text import anchor_text, first_nonempty
@@ -43,7 +44,7 @@ def _literal_json(text: str | None) -> str | None:
         return None
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def python_literal_to_json(texts: pd.Series) -> pd.Series:
     return texts.map(_literal_json)
 

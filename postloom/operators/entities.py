@@ -11,6 +11,7 @@ import difflib
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from postloom.functions.text import token
 
@@ -23,7 +24,7 @@ NOISE_PHRASES = (
 )
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def sequence_ratio(keys: pd.Series, names: pd.Series) -> pd.Series:
     """Ratcliff-Obershelp similarity; the lookup key comes first, because the measure is not symmetric."""
     matcher = difflib.SequenceMatcher()

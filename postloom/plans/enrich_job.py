@@ -64,68 +64,59 @@ def run_clean(spark: SparkSession, cfg: EnrichConfig, counts: dict[str, int]) ->
     return posts
 
 
-def _gate(rows: DataFrame, vocab: Vocabulary, text_and_model: bool) -> DataFrame:
-    out = labels.normalize_labels(rows, vocab)
-    return labels.require_model(out) if text_and_model else out
-
-
 def run_annotate(spark: SparkSession, cfg: EnrichConfig, misses: DataFrame, counts: dict[str, int]) -> list[DataFrame]:
     """Label the misses chunk by chunk.
 
-    Each chunk's answers are written before anything reads them, so a retried task cannot leave two answers in use, and
-    each chunk's valid answers join the cache at once, so a killed run resumes after its last finished chunk.
+    Each chunk's judged answers are written before anything reads them, so a retried task cannot leave two answers in
+    use, and its valid answers join the cache at once, so a killed run resumes after its last finished chunk.
     """
     if cfg.labeller is None:
         raise ValueError("a labeller is needed unless skip_annotate is set")
     work = scratch_path(spark, "misses")
     misses.withColumn("chunk", ann.chunk_of("tweet_id", cfg.chunks)).write.partitionBy("chunk").parquet(work)
+    parts = spark.read.schema(misses.schema.add("chunk", "int")).parquet(work)
     fresh = []
     for chunk in range(cfg.chunks):
-        todo = spark.read.schema(misses.schema.add("chunk", "int")).parquet(work)
-        todo = todo.filter(F.col("chunk") == chunk).drop("chunk")
         answered, seen = counted(
             ann.annotate(
-                todo, cfg.labeller, concurrency=cfg.concurrency, call_pause=cfg.call_pause, retry_wait=cfg.retry_wait
+                parts.filter(F.col("chunk") == chunk).drop("chunk"),
+                cfg.labeller,
+                concurrency=cfg.concurrency,
+                call_pause=cfg.call_pause,
+                retry_wait=cfg.retry_wait,
             ),
             calls=count_where(F.col("call_error").isNull()),
         )
-        answers = materialize(answered, "answers")
-        counts["calls"] = counts.get("calls", 0) + seen.get["calls"]
-        gated = _gate(answers.withColumn("model", F.lit(cfg.model_name)), cfg.vocabulary, False)
+        judged = labels.normalize_labels(answered.withColumn("model", F.lit(cfg.model_name)), cfg.vocabulary)
         # A failed call has no response to judge; its own error is the one to report.
-        gated = gated.withColumn(
-            "errors", F.when(F.col("call_error").isNotNull(), F.array("call_error")).otherwise(F.col("errors"))
-        ).drop("call_error")
-        valid = materialize(labels.valid_rows(gated), "valid")
+        errors = F.when(F.col("call_error").isNotNull(), F.array("call_error")).otherwise(F.col("errors"))
+        judged = materialize(judged.withColumn("errors", errors).drop("call_error"), "answers")
+        counts["calls"] = counts.get("calls", 0) + seen.get["calls"]
+        valid = labels.valid_rows(judged)
         cache_store.append_cache(cache_store.cache_entries(valid, cfg.model_name), cfg.cache)
-        counts["dead"] = counts.get("dead", 0) + _write_dead(gated, cfg)
+        counts["dead"] = counts.get("dead", 0) + _write_dead(judged, cfg)
         fresh.append(valid)
     return fresh
 
 
-def _write_dead(gated: DataFrame, cfg: EnrichConfig) -> int:
-    dead, seen = counted(labels.dead_letters(gated), dead=F.count(F.lit(1)))
+def _write_dead(judged: DataFrame, cfg: EnrichConfig) -> int:
+    dead, seen = counted(labels.dead_letters(judged), dead=F.count(F.lit(1)))
     cache_store.append_dead_letters(dead, cfg.dead_letters)
     return seen.get["dead"]
 
 
 def run_label(spark: SparkSession, cfg: EnrichConfig, posts: DataFrame, counts: dict[str, int]) -> DataFrame:
     """Labelled posts from cache and labeller; rejects go to the dead-letter log. Spam never reaches the labeller."""
-    looked_up = materialize(
-        cache_ops.cache_lookup(clean.without_spam(posts), cache_store.read_cache(spark, cfg.cache)), "lookup"
-    )
+    cache = cache_store.read_cache(spark, cfg.cache)
+    looked_up = materialize(cache_ops.cache_lookup(clean.without_spam(posts), cache), "lookup")
     hits, seen = counted(looked_up.filter(F.col("response").isNotNull()), hits=F.count(F.lit(1)))
-    gated = _gate(hits, cfg.vocabulary, True)
-    parts = [materialize(labels.valid_rows(gated), "hits")]
-    counts["hits"] = seen.get["hits"]
-    counts["dead"] = _write_dead(_gate(looked_up.filter("response is not null"), cfg.vocabulary, True), cfg)
-    counts["calls"] = 0
+    judged = materialize(labels.require_model(labels.normalize_labels(hits, cfg.vocabulary)), "hits")
+    counts.update(hits=seen.get["hits"], dead=_write_dead(judged, cfg), calls=0)
+    out = labels.valid_rows(judged)
     if not cfg.skip_annotate:
         misses = looked_up.filter(F.col("response").isNull()).drop("response", "model")
-        parts += run_annotate(spark, cfg, misses, counts)
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
+        for part in run_annotate(spark, cfg, misses, counts):
+            out = out.unionByName(part)
     return out.withColumnRenamed("model", "coded_by").drop("response")
 
 
