@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from postloom.functions.evaluation import once
 from postloom.functions.numbers import safe_int
 from postloom.functions.text import anchor_text, first_nonempty
 
@@ -50,34 +51,29 @@ def python_literal_to_json(texts: pd.Series) -> pd.Series:
 
 
 def with_payload(df: DataFrame, source: str, target: str) -> DataFrame:
-    """Add VARIANT column ``target`` parsed from string column ``source``.
+    """Add VARIANT column ``target`` parsed from string column ``source``; a wrapped post is unwrapped.
 
     A Python UDF runs for every row whatever ``when`` surrounds it, so rows that need no fallback hand it a null. The
     literal reading wins where the two readings of an escaped slash differ.
     """
     text = F.col(source)
     parsed, literal = f"_{target}_json", f"_{target}_literal"
-    out = df.withColumn(parsed, F.try_parse_json(text))
+    out = once(df, **{parsed: F.try_parse_json(text)})
     needs_python = (text != "") & (F.col(parsed).isNull() | text.contains("\\/"))
     out = out.withColumn(literal, python_literal_to_json(F.when(needs_python, text)))
-    out = out.withColumn(target, F.coalesce(F.try_parse_json(F.col(literal)), F.col(parsed)))
-    return out.drop(parsed, literal)
+    out = once(out, **{target: F.coalesce(F.try_parse_json(F.col(literal)), F.col(parsed))}).drop(parsed, literal)
+    wrapped = F.coalesce(_text(F.col(target), "$.__typename") == WRAPPER_TYPE, F.lit(False))
+    inner = F.try_variant_get(F.col(target), "$.tweet", "variant")
+    return once(out, **{target: F.when(wrapped, inner).otherwise(F.col(target))})
 
 
 def _text(v: Column, path: str) -> Column:
     return F.try_variant_get(v, path, "string")
 
 
-def _unwrapped(v: Column, path: str, kind: str = "string") -> Column:
-    """Read ``path`` of the post, whether or not it is wrapped."""
-    wrapped = F.coalesce(_text(v, "$.__typename") == WRAPPER_TYPE, F.lit(False))
-    return F.when(wrapped, F.try_variant_get(v, "$.tweet" + path[1:], kind)).otherwise(
-        F.try_variant_get(v, path, kind)
-    )
-
-
-def _is_json_string(v: Column) -> Column:
-    return F.schema_of_variant(v) == "STRING"
+def _json_kind(v: Column, path: str) -> Column:
+    """Schema text of the value at ``path``; null when it is absent."""
+    return F.schema_of_variant(F.try_variant_get(v, path, "variant"))
 
 
 def post_fields(v: Column) -> Column:
@@ -87,21 +83,18 @@ def post_fields(v: Column) -> Column:
     ``ok`` is false when a text field holds something that is no text, which rejects the row.
     """
     author = "$.core.user_results.result.legacy"
-    has_author = F.coalesce(F.schema_of_variant(_unwrapped(v, author, "variant")).startswith("OBJECT<"), F.lit(False))
-    has_author = has_author & (F.schema_of_variant(_unwrapped(v, author, "variant")) != "OBJECT<>")
-    location = _unwrapped(v, author + ".location", "variant")
-    lang = _unwrapped(v, "$.legacy.lang", "variant")
-    lang_text = _unwrapped(v, "$.legacy.lang")
-    falsy = lang_text.isNull() | lang_text.isin("", "0", "false")
+    has_author = F.coalesce(_json_kind(v, author).rlike("^OBJECT<[^>]"), F.lit(False))
+    lang = _text(v, "$.legacy.lang")
+    no_lang = lang.isNull() | lang.isin("", "0", "false")
     return F.struct(
-        safe_int(_unwrapped(v, "$.views.count")).alias("view_count"),
-        anchor_text(F.coalesce(_unwrapped(v, "$.source"), F.lit(""))).alias("source"),
-        F.when(falsy, F.lit("")).otherwise(lang_text).alias("lang"),
-        F.coalesce(F.when(has_author, _unwrapped(v, author + ".location")), F.lit("")).alias("user_location"),
-        F.when(has_author, safe_int(_unwrapped(v, author + ".followers_count"))).alias("followers_count"),
+        safe_int(_text(v, "$.views.count")).alias("view_count"),
+        anchor_text(F.coalesce(_text(v, "$.source"), F.lit(""))).alias("source"),
+        F.when(no_lang, F.lit("")).otherwise(lang).alias("lang"),
+        F.coalesce(F.when(has_author, _text(v, author + ".location")), F.lit("")).alias("user_location"),
+        F.when(has_author, safe_int(_text(v, author + ".followers_count"))).alias("followers_count"),
         (
-            F.coalesce(~has_author | location.isNull() | _is_json_string(location), F.lit(True))
-            & (falsy | F.coalesce(_is_json_string(lang), F.lit(True)))
+            (~has_author | F.coalesce(_json_kind(v, author + ".location") == "STRING", F.lit(True)))
+            & (no_lang | F.coalesce(_json_kind(v, "$.legacy.lang") == "STRING", F.lit(True)))
         ).alias("ok"),
     )
 
@@ -112,9 +105,7 @@ def author_fields(v: Column) -> Column:
 
     def pick(name: str) -> Column:
         return first_nonempty(
-            _unwrapped(v, f"{result}.core.{name}"),
-            _unwrapped(v, f"{result}.legacy.{name}"),
-            _unwrapped(v, f"$.legacy.{name}"),
+            _text(v, f"{result}.core.{name}"), _text(v, f"{result}.legacy.{name}"), _text(v, f"$.legacy.{name}")
         )
 
     return F.struct(pick("screen_name").alias("screen_name"), pick("name").alias("name"))

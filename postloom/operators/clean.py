@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postloom.functions import text
+from postloom.functions.evaluation import once
 from postloom.functions.numbers import safe_int
 from postloom.functions.payload import post_fields, with_payload
 from postloom.schemas import CLEANED_COLUMNS
@@ -31,13 +32,14 @@ def clean_posts(merged: DataFrame, *keep: str) -> DataFrame:
         text.strip(F.coalesce(F.col("tweet_id"), F.lit(""))).alias("tweet_id"),
         text.strip(F.coalesce(F.col("timestamp"), F.lit(""))).alias("created_at"),
         raw_text.alias("_text"),
-        text.clean_text(raw_text).alias("full_text"),
         *keep,
     )
+    df = once(df, full_text=text.clean_text(F.col("_text")))
+    df = once(df, is_spam=text.is_spam(F.col("full_text"), F.col("_text"))).drop("_text")
     usable = (F.col("tweet_id") != "") & (F.col("full_text") != "")
     # A rejected row's payload is not worth parsing.
     df = with_payload(df.withColumn("raw", F.when(usable, F.col("raw"))), "raw", "_payload")
-    df = df.withColumn("_post", post_fields(F.col("_payload"))).drop("raw", "_payload")
+    df = once(df, _post=post_fields(F.col("_payload"))).drop("raw", "_payload")
     return df.select(
         "tweet_id",
         "full_text",
@@ -51,7 +53,7 @@ def clean_posts(merged: DataFrame, *keep: str) -> DataFrame:
         safe_int(F.col("comments")).alias("reply_count"),
         F.col("_post.view_count").alias("view_count"),
         F.col("_post.user_location").alias("user_location"),
-        text.is_spam(F.col("full_text"), F.col("_text")).alias("is_spam"),
+        "is_spam",
         (usable & F.col("_post.ok")).alias("accepted"),
         *keep,
     )

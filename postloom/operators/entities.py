@@ -38,6 +38,10 @@ def sequence_ratio(keys: pd.Series, names: pd.Series) -> pd.Series:
     return pd.Series(out, dtype="float64")
 
 
+# Keeps the optimizer from copying the call into the filter on its result, which would run Python twice per pair.
+sequence_ratio = sequence_ratio.asNondeterministic()
+
+
 def bigrams(c: Column) -> Column:
     """Distinct pairs of neighbouring characters, with marks for both ends."""
     padded = F.concat(F.lit("\u0002"), c, F.lit("\u0003"))
@@ -57,8 +61,8 @@ def fuzzy_candidates(names: DataFrame, lookup: DataFrame, cutoff: float = CUTOFF
     """
     if not CUTOFF <= cutoff <= 1.0:
         raise ValueError(f"cutoff must lie in [{CUTOFF}, 1]: below, matches need not share a bigram")
-    left = names.select("name", bigrams(F.col("name")).alias("_nb")).withColumn("_b", F.explode("_nb"))
-    right = lookup.select("alias", "canonical", bigrams(F.col("alias")).alias("_ab")).withColumn("_b", F.explode("_ab"))
+    left = names.select("name", bigrams(F.col("name")).alias("_nb")).withColumn("_b", F.explode_outer("_nb"))
+    right = lookup.select("alias", "canonical", bigrams(F.col("alias")).alias("_ab")).withColumn("_b", F.explode_outer("_ab"))
     ln, la = F.length("name"), F.length("alias")
     slack = 1e-9
     near = left.join(right, "_b").filter(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from postloom.functions.evaluation import once
 from postloom.functions.numbers import safe_int
 from postloom.functions.payload import author_fields, image_links_json, with_payload
 from postloom.functions.text import first_nonempty
@@ -37,7 +38,7 @@ def fill_pair(first: Column, second: Column, extracted: Column) -> tuple[Column,
 def backfill_authors(df: DataFrame) -> DataFrame:
     """Fill handle and display name from each other and the payload, and the image list from the media payload."""
     out = with_payload(with_payload(df, "raw", "_raw"), "media", "_media")
-    out = out.withColumn("_author", author_fields(F.col("_raw")))
+    out = once(out, _author=author_fields(F.col("_raw")))
     handle, username = fill_pair(F.col("user_screen_name"), F.col("user_username"), F.col("_author.screen_name"))
     name, display = fill_pair(F.col("user_name"), F.col("user_displayname"), F.col("_author.name"))
     links = F.col("image_links")

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from postloom.functions.evaluation import once
 from postloom.functions.text import snake_token, token
 from postloom.schemas import DEAD_LETTER
 from postloom.vocabulary import FIELDS, Vocabulary
@@ -35,12 +36,12 @@ def _nonempty_string(item: Column, name: str) -> Column:
 
 def parse_response(df: DataFrame, response: str = "response") -> DataFrame:
     """Add ``_v`` (the response object, null if it is none) and the object items of each list field as ``_<list>``."""
-    v = F.try_parse_json(F.col(response))
     is_object = F.ltrim(F.col(response), F.lit(" \t\r\n")).startswith("{")
-    df = df.withColumn("_v", F.when(is_object, v))
-    raw = {f"_{f}": _field(F.col("_v"), f, "array<variant>") for f in (*LISTS, "products")}
-    df = df.withColumns(raw)
-    return df.withColumns({f"_{f}_objects": F.filter(f"_{f}", lambda e: _kind(e).startswith("OBJECT")) for f in LISTS})
+    df = once(df, _v=F.when(is_object, F.try_parse_json(F.col(response))))
+    df = once(df, **{f"_{f}": _field(F.col("_v"), f, "array<variant>") for f in (*LISTS, "products")})
+    return once(
+        df, **{f"_{f}_objects": F.filter(f"_{f}", lambda e: _kind(e).startswith("OBJECT")) for f in LISTS}
+    )
 
 
 def drop_parsed(df: DataFrame) -> DataFrame:
@@ -137,8 +138,8 @@ def gate_errors(vocab: Vocabulary) -> Column:
 
 def normalize_labels(df: DataFrame, vocab: Vocabulary, response: str = "response") -> DataFrame:
     """Add the label columns and ``errors`` for the JSON in ``response``."""
-    parsed = parse_response(df, response)
-    return drop_parsed(parsed.withColumns({**normalized_labels(vocab), "errors": gate_errors(vocab)}))
+    parsed = once(parse_response(df, response), errors=gate_errors(vocab))
+    return drop_parsed(parsed.withColumns(normalized_labels(vocab)))
 
 
 def require_model(df: DataFrame) -> DataFrame:

@@ -32,13 +32,23 @@ def last_per_id(df: DataFrame, ord_col: str, id_col: str = "tweet_id") -> DataFr
     return last.select(id_col, "_row.*")
 
 
+def _children(df: DataFrame, keep: list[str], generator: Column) -> DataFrame:
+    """Rows of a generator, without the empty row an outer one gives.
+
+    A plain ``explode`` makes the optimizer add a ``size > 0`` test below it, which computes the whole list twice.
+    """
+    out = df.select(*keep, generator)
+    first = out.columns[len(keep)]
+    return out.filter(F.col(first).isNotNull())
+
+
 def explode_causes(df: DataFrame, id_col: str = "tweet_id", causes: str = "causes") -> DataFrame:
     kept = last_per_key(F.col(causes), lambda x: x["cause_category"])
-    return df.select(id_col, F.inline(kept)).select(id_col, "cause_category", "matched_sentence")
+    return _children(df, [id_col], F.inline_outer(kept)).select(id_col, "cause_category", "matched_sentence")
 
 
 def explode_products(df: DataFrame, id_col: str = "tweet_id", products: str = "products") -> DataFrame:
-    return df.select(id_col, F.explode(F.array_distinct(products)).alias("product_type"))
+    return _children(df, [id_col], F.explode_outer(F.array_distinct(products)).alias("product_type"))
 
 
 def explode_brands(
@@ -46,7 +56,7 @@ def explode_brands(
 ) -> DataFrame:
     """Names compare case-sensitively; a name the map lacks is its own canonical name."""
     kept = F.array_distinct(F.transform(brands, lambda x: x["brand_raw"]))
-    out = df.select(id_col, *([canonical] if canonical else []), F.explode(kept).alias("brand_raw"))
+    out = _children(df, [id_col, *([canonical] if canonical else [])], F.explode_outer(kept).alias("brand_raw"))
     mapped = F.try_element_at(F.col(canonical), F.col("brand_raw")) if canonical else F.lit(None).cast("string")
     return out.select(id_col, "brand_raw", F.coalesce(mapped, F.col("brand_raw")).alias("brand_canonical"))
 
@@ -55,11 +65,12 @@ def explode_barriers(
     df: DataFrame, id_col: str = "tweet_id", barriers: str = "barriers", coded_by: str = "coded_by"
 ) -> DataFrame:
     kept = F.array_distinct(F.transform(barriers, lambda x: x["barrier_code"]))
-    return df.select(id_col, F.explode(kept).alias("barrier_code"), coded_by)
+    out = _children(df, [id_col, coded_by], F.explode_outer(kept).alias("barrier_code"))
+    return out.select(id_col, "barrier_code", coded_by)
 
 
 def explode_aspects(df: DataFrame, id_col: str = "tweet_id", aspects: str = "aspects") -> DataFrame:
-    return df.select(id_col, F.inline(aspects)).select(id_col, "aspect", "sentiment", "span_text")
+    return _children(df, [id_col], F.inline_outer(aspects)).select(id_col, "aspect", "sentiment", "span_text")
 
 
 def star_columns(table: str) -> list[str]:

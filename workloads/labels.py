@@ -7,12 +7,13 @@ import json
 from pyspark.sql import functions as F
 
 from postloom.functions import text as tx
+from postloom.functions.evaluation import once
 from postloom.operators import annotate as ann
 from postloom.operators import cache, clean, labels, star
 from postloom.plans import reports
 from postloom.schemas import CACHE
 from postloom.vocabulary import default_vocabulary
-from workloads.base import K, query, table
+from workloads.base import K, URL, query, table
 from workloads.text import CLEAN_SQL, POST
 
 VOCAB = default_vocabulary()
@@ -282,7 +283,9 @@ def explode_aspects(spark, sf_dir):
 FLAGSHIP_SQL = f"""
     WITH p AS (SELECT doc_id, {POST} AS post FROM documents),
     t AS (SELECT doc_id, source AS tag, CAST(length({CLEAN_SQL}) AS BIGINT) AS k FROM p JOIN documents USING (doc_id)
-          WHERE length({CLEAN_SQL}) >= 10),
+          WHERE length({CLEAN_SQL}) >= 10
+            AND coalesce(list_sum(list_transform(regexp_extract_all(post, '{URL}'), lambda u: length(u))), 0) * 2
+                <= length(post)),
     c AS (SELECT doc_id, {NORMAL['cause1']} AS cause_category FROM t UNION SELECT doc_id, {NORMAL['cause2']} FROM t)
     SELECT cause_category, count(DISTINCT doc_id) AS tweet_count FROM c GROUP BY cause_category
     ORDER BY tweet_count DESC, cause_category
@@ -293,9 +296,9 @@ FLAGSHIP_SQL = f"""
 def posts_per_cause(spark, sf_dir):
     """Documents to cleaned posts, spam dropped, labelled, gated, exploded and counted: most frequent cause first."""
     docs = table(spark, sf_dir, "documents").selectExpr("CAST(doc_id AS STRING) AS tweet_id", "source AS tag", f"{POST} AS post")
-    posts = docs.withColumn("full_text", tx.clean_text(F.col("post")))
-    posts = posts.withColumn("is_spam", tx.is_spam(F.col("full_text"), F.col("post")))
-    posts = clean.without_spam(posts).withColumn("k", F.length("full_text").cast("bigint")).drop("post", "full_text")
+    posts = once(docs, full_text=tx.clean_text(F.col("post")))
+    posts = once(posts, is_spam=tx.is_spam(F.col("full_text"), F.col("post")), k=F.length("full_text").cast("bigint"))
+    posts = clean.without_spam(posts)
     gated = labels.normalize_labels(posts.selectExpr("tweet_id", f"{RESPONSE} AS response"), VOCAB)
     valid = labels.valid_rows(gated)
     return reports.posts_per_cause(valid.select("tweet_id"), star.explode_causes(valid))
