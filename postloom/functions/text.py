@@ -22,6 +22,16 @@ def strip(c: Column) -> Column:
     return F.regexp_replace(c, rf"^[{WS}]+|[{WS}]+\z", "")
 
 
+def token_sql(c: str) -> str:
+    """SQL of ``token`` for use inside lambda expressions."""
+    return f"lower(regexp_replace({c}, r'^[{WS}]+|[{WS}]+\\z', ''))"
+
+
+def snake_token_sql(c: str) -> str:
+    """SQL of ``snake_token``."""
+    return f"replace({token_sql(c)}, ' ', '_')"
+
+
 def is_blank(c: Column) -> Column:
     return F.coalesce(~c.rlike(rf"[^{WS}]"), F.lit(True))
 
@@ -41,7 +51,10 @@ def squeeze_whitespace(c: Column) -> Column:
 
 def clean_text(c: Column) -> Column:
     """Links, then mentions, then white space; null gives an empty string."""
-    return squeeze_whitespace(strip_mentions(strip_urls(F.coalesce(c, F.lit("")))))
+    raw = F.coalesce(c, F.lit(""))
+    unlinked = strip_urls(raw)
+    # Tested on the raw text: a test on the result of the previous step would compute that step twice.
+    return squeeze_whitespace(F.when(raw.contains("@"), F.regexp_replace(unlinked, MENTION, "")).otherwise(unlinked))
 
 
 def url_chars(c: Column) -> Column:

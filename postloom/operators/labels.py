@@ -10,38 +10,37 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postloom.functions.evaluation import once
-from postloom.functions.text import snake_token, token
+from postloom.functions.text import snake_token_sql, token_sql
 from postloom.schemas import DEAD_LETTER
-from postloom.vocabulary import FIELDS, Vocabulary
+from postloom.vocabulary import Vocabulary, sql_string
 
 LISTS = ("causes", "barriers", "aspects", "brands_raw")
 LABEL_COLUMNS = ("intent", "sentiment", "causes", "products", "barriers", "aspects", "brands_raw")
 
 
-def _kind(v: Column) -> Column:
-    return F.schema_of_variant(v)
+def _get(v: str, name: str, kind: str = "string") -> str:
+    return f"try_variant_get({v}, '$.{name}', '{kind}')"
 
 
-def _field(v: Column, name: str, kind: str = "string") -> Column:
-    return F.try_variant_get(v, f"$.{name}", kind)
+def _kind(v: str) -> str:
+    return f"schema_of_variant({v})"
 
 
-def _is_string(item: Column, name: str) -> Column:
-    return F.coalesce(_kind(_field(item, name, "variant")) == "STRING", F.lit(False))
+def _is_string(item: str, name: str) -> str:
+    return f"coalesce({_kind(_get(item, name, 'variant'))} = 'STRING', false)"
 
 
-def _nonempty_string(item: Column, name: str) -> Column:
-    return _is_string(item, name) & (F.coalesce(_field(item, name), F.lit("")) != "")
+def _is_filled(item: str, name: str) -> str:
+    return f"({_is_string(item, name)} AND coalesce({_get(item, name)}, '') <> '')"
 
 
 def parse_response(df: DataFrame, response: str = "response") -> DataFrame:
     """Add ``_v`` (the response object, null if it is none) and the object items of each list field as ``_<list>``."""
     is_object = F.ltrim(F.col(response), F.lit(" \t\r\n")).startswith("{")
     df = once(df, _v=F.when(is_object, F.try_parse_json(F.col(response))))
-    df = once(df, **{f"_{f}": _field(F.col("_v"), f, "array<variant>") for f in (*LISTS, "products")})
-    return once(
-        df, **{f"_{f}_objects": F.filter(f"_{f}", lambda e: _kind(e).startswith("OBJECT")) for f in LISTS}
-    )
+    df = once(df, **{f"_{f}": F.expr(_get("_v", f, "array<variant>")) for f in (*LISTS, "products")})
+    objects = {f"_{f}_objects": F.expr(f"filter(_{f}, e -> {_kind('e')} LIKE 'OBJECT%')") for f in LISTS}
+    return once(df, **objects)
 
 
 def drop_parsed(df: DataFrame) -> DataFrame:
@@ -49,91 +48,69 @@ def drop_parsed(df: DataFrame) -> DataFrame:
 
 
 def normalized_labels(vocab: Vocabulary) -> dict[str, Column]:
-    """Label columns over a parsed response. Unknown values take the field's default; duplicates are kept."""
-    v = F.col("_v")
+    """Label columns over a parsed response. Unknown values take the field's default; duplicates are kept.
+
+    Written as SQL text: dozens of small Column calls per lambda would make building the plan slower than small jobs.
+    """
 
-    def product(c: Column) -> Column:
-        return vocab.canonical("product", snake_token(c))
+    def word(name: str, value: str, shape=snake_token_sql) -> str:
+        return vocab.canonical_sql(name, shape(value))
 
-    def items(name: str, fn) -> Column:
-        return F.coalesce(F.transform(f"_{name}_objects", fn), F.array())
+    def items(name: str, *fields: str) -> Column:
+        return F.expr(f"coalesce(transform(_{name}_objects, e -> named_struct({', '.join(fields)})), array())")
 
+    product_type = (
+        f"if(coalesce({_kind(_get('e', 'product_type', 'variant'))}, 'VOID') <> 'VOID', "
+        f"{word('product', _get('e', 'product_type'))}, null)"
+    )
     return {
-        "intent": vocab.canonical("intent", token(_field(v, "intent"))),
-        "sentiment": vocab.canonical("sentiment", token(_field(v, "sentiment"))),
+        "intent": F.expr(word("intent", _get("_v", "intent"), token_sql)),
+        "sentiment": F.expr(word("sentiment", _get("_v", "sentiment"), token_sql)),
         "causes": items(
             "causes",
-            lambda e: F.struct(
-                vocab.canonical("cause", snake_token(_field(e, "cause_category"))).alias("cause_category"),
-                F.coalesce(_field(e, "matched_sentence"), F.lit("")).alias("matched_sentence"),
-            ),
+            f"'cause_category', {word('cause', _get('e', 'cause_category'))}",
+            f"'matched_sentence', coalesce({_get('e', 'matched_sentence')}, '')",
         ),
-        "products": F.coalesce(
-            F.transform("_products", lambda e: product(F.try_variant_get(e, "$", "string"))), F.array()
-        ),
-        "barriers": items(
-            "barriers",
-            lambda e: F.struct(
-                vocab.canonical("barrier", snake_token(_field(e, "barrier_code"))).alias("barrier_code")
-            ),
+        "products": F.expr(
+            f"coalesce(transform(_products, e -> {word('product', _get('e', '').replace('$.', '$'))}), array())"
         ),
+        "barriers": items("barriers", f"'barrier_code', {word('barrier', _get('e', 'barrier_code'))}"),
         # An aspect's own sentiment is not normalised: the gate wants it exact.
         "aspects": items(
             "aspects",
-            lambda e: F.struct(
-                vocab.canonical("aspect", snake_token(_field(e, "aspect"))).alias("aspect"),
-                _field(e, "sentiment").alias("sentiment"),
-                _field(e, "span_text").alias("span_text"),
-            ),
+            f"'aspect', {word('aspect', _get('e', 'aspect'))}",
+            f"'sentiment', {_get('e', 'sentiment')}",
+            f"'span_text', {_get('e', 'span_text')}",
         ),
         "brands_raw": items(
-            "brands_raw",
-            lambda e: F.struct(
-                _field(e, "brand_raw").alias("brand_raw"),
-                F.when(
-                    F.coalesce(_kind(_field(e, "product_type", "variant")), F.lit("VOID")) != "VOID",
-                    product(_field(e, "product_type")),
-                ).alias("product_type"),
-            ),
+            "brands_raw", f"'brand_raw', {_get('e', 'brand_raw')}", f"'product_type', {product_type}"
         ),
     }
 
 
 def gate_errors(vocab: Vocabulary) -> Column:
     """Codes of every rule a parsed response breaks; an empty array means valid. One bad item rejects the row."""
-    v = F.col("_v")
-
-    def code(cond: Column, text: str) -> Column:
-        return F.when(cond, F.lit(text))
-
-    def any_item(name: str, bad) -> Column:
-        return F.coalesce(F.exists(f"_{name}_objects", bad), F.lit(False))
-
-    checks = [code(v.isNull(), "response:not_an_object")]
-    checks += [code(_field(v, f, "variant").isNotNull() & F.col(f"_{f}").isNull(), f"{f}:not_a_list") for f in LISTS]
-    sentiments = vocab.values["sentiment"]
-    checks += [
-        code(
-            any_item(
-                "causes",
-                lambda e: _field(e, "matched_sentence", "variant").isNotNull() & ~_is_string(e, "matched_sentence"),
-            ),
-            "causes.matched_sentence:not_a_string",
+
+    def any_item(name: str, bad: str) -> str:
+        return f"coalesce(exists(_{name}_objects, e -> {bad}), false)"
+
+    allowed = ", ".join(sql_string(s) for s in vocab.values["sentiment"])
+    text = _get("e", "matched_sentence", "variant")
+    checks = {"response:not_an_object": "_v IS NULL"}
+    checks |= {f"{f}:not_a_list": f"{_get('_v', f, 'variant')} IS NOT NULL AND _{f} IS NULL" for f in LISTS}
+    checks |= {
+        "causes.matched_sentence:not_a_string": any_item(
+            "causes", f"{text} IS NOT NULL AND NOT {_is_string('e', 'matched_sentence')}"
         ),
-        code(
-            any_item(
-                "aspects",
-                lambda e: ~(
-                    _is_string(e, "sentiment")
-                    & F.coalesce(_field(e, "sentiment").isin(*sentiments), F.lit(False))
-                ),
-            ),
-            "aspects.sentiment:not_allowed",
+        "aspects.sentiment:not_allowed": any_item(
+            "aspects",
+            f"NOT ({_is_string('e', 'sentiment')} AND coalesce({_get('e', 'sentiment')} IN ({allowed}), false))",
         ),
-        code(any_item("aspects", lambda e: ~_nonempty_string(e, "span_text")), "aspects.span_text:missing"),
-        code(any_item("brands_raw", lambda e: ~_nonempty_string(e, "brand_raw")), "brands_raw.brand_raw:missing"),
-    ]
-    return F.array_compact(F.array(*checks))
+        "aspects.span_text:missing": any_item("aspects", f"NOT {_is_filled('e', 'span_text')}"),
+        "brands_raw.brand_raw:missing": any_item("brands_raw", f"NOT {_is_filled('e', 'brand_raw')}"),
+    }
+    codes = ", ".join(f"if({cond}, {sql_string(code)}, null)" for code, cond in checks.items())
+    return F.expr(f"array_compact(array({codes}))")
 
 
 def normalize_labels(df: DataFrame, vocab: Vocabulary, response: str = "response") -> DataFrame:
@@ -168,6 +145,3 @@ def dead_letters(df: DataFrame, text_col: str = "full_text") -> DataFrame:
 def response_json() -> Column:
     """The normalised labels as the JSON text the cache stores."""
     return F.to_json(F.struct(*LABEL_COLUMNS))
-
-
-__all__ = ["FIELDS", "LABEL_COLUMNS", "normalize_labels", "require_model", "valid_rows", "dead_letters"]

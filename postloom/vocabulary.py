@@ -17,6 +17,11 @@ FIELDS = ("intent", "sentiment", "cause", "product", "barrier", "aspect")
 MAX_ROWS = 5_000
 
 
+def sql_string(value: str) -> str:
+    """A Spark SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 @dataclass(frozen=True)
 class Vocabulary:
     """``values[field]`` lists the canonical values, ``synonyms[field]`` maps accepted spellings to one of them."""
@@ -32,10 +37,13 @@ class Vocabulary:
     def default(self, name: str) -> str:
         return self.defaults.get(name, "other")
 
-    def canonical(self, name: str, token: Column) -> Column:
-        """Canonical value of an already cleaned token; the field's default when it is unknown or null."""
-        pairs = [F.lit(x) for kv in self.mapping(name).items() for x in kv]
-        return F.coalesce(F.try_element_at(F.create_map(*pairs), token), F.lit(self.default(name)))
+    def canonical_sql(self, name: str, token: str) -> str:
+        """SQL for the canonical value of an already cleaned token; the field's default when it is unknown or null."""
+        pairs = ", ".join(f"{sql_string(k)}, {sql_string(v)}" for k, v in self.mapping(name).items())
+        return f"coalesce(try_element_at(map({pairs}), {token}), {sql_string(self.default(name))})"
+
+    def canonical(self, name: str, token: str) -> Column:
+        return F.expr(self.canonical_sql(name, token))
 
     @classmethod
     def from_table(cls, df: DataFrame, defaults: dict[str, str] | None = None) -> "Vocabulary":

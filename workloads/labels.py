@@ -12,6 +12,7 @@ from postloom.operators import annotate as ann
 from postloom.operators import cache, clean, labels, star
 from postloom.plans import reports
 from postloom.schemas import CACHE
+from postloom.session import materialize
 from postloom.vocabulary import default_vocabulary
 from workloads.base import K, URL, query, table
 from workloads.text import CLEAN_SQL, POST
@@ -300,5 +301,6 @@ def posts_per_cause(spark, sf_dir):
     posts = once(posts, is_spam=tx.is_spam(F.col("full_text"), F.col("post")), k=F.length("full_text").cast("bigint"))
     posts = clean.without_spam(posts)
     gated = labels.normalize_labels(posts.selectExpr("tweet_id", f"{RESPONSE} AS response"), VOCAB)
-    valid = labels.valid_rows(gated)
+    # Parent and child both come from it, so it is written once instead of being computed twice.
+    valid = materialize(labels.valid_rows(gated).select("tweet_id", "causes"), "valid")
     return reports.posts_per_cause(valid.select("tweet_id"), star.explode_causes(valid))
