@@ -8,6 +8,7 @@ from __future__ import annotations
 import ast
 import json
 import math
+import warnings
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -47,7 +48,9 @@ def _literal_json(text: str | None) -> str | None:
 
 @F.pandas_udf(T.StringType())
 def python_literal_to_json(texts: pd.Series) -> pd.Series:
-    return texts.map(_literal_json)
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore", SyntaxWarning)  # backslashes in foreign text are not our syntax
+        return texts.map(_literal_json)
 
 
 def with_payload(df: DataFrame, source: str, target: str) -> DataFrame:

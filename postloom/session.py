@@ -5,7 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -41,7 +43,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df, name: str):
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores on an input with fewer scan tasks than cores, such as one file with one row group.
+
+    Large inputs have more tasks than that and pass through unchanged, so this never shuffles a large table.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def empty(spark: SparkSession, schema: str) -> DataFrame:
+    """A table without rows which the optimizer knows to be empty, so that joins and unions with it vanish."""
+    fields = T.StructType.fromDDL(schema).fields
+    return spark.range(1).filter("false").select(
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in fields]
+    )
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once and read it back: the cut point between stages that several outputs share."""
     spark = df.sparkSession
     path = scratch_path(spark, name)

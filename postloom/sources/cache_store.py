@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 
 from postloom.operators.labels import response_json
 from postloom.schemas import CACHE, DEAD_LETTER
+from postloom.session import empty
 from postloom.sources.files import exists
 
 
 def read_cache(spark: SparkSession, path: str) -> DataFrame:
     """The stored answers; an empty table when there is no cache yet."""
     if not exists(spark, path):
-        return spark.createDataFrame([], CACHE)
+        return empty(spark, CACHE)
     return spark.read.schema(CACHE).parquet(path)
 
 
@@ -66,5 +67,5 @@ def append_dead_letters(dead: DataFrame, path: str) -> None:
 
 def read_dead_letters(spark: SparkSession, path: str) -> DataFrame:
     if not exists(spark, path):
-        return spark.createDataFrame([], DEAD_LETTER)
+        return empty(spark, DEAD_LETTER)
     return spark.read.schema(DEAD_LETTER).parquet(path)

@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from postloom.operators.ingest import union_batches
+from postloom.operators.ingest import number_rows, project_merged, union_batches
 from postloom.schemas import MERGED, MERGED_COLUMNS
+from postloom.session import materialize
 from postloom.sources.files import exists, first_lines, list_files
 
 READ = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"', "encoding": "UTF-8"}
@@ -80,18 +81,15 @@ def read_merged(spark: SparkSession, path: str) -> DataFrame:
         return spark.read.parquet(path)
     if not exists(spark, path):
         return spark.read.schema(MERGED).options(**READ).csv(path)  # raises PATH_NOT_FOUND
-    from postloom.operators.ingest import number_rows
-
     files = list_files(spark, path.rstrip("/") + "/*.csv") or [path]
-    df = read_csv_files(spark, files)
-    missing = [c for c in MERGED_COLUMNS if c not in df.columns]
-    return number_rows(df.withColumns({c: F.lit("") for c in missing}))
+    return number_rows(project_merged(read_csv_files(spark, files), "_source_rank", "_file", "_pos"))
 
 
 def write_merged(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Fixed column order. CSV has no place for the row number, so its files are written in row order instead."""
     if fmt == "csv":
-        df.orderBy("row_ord").select(*MERGED_COLUMNS).write.mode("overwrite").options(**WRITE).csv(path)
+        # The sort samples its input before it reads it, so the input is written down instead of being computed twice.
+        materialize(df, "merged").orderBy("row_ord").select(*MERGED_COLUMNS).write.mode("overwrite").options(**WRITE).csv(path)
     else:
         df.select(*MERGED_COLUMNS, "row_ord").write.mode("overwrite").parquet(path)
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postloom.schemas import LOOKUP
+from postloom.session import empty
 from postloom.sources.files import exists
 
 
@@ -18,7 +19,7 @@ def read_lookup(spark: SparkSession, path: str) -> DataFrame:
     """
     if not exists(spark, path):
         warnings.warn(f"lookup {path} does not exist", stacklevel=2)
-        return spark.createDataFrame([], LOOKUP)
+        return empty(spark, LOOKUP)
     pairs = F.from_json("value", "map<string,string>")
     return spark.read.text(path, wholetext=True).select(F.explode(pairs).alias("alias", "canonical"))
 
@@ -26,7 +27,7 @@ def read_lookup(spark: SparkSession, path: str) -> DataFrame:
 def lookup_table(spark: SparkSession, mapping: dict[str, str]) -> DataFrame:
     """``(alias, canonical)`` from a small dict, as a literal so that the planner knows how small it is."""
     if not mapping:
-        return spark.createDataFrame([], LOOKUP)
+        return empty(spark, LOOKUP)
     pairs = [F.lit(x) for kv in mapping.items() for x in kv]
     return spark.range(1).select(F.explode(F.create_map(*pairs)).alias("alias", "canonical"))
 
@@ -34,7 +35,7 @@ def lookup_table(spark: SparkSession, mapping: dict[str, str]) -> DataFrame:
 def noise_table(spark: SparkSession, terms: list[str] | tuple[str, ...]) -> DataFrame:
     """One column ``term`` from a small list."""
     if not terms:
-        return spark.createDataFrame([], "term string")
+        return empty(spark, "term string")
     return spark.range(1).select(F.explode(F.array(*[F.lit(t) for t in terms])).alias("term"))
 
 

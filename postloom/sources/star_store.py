@@ -7,11 +7,14 @@ nothing visible. Buckets no id of the batch falls into are not rewritten. One wr
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postloom.operators.star import upsert
 from postloom.schemas import STAR
+from postloom.session import empty
 from postloom.sources.files import exists
 
 MANIFEST = "version int, bucket int, held_by int"
@@ -40,7 +43,7 @@ class StarStore:
         # A bucket without rows of this table has no folder.
         folders = [f for f in folders if exists(self.spark, f)]
         if not folders:
-            return self.spark.createDataFrame([], STAR[table])
+            return empty(self.spark, STAR[table])
         return self.spark.read.schema(STAR[table]).parquet(*folders)
 
     def read(self, table: str) -> DataFrame:
@@ -68,11 +71,16 @@ class StarStore:
         if not touched:
             return version
         stale = {b: v for b, v in held.items() if b in set(touched)}
-        for table in STAR:
+
+        def write(table: str) -> None:
             merged = upsert(self._read(table, stale), batch[table], ids)
             # Rebalance splits large buckets and packs small ones, so file sizes do not depend on the bucket count.
             out = merged.withColumn("bucket", self._bucket()).hint("rebalance", "bucket")
             out.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.root}/{table}/version={new_version}")
+
+        # The six jobs are independent; the cluster fills one's tail with the next one's tasks.
+        with ThreadPoolExecutor(max_workers=len(STAR)) as pool:
+            list(pool.map(write, STAR))
         held = {**held, **{b: new_version for b in touched}}
         rows = [(new_version, b, v) for b, v in held.items()]
         log = self.spark.createDataFrame(rows, MANIFEST).coalesce(1)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from postloom.functions.evaluation import once
 from postloom.functions.payload import post_fields, with_payload
 from postloom.functions.numbers import safe_int
 from postloom.operators import ingest, star
@@ -11,7 +12,7 @@ from postloom.session import scratch_path
 from postloom.sources.csv_tables import READ, read_landing, write_csv
 from postloom.sources.star_store import StarStore
 from postloom.streaming import landing
-from workloads.base import K, query, table
+from workloads.base import K, costly, query, table
 
 # One payload in three is plain JSON, one is wrapped, one is a Python literal without an author record.
 PAYLOAD = (
@@ -40,8 +41,9 @@ PAYLOAD = (
     """,
 )
 def payload_fields(spark, sf_dir):
-    events = table(spark, sf_dir, "events").selectExpr("*", f"{K} AS k").selectExpr("*", f"{PAYLOAD} AS raw")
-    rows = with_payload(events.select("event_id", "value", "raw"), "raw", "_v").withColumn("_p", post_fields(F.col("_v")))
+    events = costly(spark, sf_dir, "events", "event_id", "user_id", "event_type", "value", "props")
+    events = events.selectExpr("*", f"{K} AS k").selectExpr("*", f"{PAYLOAD} AS raw")
+    rows = once(with_payload(events.select("event_id", "value", "raw"), "raw", "_v"), _p=post_fields(F.col("_v")))
     return rows.select(
         "event_id", "_p.view_count", "_p.source", "_p.lang", "_p.user_location",
         F.coalesce("_p.followers_count", safe_int(F.col("value").cast("string"))).alias("followers_count"),
@@ -81,7 +83,9 @@ _X = {
     """,
 )
 def author_backfill(spark, sf_dir):
-    rows = table(spark, sf_dir, "customer").selectExpr("c_custkey", *[f"{e} AS {c}" for c, e in NAMES.items()])
+    rows = costly(spark, sf_dir, "customer", "c_custkey", "c_name", "c_mktsegment").selectExpr(
+        "c_custkey", *[f"{e} AS {c}" for c, e in NAMES.items()]
+    )
     return ingest.backfill_authors(rows).select(
         "c_custkey", "user_screen_name", "user_username", "user_name", "user_displayname", "image_links"
     )

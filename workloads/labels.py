@@ -14,7 +14,7 @@ from postloom.plans import reports
 from postloom.schemas import CACHE
 from postloom.session import materialize
 from postloom.vocabulary import default_vocabulary
-from workloads.base import K, URL, query, table
+from workloads.base import K, URL, costly, query, table
 from workloads.text import CLEAN_SQL, POST
 
 VOCAB = default_vocabulary()
@@ -65,7 +65,7 @@ EVENTS_SQL = f"(SELECT event_id, event_type AS tag, {K} AS k FROM events)"
 
 
 def responses(spark, sf_dir):
-    events = table(spark, sf_dir, "events").selectExpr("event_id", "event_type AS tag", f"{K} AS k")
+    events = costly(spark, sf_dir, "events", "event_id", "event_type", "props").selectExpr("event_id", "event_type AS tag", f"{K} AS k")
     return events.selectExpr("event_id", "CAST(event_id AS STRING) AS tweet_id", "tag", f"{RESPONSE} AS response")
 
 
@@ -120,7 +120,7 @@ _ERRORS = pick("event_id", *[f"'{e}'" for _, e in DEFECTS])
 
 
 def judged(spark, sf_dir):
-    events = table(spark, sf_dir, "events").selectExpr(
+    events = costly(spark, sf_dir, "events", "event_id", "event_type", "props").selectExpr(
         "event_id", "CAST(event_id AS STRING) AS tweet_id", "props || repeat(event_type, 40) AS full_text",
         f"{pick('event_id', *[r for r, _ in DEFECTS])} AS response",
     )
@@ -217,7 +217,7 @@ def rule_labeller():
     """,
 )
 def annotate(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = costly(spark, sf_dir, "documents", "doc_id", "text")
     answers = ann.annotate(docs, rule_labeller, text_col="text", batch_size=64, call_pause=0, retry_wait=0)
     out = labels.normalize_labels(answers.drop("text"), VOCAB)
     failed = F.col("call_error").isNotNull()
@@ -296,7 +296,8 @@ FLAGSHIP_SQL = f"""
 @query("posts_per_cause", FLAGSHIP_SQL)
 def posts_per_cause(spark, sf_dir):
     """Documents to cleaned posts, spam dropped, labelled, gated, exploded and counted: most frequent cause first."""
-    docs = table(spark, sf_dir, "documents").selectExpr("CAST(doc_id AS STRING) AS tweet_id", "source AS tag", f"{POST} AS post")
+    docs = costly(spark, sf_dir, "documents", "doc_id", "text", "source")
+    docs = docs.selectExpr("CAST(doc_id AS STRING) AS tweet_id", "source AS tag", f"{POST} AS post")
     posts = once(docs, full_text=tx.clean_text(F.col("post")))
     posts = once(posts, is_spam=tx.is_spam(F.col("full_text"), F.col("post")), k=F.length("full_text").cast("bigint"))
     posts = clean.without_spam(posts)

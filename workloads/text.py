@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from postloom.functions import text as tx
+from postloom.functions.evaluation import once
 from postloom.functions.numbers import safe_int
 from postloom.operators import clean, ordering
-from workloads.base import URL, WORD, WS, query, table
+from workloads.base import URL, WORD, WS, costly, query, table
 
 POST = (
     "CASE doc_id % 4 WHEN 0 THEN 'see https://ex.org/' || doc_id || ' ' || text "
@@ -22,7 +23,7 @@ CLEAN_SQL = (
 
 @query("clean_text", f"SELECT doc_id, {CLEAN_SQL} AS clean_text FROM (SELECT doc_id, {POST} AS post FROM documents)")
 def clean_text(spark, sf_dir):
-    posts = table(spark, sf_dir, "documents").selectExpr("doc_id", f"{POST} AS post")
+    posts = costly(spark, sf_dir, "documents", "doc_id", "text").selectExpr("doc_id", f"{POST} AS post")
     return posts.select("doc_id", tx.clean_text(F.col("post")).alias("clean_text"))
 
 
@@ -43,12 +44,12 @@ LINKED = (
     """,
 )
 def spam_flag(spark, sf_dir):
-    posts = table(spark, sf_dir, "documents").selectExpr("doc_id", f"{LINKED} AS post")
+    posts = costly(spark, sf_dir, "documents", "doc_id", "text").selectExpr("doc_id", f"{LINKED} AS post")
     post = F.col("post")
-    return posts.select(
+    return once(posts, clean=tx.clean_text(post)).select(
         "doc_id",
         tx.url_chars(post).cast("bigint").alias("url_chars"),
-        tx.is_spam(tx.clean_text(post), post).alias("is_spam"),
+        tx.is_spam(F.col("clean"), post).alias("is_spam"),
     )
 
 
@@ -82,7 +83,7 @@ def lenient_numbers(spark, sf_dir):
     """,
 )
 def anchor_text(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", tx.anchor_text(F.col("html")).alias("anchor_text"))
+    return costly(spark, sf_dir, "pages", "page_id", "html").select("page_id", tx.anchor_text(F.col("html")).alias("anchor_text"))
 
 
 TAGGED = "text || ' #' || lang || ' #Source_' || source || '#x'"
@@ -95,7 +96,9 @@ TAGGED = "text || ' #' || lang || ' #Source_' || source || '#x'"
     """,
 )
 def hashtags(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").selectExpr("doc_id", f"{TAGGED} AS post")
+    docs = costly(spark, sf_dir, "documents", "doc_id", "text", "lang", "source").selectExpr(
+        "doc_id", f"{TAGGED} AS post"
+    )
     return docs.select("doc_id", F.array_join(tx.hashtags(F.col("post")), ",").alias("tags"))
 
 
@@ -110,7 +113,8 @@ def hashtags(spark, sf_dir):
 )
 def slang(spark, sf_dir):
     words = {"the": "this", "of": "from", "is": "was", "la": "une"}
-    return table(spark, sf_dir, "documents").select("doc_id", tx.replace_slang(F.col("text"), words).alias("plain"))
+    docs = costly(spark, sf_dir, "documents", "doc_id", "text")
+    return docs.select("doc_id", tx.replace_slang(F.col("text"), words).alias("plain"))
 
 
 @query("dup_text_flag", "SELECT doc_id, count(*) OVER (PARTITION BY text) > 1 AS is_repeated FROM documents")

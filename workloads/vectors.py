@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from postloom.operators import vectors
-from workloads.base import query, table
+from postloom.session import materialize
+from workloads.base import costly, query, table
 
 
 @query("embed_default")
 def embed_default(spark, sf_dir):
     """Unit vectors of every document (hash functions differ between engines, so no SQL)."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("full_text"))
+    docs = costly(spark, sf_dir, "documents", "doc_id", "text").withColumnRenamed("text", "full_text")
     return vectors.embed(docs).drop("full_text")
 
 
@@ -60,9 +61,9 @@ def search_ann(spark, sf_dir):
 @query("clusters")
 def clusters(spark, sf_dir):
     """Documents grouped by K-Means over their vectors: size, mean quality label and frequent words per group."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("full_text"))
-    vecs = vectors.embed(docs)
+    docs = costly(spark, sf_dir, "documents", "doc_id", "text").withColumnRenamed("text", "full_text")
+    vecs = materialize(vectors.embed(docs), "vectors")
     model = vectors.fit_cells(vecs, cells=8)
-    assigned = vectors.assign_cells(vecs, model).drop("embedding")
+    assigned = materialize(vectors.assign_cells(vecs, model).drop("embedding"), "assigned")
     graded = assigned.join(table(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id", "left")
     return vectors.describe_clusters(graded, "full_text", F.col("quality"))
