@@ -6,6 +6,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from postloom.metrics import count_where, counted
 from postloom.operators import annotate as ann
@@ -74,7 +75,8 @@ def run_annotate(spark: SparkSession, cfg: EnrichConfig, misses: DataFrame, coun
         raise ValueError("a labeller is needed unless skip_annotate is set")
     work = scratch_path(spark, "misses")
     misses.withColumn("chunk", ann.chunk_of("tweet_id", cfg.chunks)).write.partitionBy("chunk").parquet(work)
-    parts = spark.read.schema(misses.schema.add("chunk", "int")).parquet(work)
+    schema = T.StructType([*misses.schema.fields, T.StructField("chunk", T.IntegerType())])
+    parts = spark.read.schema(schema).parquet(work)
     fresh = []
     for chunk in range(cfg.chunks):
         answered, seen = counted(

@@ -1,7 +1,7 @@
-"""The star schema on disk: Parquet folders whose six tables change together.
+"""Tables on disk that change together: Parquet folders under one manifest.
 
 Each load writes new files under its own version and then one small manifest file, which says for every bucket of ids
-which version holds it. Readers follow the newest manifest, so all six tables switch at once and a failed load leaves
+which version holds it. Readers follow the newest manifest, so all tables switch at once and a failed load leaves
 nothing visible. Buckets no id of the batch falls into are not rewritten. One writer at a time.
 """
 
@@ -20,11 +20,15 @@ from postloom.sources.files import exists
 MANIFEST = "version int, bucket int, held_by int"
 
 
-class StarStore:
-    """``buckets`` is fixed when the store is created; aim for some hundred MB per bucket of the largest table."""
+class TableStore:
+    """Tables keyed by ``tweet_id``; ``schemas`` maps names to DDL, and ``parent`` names the table that has every id once.
 
-    def __init__(self, spark: SparkSession, root: str, buckets: int = 64):
+    ``buckets`` is fixed when the store is created; aim for some hundred MB per bucket of the largest table.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, schemas: dict[str, str], parent: str, buckets: int = 64):
         self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
+        self.schemas, self.parent = schemas, parent
 
     def _bucket(self) -> Column:
         return F.pmod(F.xxhash64("tweet_id"), F.lit(self.buckets)).cast("int")
@@ -43,16 +47,16 @@ class StarStore:
         # A bucket without rows of this table has no folder.
         folders = [f for f in folders if exists(self.spark, f)]
         if not folders:
-            return empty(self.spark, STAR[table])
-        return self.spark.read.schema(STAR[table]).parquet(*folders)
+            return empty(self.spark, self.schemas[table])
+        return self.spark.read.schema(self.schemas[table]).parquet(*folders)
 
     def read(self, table: str) -> DataFrame:
-        """One table as of now; ``tweets.bucket``-wise files, no bucket column."""
+        """One table as of now."""
         return self._read(table, self.current()[1])
 
     def tables(self) -> dict[str, DataFrame]:
         held = self.current()[1]
-        return {t: self._read(t, held) for t in STAR}
+        return {t: self._read(t, held) for t in self.schemas}
 
     def register_views(self) -> None:
         """Temporary views named like the tables, for plain SQL."""
@@ -60,13 +64,13 @@ class StarStore:
             df.createOrReplaceTempView(name)
 
     def load(self, batch: dict[str, DataFrame]) -> int:
-        """Upsert a batch of six tables with unique parent ids; returns the new version.
+        """Upsert a batch of all tables with unique parent ids; returns the new version.
 
         Pass written tables, not long plans: each is read more than once. Loading the same batch again changes nothing.
         """
         version, held = self.current()
         new_version = version + 1
-        ids = batch["tweets"].select("tweet_id")
+        ids = batch[self.parent].select("tweet_id")
         touched = [r[0] for r in ids.select(self._bucket().alias("b")).distinct().collect()]
         if not touched:
             return version
@@ -78,11 +82,18 @@ class StarStore:
             out = merged.withColumn("bucket", self._bucket()).hint("rebalance", "bucket")
             out.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.root}/{table}/version={new_version}")
 
-        # The six jobs are independent; the cluster fills one's tail with the next one's tasks.
-        with ThreadPoolExecutor(max_workers=len(STAR)) as pool:
-            list(pool.map(write, STAR))
+        # The jobs are independent; the cluster fills one's tail with the next one's tasks.
+        with ThreadPoolExecutor(max_workers=len(self.schemas)) as pool:
+            list(pool.map(write, self.schemas))
         held = {**held, **{b: new_version for b in touched}}
         rows = [(new_version, b, v) for b, v in held.items()]
         log = self.spark.createDataFrame(rows, MANIFEST).coalesce(1)
         log.write.mode("append").parquet(f"{self.root}/_manifest")
         return new_version
+
+
+class StarStore(TableStore):
+    """The six tables of the star schema."""
+
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 64):
+        super().__init__(spark, root, STAR, "tweets", buckets)

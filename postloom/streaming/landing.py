@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from postloom.operators import clean
-from postloom.operators.ingest import dedup_best, engagement, fill_missing_ids, project_merged
+from postloom.operators.ingest import backfill_authors, dedup_best, engagement, fill_missing_ids, project_merged
+from postloom.schemas import MERGED_COLUMNS
+from postloom.session import materialize, tune
 from postloom.sources.csv_tables import READ
+from postloom.sources.star_store import TableStore
 
 
 def stream_folder(
@@ -48,15 +50,44 @@ def keep_best(
     return dedup_best(rows, id_col, score, ord_col).select(*batch.columns)
 
 
-def merged_batch(batch: DataFrame, batch_id: int) -> DataFrame:
-    """Target columns and ids of a micro-batch of raw rows; ``row_ord`` orders batches, then rows within one."""
-    within = F.monotonically_increasing_id()
-    numbered = project_merged(batch).withColumn("row_ord", F.lit(batch_id) * F.lit(1 << 50) + within)
-    return fill_missing_ids(numbered)
+MERGED_STORE = {"merged": ", ".join(f"`{c}` string" for c in MERGED_COLUMNS) + ", row_ord decimal(38,0)"}
 
 
-def cleaned_batch(batch: DataFrame, batch_id: int) -> DataFrame:
-    """A micro-batch of raw rows, deduplicated and cleaned, spam removed."""
-    best = dedup_best(merged_batch(batch, batch_id), "tweet_id", engagement(), "row_ord")
-    best = best.drop("row_ord").withColumnRenamed("first_ord", "row_ord")
-    return clean.without_spam(clean.accepted_posts(clean.clean_posts(best, "row_ord")))
+def merged_store(spark: SparkSession, root: str, buckets: int = 16) -> TableStore:
+    """The merged table as a store, one row per id."""
+    return TableStore(spark, root, MERGED_STORE, "merged", buckets)
+
+
+def merge_batch(store: TableStore, batch: DataFrame, batch_id: int) -> None:
+    """Fold a micro-batch of raw rows into the store: the most engaged copy of each id, the first seen on ties.
+
+    ``row_ord`` orders batches, then rows within one. Only stored rows of the batch's own ids are read back.
+    """
+    # Batch numbers grow without bound and positions fill 63 bits, so the two need more than a bigint.
+    start = F.lit(str(batch_id << 63)).cast("decimal(38,0)")
+    position = (start + F.monotonically_increasing_id()).cast("decimal(38,0)")
+    rows = project_merged(batch).withColumn("row_ord", position)
+    best = dedup_best(fill_missing_ids(rows), "tweet_id", engagement(), "row_ord")
+    fresh = backfill_authors(best.drop("row_ord").withColumnRenamed("first_ord", "row_ord"))
+    fresh = materialize(fresh.select(*MERGED_COLUMNS, "row_ord"), "batch")
+    stored = store.read("merged").join(fresh.select("tweet_id"), "tweet_id", "left_semi")
+    both = stored.select(*fresh.columns).unionByName(fresh)
+    merged = dedup_best(both, "tweet_id", engagement(), "row_ord").drop("row_ord")
+    merged = merged.withColumnRenamed("first_ord", "row_ord").select(*MERGED_COLUMNS, "row_ord")
+    store.load({"merged": materialize(merged, "merged")})
+
+
+def ingest_new_files(
+    spark: SparkSession, folder: str, columns: list[str], root: str, checkpoint: str, max_files: int = 1000,
+    buckets: int = 16,
+) -> TableStore:
+    """Merge the CSV files that arrived since the last call; ``columns`` is their header, in order.
+
+    A batch that is replayed after a failure changes nothing: its rows meet their own copies and the maximum stays.
+    """
+    tune(spark)
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    store = merged_store(spark, root, buckets)
+    stream = stream_folder(spark, folder, schema, "csv", max_files)
+    run_available(stream, checkpoint, lambda batch, batch_id: merge_batch(store, batch, batch_id))
+    return store
