@@ -1 +1 @@
-"""Table operators: each takes DataFrames and returns DataFrames, and triggers no job unless its docstring says so."""
+"""Table operators: each takes DataFrames and returns DataFrames. One that runs a job says so in its docstring."""

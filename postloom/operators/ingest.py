@@ -11,6 +11,9 @@ from postloom.functions.payload import author_fields, image_links_json, with_pay
 from postloom.functions.text import first_nonempty
 from postloom.schemas import MERGED_COLUMNS
 
+# One offset per file takes some hundred bytes, so this many stay below Spark's own broadcast threshold.
+MAX_BROADCAST_FILES = 50_000
+
 
 def union_batches(*batches: DataFrame) -> DataFrame:
     """UNION ALL by name; a column a batch lacks is null there."""
@@ -59,12 +62,15 @@ def number_rows(df: DataFrame) -> DataFrame:
     """Turn ``(_source_rank, _file, _pos)`` of a landing read into a 0-based ``row_ord`` over all rows.
 
     Positions within a file are consecutive, so per-file counts are enough: one extra, column-pruned scan and a running
-    sum with one row per input file. No row is sorted.
+    sum with one row per input file. No row is sorted. The per-file offsets are broadcast while the number of files, which
+    the driver knows from its listing, keeps them small; beyond that the planner joins by file and splits large ones.
     """
     key = ["_source_rank", "_file"]
     before = Window.orderBy(*key).rowsBetween(Window.unboundedPreceding, -1)
     files = df.groupBy(*key).agg(F.count("*").alias("_rows"), F.min("_pos").alias("_first"))
     files = files.withColumn("_offset", F.coalesce(F.sum("_rows").over(before), F.lit(0))).drop("_rows")
+    if len(df.inputFiles()) <= MAX_BROADCAST_FILES:
+        files = F.broadcast(files)
     out = df.join(files, key).withColumn("row_ord", F.col("_offset") + F.col("_pos") - F.col("_first"))
     return out.drop(*key, "_pos", "_first", "_offset")
 

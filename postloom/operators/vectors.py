@@ -184,12 +184,13 @@ def search_cells(celled: DataFrame, queries: DataFrame, model, k: int, probes: i
     """Approximate search: each query looks at its ``probes`` nearest cells only.
 
     The probed cells are a filter on ``cell``, which prunes directories of a table partitioned by it. ``probes`` equal
-    to the number of cells gives the exact result.
+    to the number of cells gives the exact result, and so does a query set too large for the closure, which goes to
+    ``search_exact``.
     """
     centers = np.array(model.clusterCenters())
     rows = queries.select("query_id", "embedding").limit(MAX_QUERIES_IN_CLOSURE + 1).collect()
     if len(rows) > MAX_QUERIES_IN_CLOSURE:
-        raise ValueError(f"at most {MAX_QUERIES_IN_CLOSURE} queries per call; use search_exact for bulk work")
+        return search_exact(celled, queries, k)
     q_raw = np.array([r[1] for r in rows], dtype="float64")
     qids = np.array([r[0] for r in rows], dtype="int64")
     distance = ((q_raw[:, None, :] - centers[None, :, :]) ** 2).sum(axis=2)

@@ -60,9 +60,10 @@ def influence_tier(followers: Column, high: float = 5000, mid: float = 500) -> C
 
 
 def shares(df: DataFrame, *keys: str) -> DataFrame:
-    """Rows and share of all rows per group. The window runs over the finished groups, not over the rows."""
+    """Rows and share of all rows per group. The total is a scalar subquery, so no task sees all groups."""
     groups = df.groupBy(*keys).agg(F.count("*").alias("n"))
-    return groups.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy()))
+    total = df.agg(F.count("*").alias("total"))
+    return groups.withColumn("share", F.col("n") / total.scalar())
 
 
 def rising(df: DataFrame, key: str, period: Column) -> DataFrame:

@@ -26,6 +26,12 @@ def list_files(spark: SparkSession, pattern: str) -> list[str]:
     return [path for _, path in sorted(paths)]
 
 
+def list_folders(spark: SparkSession, pattern: str) -> list[str]:
+    """Folders matching a glob."""
+    _, p, fs = _hadoop(spark, pattern)
+    return [s.getPath().toString() for s in fs.globStatus(p) or [] if s.isDirectory()]
+
+
 def first_lines(spark: SparkSession, paths: list[str], threads: int = 16) -> list[str]:
     """First line of each file; opens every file, reads one buffer of it."""
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from postloom.operators.star import upsert
 from postloom.schemas import STAR
 from postloom.session import empty
-from postloom.sources.files import exists
+from postloom.sources.files import exists, list_folders
 
 MANIFEST = "version int, bucket int, held_by int"
 
@@ -43,9 +43,13 @@ class TableStore:
         return version, {r[0]: r[1] for r in log.filter(F.col("version") == version).select("bucket", "held_by").collect()}
 
     def _read(self, table: str, held: dict[int, int]) -> DataFrame:
-        folders = [f"{self.root}/{table}/version={v}/bucket={b}" for b, v in sorted(held.items())]
-        # A bucket without rows of this table has no folder.
-        folders = [f for f in folders if exists(self.spark, f)]
+        if not held:
+            return empty(self.spark, self.schemas[table])
+        wanted = {f"version={v}/bucket={b}" for b, v in held.items()}
+        versions = ",".join(str(v) for v in sorted(set(held.values())))
+        # A bucket without rows of this table has no folder; one listing finds those that exist.
+        found = list_folders(self.spark, f"{self.root}/{table}/version={{{versions}}}/bucket=*")
+        folders = [f for f in found if "/".join(f.rstrip("/").split("/")[-2:]) in wanted]
         if not folders:
             return empty(self.spark, self.schemas[table])
         return self.spark.read.schema(self.schemas[table]).parquet(*folders)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from postloom.operators import entities
+from postloom.session import materialize
 from postloom.sources.lookup import noise_table
 from workloads.base import query, table
 
@@ -103,7 +104,8 @@ def entity_mentions(spark, sf_dir):
     item = F.struct(F.col("p_name").alias("brand_raw"), F.lit(None).cast("string").alias("product_type"))
     # An order has at most a handful of lines: the group is the record itself.
     posts = named.groupBy(F.col("l_orderkey").cast("string").alias("tweet_id")).agg(F.collect_list(item).alias("brands_raw"))
-    resolved = entities.resolve_names(parts.select(F.col("p_name").alias("brand_raw")), lookup(spark, sf_dir))
+    names = parts.select(F.col("p_name").alias("brand_raw"))
+    resolved = materialize(entities.resolve_names(names, lookup(spark, sf_dir)), "names")
     out = entities.resolve_mentions(posts, resolved)
     return out.select(
         "tweet_id", F.size("brands_raw").cast("bigint").alias("n_mentions"),
