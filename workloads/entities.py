@@ -78,14 +78,26 @@ def entity_known(spark, sf_dir):
     return entities.known_names(lookup(spark, sf_dir))
 
 
-TYPO = "overlay(p_name placing '' from CAST(p_partkey % length(p_name) + 1 AS INT) for 1)"
+TYPO = "substr(p_name, 1, CAST(p_partkey % length(p_name) AS INT)) || substr(p_name, CAST(p_partkey % length(p_name) AS INT) + 2)"
 
 
-@query("entity_fuzzy")
+@query(
+    "entity_fuzzy",
+    f"""
+    WITH t AS (SELECT {TYPO} AS name, max(lower(p_name)) AS source FROM part GROUP BY 1)
+    SELECT name, coalesce(l.alias, source) AS alias, upper(coalesce(l.alias, source)) AS canonical,
+           CASE WHEN l.alias IS NOT NULL THEN 1.0::DOUBLE ELSE round(2 * length(name) / (2 * length(name) + 1), 9) END AS score
+    FROM t LEFT JOIN {LOOKUP_SQL} l ON l.alias = t.name
+    """,
+)
 def entity_fuzzy(spark, sf_dir):
-    """Part names with one letter missing, against the names (the similarity has no SQL form)."""
+    """Part names with one letter missing, against the names.
+
+    The similarity has no SQL form in general. Here the nearest name is the typo itself if it is a name, else the one it
+    came from, all but one letter of which match, so SQL can state the answer; tests compare with brute force.
+    """
     names = table(spark, sf_dir, "part").selectExpr(f"{TYPO} AS name").distinct()
-    return entities.fuzzy_match(names, lookup(spark, sf_dir))
+    return entities.fuzzy_match(names, lookup(spark, sf_dir)).withColumn("score", F.round("score", 9))
 
 
 @query(
@@ -104,6 +116,7 @@ def entity_mentions(spark, sf_dir):
     item = F.struct(F.col("p_name").alias("brand_raw"), F.lit(None).cast("string").alias("product_type"))
     # An order has at most a handful of lines: the group is the record itself.
     posts = named.groupBy(F.col("l_orderkey").cast("string").alias("tweet_id")).agg(F.collect_list(item).alias("brands_raw"))
+    posts = materialize(posts, "posts")
     names = parts.select(F.col("p_name").alias("brand_raw"))
     resolved = materialize(entities.resolve_names(names, lookup(spark, sf_dir)), "names")
     out = entities.resolve_mentions(posts, resolved)
