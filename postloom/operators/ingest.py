@@ -69,7 +69,7 @@ def number_rows(df: DataFrame) -> DataFrame:
     before = Window.orderBy(*key).rowsBetween(Window.unboundedPreceding, -1)
     files = df.groupBy(*key).agg(F.count("*").alias("_rows"), F.min("_pos").alias("_first"))
     files = files.withColumn("_offset", F.coalesce(F.sum("_rows").over(before), F.lit(0))).drop("_rows")
-    if len(df.inputFiles()) <= MAX_BROADCAST_FILES:
+    if 0 < len(df.inputFiles()) <= MAX_BROADCAST_FILES:
         files = F.broadcast(files)
     out = df.join(files, key).withColumn("row_ord", F.col("_offset") + F.col("_pos") - F.col("_first"))
     return out.drop(*key, "_pos", "_first", "_offset")

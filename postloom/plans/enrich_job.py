@@ -57,7 +57,10 @@ def run_clean(spark: SparkSession, cfg: EnrichConfig, counts: dict[str, int]) ->
     cleaned, seen = counted(
         clean.clean_posts(rows, "row_ord"), skipped=count_where(~F.col("accepted"))
     )
-    posts = ordering.take_rows(clean.accepted_posts(cleaned), "row_ord", cfg.limit)
+    posts = clean.accepted_posts(cleaned)
+    if cfg.limit:
+        # Finding the last row to keep reads the rows more than once, so they are cleaned once and written first.
+        posts = ordering.take_rows(materialize(posts, "accepted"), "row_ord", cfg.limit)
     posts, kept = counted(posts, extracted=F.count(F.lit(1)), spam=count_where(F.col("is_spam")))
     posts = materialize(posts, "clean")
     counts.update(seen.get)

@@ -11,6 +11,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from postloom.operators.star import upsert
 from postloom.schemas import STAR
@@ -88,7 +89,7 @@ class TableStore:
 
         # The jobs are independent; the cluster fills one's tail with the next one's tasks.
         with ThreadPoolExecutor(max_workers=len(self.schemas)) as pool:
-            list(pool.map(write, self.schemas))
+            list(pool.map(inheritable_thread_target(self.spark)(write), self.schemas))
         held = {**held, **{b: new_version for b in touched}}
         rows = [(new_version, b, v) for b, v in held.items()]
         log = self.spark.createDataFrame(rows, MANIFEST).coalesce(1)
