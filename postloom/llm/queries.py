@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postloom.llm import simhash
+from postloom.llm import simhash, substring
 from postloom.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,3 +34,31 @@ def op5_simhash_near_dedup(spark, sf_dir):
     """Fingerprint and component of every document."""
     found = simhash.near_dedup(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+ORACLES["op1_substring_dedup"] = r"""
+WITH w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+  FROM documents
+), win AS (
+  SELECT doc_id, i, array_to_string(words[i:i + 12], ' ') AS win
+  FROM w, unnest(generate_series(1, len(words) - 12)) AS t(i)
+), low AS (
+  SELECT win, min(doc_id) AS low FROM win GROUP BY win HAVING min(doc_id) < max(doc_id)
+), gone AS (
+  SELECT DISTINCT doc_id, i + k AS pos FROM win JOIN low USING (win), unnest(generate_series(0, 12)) AS u(k) WHERE low < doc_id
+), lost AS (
+  SELECT doc_id, list(pos) AS pos FROM gone GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(len(pos), 0) AS BIGINT) AS n_removed,
+       sha256(array_to_string(CASE WHEN pos IS NULL THEN words
+         ELSE list_filter(words, lambda x, n: NOT list_contains(pos, n)) END, ' ')) AS kept_sha256
+FROM w LEFT JOIN lost USING (doc_id)
+"""
+
+
+@query
+def op1_substring_dedup(spark, sf_dir):
+    """What is left of every document once runs of 13 words that an earlier one holds are removed."""
+    cleaned = substring.remove_copied(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cleaned.select("doc_id", "n_words", "n_removed", "kept_sha256")
