@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postloom.llm import simhash, substring
+from postloom.llm import mixing, quality, sharding, simhash, substring
 from postloom.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +62,69 @@ def op1_substring_dedup(spark, sf_dir):
     """What is left of every document once runs of 13 words that an earlier one holds are removed."""
     cleaned = substring.remove_copied(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return cleaned.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query
+def op9_quality_classifier(spark, sf_dir):
+    """Quality score of every document."""
+    return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+ORACLES["op6_source_mixing"] = r"""
+WITH sized AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+         md5('mix-1/' || doc_id) AS shuffle
+  FROM documents
+), sources AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+         row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1 AS number
+  FROM sized GROUP BY source
+), weighed AS (
+  SELECT *, [5, 2, 1][number % 3 + 1] AS weight, 3 * source_size AS most, sum(source_size) OVER () AS total FROM sources
+), tried AS (  -- with the sources capped that have the least room for their weight, what the others share
+  SELECT *, coalesce(sum(most) OVER w, 0) AS gone, coalesce(sum(weight) OVER w, 0) AS used, sum(weight) OVER () AS weights,
+         row_number() OVER (ORDER BY most / weight, number) AS k
+  FROM weighed WINDOW w AS (ORDER BY most / weight, number ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), cut AS (
+  SELECT coalesce(min(k), (SELECT count(*) + 1 FROM tried)) AS k
+  FROM tried WHERE most * (weights - used) >= weight * (total - gone)
+), targets AS (
+  SELECT number, source, source_size, CASE WHEN tried.k < cut.k THEN CAST(most AS DOUBLE)
+    ELSE CAST(weight * (SELECT total - gone FROM tried t, cut c WHERE t.k = c.k) AS DOUBLE)
+       / (SELECT weights - used FROM tried t, cut c WHERE t.k = c.k) END AS target
+  FROM tried, cut
+), ends AS (
+  SELECT *, CAST(floor(target) AS BIGINT) AS words, sum(CAST(floor(target) AS BIGINT)) OVER (ORDER BY number) AS upto,
+         sum(CAST(floor(target) AS BIGINT)) OVER () AS total
+  FROM targets
+), owned AS (
+  SELECT number, CAST(floor(CAST(upto - words AS DOUBLE) / total * 2147483648) AS BIGINT) AS low,
+         CAST(floor(CAST(upto AS DOUBLE) / total * 2147483648) AS BIGINT) AS high, total
+  FROM ends
+), points AS (
+  SELECT (i + 1) * 1327217885 % 2147483648 AS point
+  FROM range(CAST(ceil((SELECT max(total) FROM ends) / 64) AS BIGINT)) AS t(i)
+), slots AS (
+  SELECT number, count(*) AS slots FROM points JOIN owned ON low <= point AND point < high GROUP BY number
+), laid AS (
+  SELECT doc_id, size, source_size, target, coalesce(slots, 0) * 64 AS words,
+         sum(size) OVER (PARTITION BY targets.number ORDER BY shuffle, doc_id) - size AS place
+  FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source LEFT JOIN slots ON slots.number = targets.number
+)
+SELECT doc_id, size, source_size, target,
+       CAST(least(size, greatest(0, words - place)) + least(size, greatest(0, words - place - source_size))
+          + least(size, greatest(0, words - place - 2 * source_size)) AS BIGINT) AS taken
+FROM laid
+"""
+
+
+@query
+def op6_source_mixing(spark, sf_dir):
+    """How many words of every document the mixture takes."""
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op7_sharding(spark, sf_dir):
+    """Shard and place of every document."""
+    return sharding.shard(table(spark, sf_dir, "documents"))
