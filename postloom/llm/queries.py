@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postloom.llm import mixing, quality, sharding, simhash, substring
+from postloom.llm import mixing, packing, quality, sharding, simhash, substring, topk, warc
 from postloom.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -128,3 +128,52 @@ def op6_source_mixing(spark, sf_dir):
 def op7_sharding(spark, sf_dir):
     """Shard and place of every document."""
     return sharding.shard(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_best_fit_packing(spark, sf_dir):
+    """Piece, sequence and place of every document's tokens."""
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op4_exact_topk"] = r"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+         CAST(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) AS BIGINT) AS score
+  FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 100 = 0
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM s QUALIFY rank <= 10
+"""
+
+
+@query
+def op4_exact_topk(spark, sf_dir):
+    """The ten nearest vectors of every hundredth one."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, vectors.filter("vec_id % 100 = 0"))
+
+
+ORACLES["op8_warc"] = r"""
+WITH p AS (
+  SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes,
+         sha256(coalesce(html, '')) AS payload_digest
+  FROM pages
+), f AS (
+  SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM p
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
+FROM f
+"""
+
+
+@query
+def op8_warc(spark, sf_dir):
+    """Every page, as it is read back from the archives it was written to."""
+    records = warc.roundtrip(table(spark, sf_dir, "pages"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
