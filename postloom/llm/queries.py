@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postloom.llm import mixing, packing, quality, sharding, simhash, substring, topk, warc
-from postloom.session import tune
+from postloom.llm import fingerprints, mixing, packing, quality, rollups, sharding, simhash, substring, topk, warc
+from postloom.session import materialize, scratch_path, tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -177,3 +177,27 @@ def op8_warc(spark, sf_dir):
     """Every page, as it is read back from the archives it was written to."""
     records = warc.roundtrip(table(spark, sf_dir, "pages"))
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query
+def op3_document_fingerprints(spark, sf_dir):
+    """Fingerprint of every document and of its edited text."""
+    return fingerprints.fingerprint(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_token_rollups(spark, sf_dir):
+    """Totals after three batches over the documents, one of them sent twice: all are inserted; German ones are revised
+    to lower case; later copies of a text are deleted."""
+    docs = table(spark, sf_dir, "documents")
+    rollup = rollups.TokenRollup(spark, scratch_path(spark, "rollup"))
+    change = lambda rows, op: rows.select(F.lit(op).alias("op"), F.lit(0).alias("seq"), "doc_id", "source", "lang", "text")
+    rollup.apply("insert", change(docs, "insert"))
+    revised = change(docs.filter("lang = 'de'").withColumn("text", F.lower("text")), "revise")
+    rollup.apply("revise", revised)
+    rollup.apply("revise", revised)
+    digest = docs.select("doc_id", "source", "lang", F.sha2("text", 256).alias("digest"))
+    first = materialize(digest.groupBy("digest").agg(F.min("doc_id").alias("first")), "first")
+    copies = digest.join(first, "digest").filter("doc_id > first").withColumn("text", F.lit(None).cast("string"))
+    rollup.apply("delete", change(copies, "delete"))
+    return rollup.totals()
