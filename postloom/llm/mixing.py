@@ -8,10 +8,10 @@ number r. Past its last word a source starts over, up to ``REPEATS`` times in al
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from postloom.llm.common import utf8, word_count
+from postloom.llm.common import WORD, word_count
 from postloom.llm.ranking import positions
 from postloom.session import materialize
 
@@ -94,7 +94,7 @@ def mix(docs: DataFrame, block: int = BLOCK) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("source").cast("string").alias("source"),
         word_count(F.col("text")).alias("size"),
-        F.coalesce(F.crc32(utf8(F.col("text"))), F.lit(-1)).cast("long").alias("text_key"),
+        F.xxhash64("text").alias("text_key"),
     )
     sized = materialize(sized.withColumn("shuffle", digest), "sized")
     targets = source_targets(sized)
@@ -120,3 +120,21 @@ def mix(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     return placed.join(used, "position", "left").select(
         "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "text_key"
     )
+
+
+def apply_mix(docs: DataFrame, block: int = BLOCK) -> DataFrame:
+    """The mixture as rows of ``docs(doc_id, text, source, ...)``: each row as often as it is taken whole, and cut to its
+    first words where the mixture ends inside it; texts of which nothing is taken are left out. Rows equal in doc_id and
+    text share what is taken of them. Columns other than ``text`` stay as they are."""
+    key = F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit("")).alias("_id")
+    taken = mix(docs, block).groupBy(key, F.col("text_key").alias("_key")).agg(F.sum("taken").alias("_taken"), F.max("size").alias("_size"))
+    taken = materialize(taken.filter("_taken > 0"), "taken")
+    same = Window.partitionBy("_id", "_key").orderBy("_id")
+    rows = docs.withColumns({"_id": key, "_key": F.xxhash64("text")}).join(taken, ["_id", "_key"])
+    rows = rows.withColumn("_nth", F.row_number().over(same)).filter("_nth = 1")
+    rest = (F.col("_taken") % F.col("_size")).cast("int")
+    part = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1)), F.lit(1), rest), " ")
+    whole = F.array_repeat(F.col("text"), F.expr("int(_taken div _size)"))
+    texts = F.when(rest > 0, F.concat(whole, F.array(part))).otherwise(whole)
+    rows = rows.withColumn("_text", F.explode(texts))
+    return rows.select(*[F.col("_text").alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns])

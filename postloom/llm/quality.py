@@ -171,6 +171,23 @@ def _scored(batches, model):
         yield {"doc_id": batch.column("doc_id"), "score": model.score(x)}
 
 
+def _kept(batches, model, threshold):
+    for batch in batches:
+        texts = batch.column("text").cast(pa.binary()).to_pylist()
+        if texts:
+            x = np.array([measures(t) for t in texts], np.float32).astype(np.float64)
+            good = model.score(x) >= threshold
+            yield batch.filter(pa.array(good))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs(doc_id, text, ...)`` that score ``threshold`` or more, all their columns as they are. The
+    model sees and judges texts as in ``score_quality``; each text is measured once to learn and once to judge, so that
+    no text is shuffled. Without a trusted positive every row stays."""
+    model = train(materialize(measured(docs), "measures"), labels)
+    return docs if model is None else docs.mapInArrow(partial(_kept, model=model, threshold=threshold), docs.schema)
+
+
 def score_quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``(doc_id, held_out, score, predicted)`` for every row of ``docs(doc_id, text)``; fits the model in a job.
 

@@ -19,7 +19,7 @@ from itertools import combinations, repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postloom.llm.common import arrow_map, utf8
@@ -62,13 +62,16 @@ def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
 def _fingerprints(batches, shingle):
     for batch in batches:
         values = [fingerprint(t, shingle) for t in batch.column("text").to_pylist()]
-        yield {"doc_id": batch.column("doc_id"), "fp": np.array(values, np.uint64).view(np.int64)}
+        passed = {c: batch.column(c) for c in ("doc_id", "mark")}
+        yield passed | {"fp": np.array(values, np.uint64).view(np.int64)}
 
 
 def simhash(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``(doc_id, fp)``, fp the fingerprint as a signed long. One pass over the texts, no shuffle. Null text gives 0."""
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), utf8(F.col("text")).alias("text"))
-    return arrow_map(source, partial(_fingerprints, shingle=shingle), "doc_id long, fp long")
+    """``(doc_id, mark, fp)``: fp is the fingerprint as a signed long, mark a hash of the text that tells rows of one
+    doc_id apart. One pass over the texts, no shuffle. Null text gives 0."""
+    text = F.col("text")
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("mark"), utf8(text).alias("text"))
+    return arrow_map(source, partial(_fingerprints, shingle=shingle), "doc_id long, mark long, fp long")
 
 
 def _forest(values: np.ndarray, choice: int, shared: int):
@@ -180,6 +183,20 @@ def near_links(fps: DataFrame, list_limit: int = LIST_LIMIT) -> DataFrame:
     return links
 
 
+def _id_key(doc_id: Column) -> Column:
+    return F.coalesce(doc_id.cast("long").cast("string"), F.lit(""))
+
+
+def _groups(fps: DataFrame, list_limit: int) -> DataFrame:
+    """``(fp, root, component_id)`` of every distinct fingerprint."""
+    distinct = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("low")), "distinct")
+    roots = materialize(components(near_links(distinct.select("fp"), list_limit)), "roots")
+    rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
+    rooted = materialize(rooted.select("fp", "low", F.coalesce("root", "fp").alias("root")), "rooted")
+    lowest = materialize(rooted.groupBy("root").agg(F.min("low").alias("component_id")), "lowest")
+    return materialize(rooted.join(lowest, "root").select("fp", "root", "component_id"), "groups")
+
+
 def near_dedup(docs: DataFrame, shingle: int = SHINGLE, list_limit: int = LIST_LIMIT) -> DataFrame:
     """``(doc_id, fp, component_id)`` for every row of ``docs(doc_id, text)``: component_id is the smallest doc_id in
     the group of documents whose fingerprints are linked, directly or through others.
@@ -190,10 +207,19 @@ def near_dedup(docs: DataFrame, shingle: int = SHINGLE, list_limit: int = LIST_L
     ``docs`` are not read.
     """
     fps = materialize(simhash(docs, shingle), "simhash")
-    distinct = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("low")), "distinct")
-    roots = materialize(components(near_links(distinct.select("fp"), list_limit)), "roots")
-    rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
-    rooted = materialize(rooted.select("fp", "low", F.coalesce("root", "fp").alias("root")), "rooted")
-    lowest = materialize(rooted.groupBy("root").agg(F.min("low").alias("component_id")), "lowest")
-    groups = materialize(rooted.join(lowest, "root").select("fp", "component_id"), "groups")
+    groups = _groups(fps, list_limit)
     return fps.join(groups, "fp").select("doc_id", "fp", "component_id")
+
+
+def keep_one(docs: DataFrame, shingle: int = SHINGLE, list_limit: int = LIST_LIMIT) -> DataFrame:
+    """One row of each near-duplicate group of ``docs(doc_id, text, ...)``, all its columns as they are: the row whose
+    doc_id is the component_id of the group; of several such rows the one with the smallest text hash, and of equal rows
+    one. In a group without doc_ids the text hash decides alone."""
+    fps = materialize(simhash(docs, shingle), "simhash")
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("mark"))
+    best = fps.join(_groups(fps, list_limit), "fp").groupBy("root").agg(F.min(rank).alias("k"))
+    best = materialize(best.select(_id_key(F.col("k.doc_id")).alias("_id"), F.col("k.mark").alias("_mark")), "kept")
+    keyed = docs.withColumns({"_id": _id_key(F.col("doc_id")), "_mark": F.xxhash64("text")})
+    same = Window.partitionBy("_id", "_mark").orderBy("_id")
+    found = keyed.join(best, ["_id", "_mark"], "left_semi").withColumn("_nth", F.row_number().over(same))
+    return found.filter("_nth = 1").select(*[F.col(f"`{c}`") for c in docs.columns])

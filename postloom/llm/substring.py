@@ -369,17 +369,18 @@ def _clean(batches, window):
             out["n_words"].append(n)
             out["n_removed"].append(n - len(kept))
             out["kept_sha256"].append(hashlib.sha256(joined).hexdigest())
-            out["kept"].append(joined.decode())
+            out["kept"].append(joined.decode() if len(kept) < n else (text.as_py() or b"").decode())
         passed = {f: batch.column(f) for f in ("doc_id", "rest")}
         yield passed | out
 
 
 def remove_copied(docs: DataFrame, window: int = WINDOW, piece: int = PIECE) -> DataFrame:
     """Every row of ``docs(doc_id, text, ...)`` with ``n_words, n_removed, kept_sha256, kept``; further columns stay,
-    except that columns with these names are replaced; ``text`` is not returned.
+    except that columns with these names are replaced; ``text`` is not returned. ``kept`` is the text itself where no
+    word goes, else the words that stay, joined by blanks; ``kept_sha256`` is always that of the joined words.
 
     A word goes if a window of ``window`` words that covers it also starts in a document with a smaller doc_id. Windows
-    are judged on the input. Null and empty texts have no words and keep the empty string; texts shorter than a window
+    are judged on the input. Null and empty texts have no words and leave the empty string; texts shorter than a window
     stay whole. Rows without doc_id neither lose words nor cost others theirs. Rows that share a doc_id are not earlier
     than one another, so a repeated row stays as it is. No rows give no rows.
     """

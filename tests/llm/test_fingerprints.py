@@ -93,11 +93,14 @@ def test_odd_rows(spark):
     assert [(r.near_edited > 0, r.near_next) for r in alone] == [(True, 1.0)] or alone[0].near_next == 1.0
 
 
-def test_native_plan(spark, plan):
-    text = plan(fp.fingerprint(spark.range(9).selectExpr("id AS doc_id", "concat('a b ', id) AS text")))
+def test_native_plan(spark, plan, tmp_path):
+    spark.range(300).selectExpr("id AS doc_id", "repeat(concat('a b ', uuid()), 50) AS text").write.parquet(str(tmp_path / "d"))
+    text = plan(fp.fingerprint(spark.read.parquet(str(tmp_path / "d"))))
     assert not re.search("Python|Arrow|Pandas|ExistingRDD|MapPartitions", text)
     # One exchange moves texts; nothing after the terms is exchanged again.
-    assert "HashAggregate" in text.split("Generate")[0] and "Exchange" not in text.split("Generate")[0]
+    above = text.split("Generate")[0]
+    assert above.count("HashAggregate") == 4 and "Exchange" not in above
+    assert len(re.findall("Exchange hashpartitioning", text)) == 1
 
 
 def test_empty_table(spark):

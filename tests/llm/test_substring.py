@@ -18,13 +18,13 @@ def slow(rows, window):
                 key = tuple(w[i : i + window])
                 low[key] = min(d, low.get(key, d))
     out = []
-    for (d, _), w in zip(rows, words):
+    for (d, t), w in zip(rows, words):
         gone = set()
         for i in range(len(w) - window + 1):
             if d is not None and low[tuple(w[i : i + window])] < d:
                 gone.update(range(i, i + window))
         kept = b" ".join(x for i, x in enumerate(w) if i not in gone)
-        out.append((str(d), len(w), len(gone), hashlib.sha256(kept).hexdigest(), kept.decode()))
+        out.append((str(d), len(w), len(gone), hashlib.sha256(kept).hexdigest(), kept.decode() if gone else t or ""))
     return sorted(out)
 
 
