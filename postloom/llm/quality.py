@@ -29,11 +29,14 @@ STEPS = 500
 THRESHOLD = 0.3
 SEED = 11
 
+#: Words among which distinct ones are counted, so that a long text is not taken for a repetitive one.
+SPAN = 256
+
 _PUNCTUATION = np.frombuffer(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~", np.uint8)
 
 
 def measures(text: bytes | None) -> np.ndarray:
-    """Scale-free measures of a text; all zero but for the first where it has no word."""
+    """Measures of a text that do not depend on its length beyond a few words; all zero where it has no word."""
     text = text or b""
     words = text.split()
     if not words:
@@ -45,7 +48,7 @@ def measures(text: bytes | None) -> np.ndarray:
     lengths = np.fromiter(map(len, words), np.int64, n)
     stats = [
         1.0,
-        np.log1p(n),
+        np.minimum(n, 8) / 8,
         upper / size,
         lower / size,
         upper / max(1, upper + lower),
@@ -54,11 +57,11 @@ def measures(text: bytes | None) -> np.ndarray:
         (counts[9:14].sum() + counts[32]) / size,
         counts[:9].sum() / size + counts[14:32].sum() / size + counts[127] / size,
         counts[_PUNCTUATION].sum() / size,
-        len(set(words)) / n,
+        sum(len(set(words[i : i + SPAN])) for i in range(0, n, SPAN)) / n,
         sum(map(eq, words, words[1:])) / max(1, n - 1),
         len(set(lines)) / max(1, len(lines)),
-        np.log1p(n / max(1, len(lines))),
-        np.log1p(n / (1 + counts[46] + counts[33] + counts[63])),
+        np.log1p(100 * len(lines) / n),
+        np.log1p(100 * (counts[46] + counts[33] + counts[63]) / n),
         np.log(lengths.mean()),
         (lengths > 20).mean(),
     ]
