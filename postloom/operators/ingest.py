@@ -10,9 +10,7 @@ from postloom.functions.numbers import safe_int
 from postloom.functions.payload import author_fields, image_links_json, with_payload
 from postloom.functions.text import first_nonempty
 from postloom.schemas import MERGED_COLUMNS
-
-# One offset per file takes some hundred bytes, so this many stay below Spark's own broadcast threshold.
-MAX_BROADCAST_FILES = 50_000
+from postloom.session import materialize
 
 
 def union_batches(*batches: DataFrame) -> DataFrame:
@@ -61,50 +59,77 @@ def backfill_authors(df: DataFrame) -> DataFrame:
 def number_rows(df: DataFrame) -> DataFrame:
     """Turn ``(_source_rank, _file, _pos)`` of a landing read into a 0-based ``row_ord`` over all rows.
 
-    Positions within a file are consecutive, so per-file counts are enough: one extra, column-pruned scan and a running
-    sum with one row per input file. No row is sorted. The per-file offsets are broadcast while the number of files, which
-    the driver knows from its listing, keeps them small; beyond that the planner joins by file and splits large ones.
+    Positions within a file are consecutive, so per-file bounds are enough: one extra, column-pruned scan (a job) and a
+    running sum with one row per input file. No row is sorted. The per-file offsets are written down, so the planner
+    knows their size. A source whose positions have gaps, as a merged table has, leaves gaps in ``row_ord``.
     """
     key = ["_source_rank", "_file"]
     before = Window.orderBy(*key).rowsBetween(Window.unboundedPreceding, -1)
-    files = df.groupBy(*key).agg(F.count("*").alias("_rows"), F.min("_pos").alias("_first"))
+    files = df.groupBy(*key).agg((F.max("_pos") - F.min("_pos") + 1).alias("_rows"), F.min("_pos").alias("_first"))
     files = files.withColumn("_offset", F.coalesce(F.sum("_rows").over(before), F.lit(0))).drop("_rows")
-    if 0 < len(df.inputFiles()) <= MAX_BROADCAST_FILES:
-        files = F.broadcast(files)
+    files = materialize(files, "files")
     out = df.join(files, key).withColumn("row_ord", F.col("_offset") + F.col("_pos") - F.col("_first"))
     return out.drop(*key, "_pos", "_first", "_offset")
 
 
-def fill_missing_ids(df: DataFrame, id_col: str = "tweet_id", ord_col: str = "row_ord") -> DataFrame:
-    """Rows without an id become ``unknown_<input ordinal>``."""
-    made = F.concat(F.lit("unknown_"), F.col(ord_col).cast("string"))
+def place_in_file(df: DataFrame) -> DataFrame:
+    """Turn ``(_file, _pos)`` of a read into ``source_file`` and ``file_row``, a row's 0-based place in its file.
+
+    Unlike an ordinal over all files, it does not depend on which other files are read.
+    """
+    firsts = materialize(df.groupBy("_file").agg(F.min("_pos").alias("_first")), "files")
+    out = df.join(firsts, "_file").withColumn("file_row", F.col("_pos") - F.col("_first"))
+    return out.withColumnRenamed("_file", "source_file").drop("_pos", "_first", "_source_rank")
+
+
+def fill_missing_ids(df: DataFrame, id_col: str = "tweet_id", *ord_cols: str) -> DataFrame:
+    """Rows without an id become ``unknown_<input ordinal>``, or what the named columns hold, joined by ``_``."""
+    made = F.concat_ws("_", F.lit("unknown"), *[F.col(c).cast("string") for c in ord_cols or ("row_ord",)])
     return df.withColumn(id_col, F.coalesce(F.nullif(F.col(id_col), F.lit("")), made))
 
 
 def dedup_best(df: DataFrame, id_col: str, score: Column, ord_col: str) -> DataFrame:
-    """One row per id: highest score, first seen on ties; ``first_ord`` is where the id was first seen.
+    """One row per id: highest score, first seen on ties; ``first_ord`` is where the id was first seen. ``ord_col`` may
+    be of any ordered type.
 
     An aggregate rather than a window, so each task first reduces its own rows to one per id: an id that holds a third
     of the table reaches the shuffle as one row per task.
     """
     row = F.struct(*[F.col(c) for c in df.columns if c != id_col])
     best = df.groupBy(id_col).agg(
-        F.max_by(row, F.struct(score, -F.col(ord_col))).alias("_row"), F.min(ord_col).alias("first_ord")
+        F.min_by(row, F.struct(-score, F.col(ord_col))).alias("_row"), F.min(ord_col).alias("first_ord")
     )
     return best.select(id_col, "_row.*", "first_ord")
 
 
 def engagement() -> Column:
-    return safe_int(F.col("likes")) + safe_int(F.col("retweets")) + safe_int(F.col("comments"))
+    """Likes, retweets and comments; three counts of 64 bits need more than 64 for their sum."""
+    return sum(safe_int(F.col(c)).cast("decimal(38,0)") for c in ("likes", "retweets", "comments"))
 
 
-def merge_batches(df: DataFrame) -> DataFrame:
-    """From a landing read to the merged table: the target columns plus ``row_ord`` (position of first sight)."""
-    numbered = fill_missing_ids(number_rows(project_merged(df, "_source_rank", "_file", "_pos")))
-    best = dedup_best(numbered, "tweet_id", engagement(), "row_ord")
+def merge_rows(rows: DataFrame, ord_col: str = "row_ord") -> DataFrame:
+    """One row per id of rows that have one, author fields filled: the target columns plus ``ord_col``, where the id was
+    first seen."""
+    best = dedup_best(rows, "tweet_id", engagement(), ord_col)
     # Back-filling touches single rows and no deduplication key, so only the winners pay for payload parsing.
-    merged = backfill_authors(best.drop("row_ord").withColumnRenamed("first_ord", "row_ord"))
-    return merged.select(*MERGED_COLUMNS, "row_ord")
+    merged = backfill_authors(best.drop(ord_col).withColumnRenamed("first_ord", ord_col))
+    return merged.select(*MERGED_COLUMNS, ord_col)
+
+
+def numbered_rows(df: DataFrame, missing_ids: str = "ordinal") -> DataFrame:
+    """Rows of a landing read with ``row_ord``, an id in each: ``unknown_<row_ord>`` where there was none, or with
+    ``missing_ids="file"`` ``unknown_<file>_<row in it>``, which stays the same whatever else is in the folder."""
+    rows = project_merged(df, "_source_rank", "_file", "_pos")
+    if missing_ids == "ordinal":
+        return fill_missing_ids(number_rows(rows))
+    keyed = place_in_file(rows.withColumns({"_from": F.struct("_source_rank", "_file", "_pos")}))
+    named = fill_missing_ids(keyed, "tweet_id", "source_file", "file_row").drop("source_file", "file_row")
+    return number_rows(named.select("*", "_from.*").drop("_from"))
+
+
+def merge_batches(df: DataFrame, missing_ids: str = "ordinal") -> DataFrame:
+    """From a landing read to the merged table."""
+    return merge_rows(numbered_rows(df, missing_ids))
 
 
 def flatten_author(df: DataFrame) -> DataFrame:

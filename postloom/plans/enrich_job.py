@@ -38,7 +38,6 @@ class EnrichConfig:
     retry_wait: float = 2.0
     vocabulary: Vocabulary = field(default_factory=default_vocabulary)
     encoder: object = vectors.hash_encoder
-    store_buckets: int = 64
 
 
 @dataclass
@@ -163,7 +162,7 @@ def enrich(
     result.counts.update(name_counts(mentions, resolved))
     result.enriched = final
     if not cfg.dry_run:
-        result.version = StarStore(spark, cfg.store, cfg.store_buckets).load(star.star_tables(final))
+        result.version = StarStore(spark, cfg.store).load(star.star_tables(final))
     return result
 
 

@@ -9,8 +9,8 @@ from postloom.sources.export import export_csv, load_warehouse
 from postloom.sources.star_store import StarStore
 
 
-def export_star(spark: SparkSession, store: str, out: str, buckets: int = 64) -> dict[str, int | str]:
-    return export_csv(StarStore(spark, store, buckets).tables(), out)
+def export_star(spark: SparkSession, store: str, out: str) -> dict[str, int | str]:
+    return export_csv(StarStore(spark, store).tables(), out)
 
 
 def load_exports(

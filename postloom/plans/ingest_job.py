@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from postloom.metrics import counted
 from postloom.operators import ingest
-from postloom.schemas import MERGED_COLUMNS
 from postloom.session import tune
 from postloom.sources.csv_tables import read_landing, write_merged
 
@@ -22,15 +21,14 @@ class IngestCounts:
 
 
 def ingest_landing(
-    spark: SparkSession, landing: str, out: str, base: str | None = None, fmt: str = "parquet"
+    spark: SparkSession, landing: str, out: str, base: str | None = None, fmt: str = "parquet",
+    missing_ids: str = "ordinal",
 ) -> IngestCounts:
-    """Read, deduplicate, back-fill, write. One shuffle of the data, by id."""
+    """Read, deduplicate, back-fill, write. One shuffle of the data, by id. ``base`` may be an earlier output."""
     tune(spark)
-    batches = ingest.project_merged(read_landing(spark, landing, base), "_source_rank", "_file", "_pos")
-    numbered, before = counted(ingest.number_rows(batches), rows=F.count(F.lit(1)))
-    best = ingest.dedup_best(ingest.fill_missing_ids(numbered), "tweet_id", ingest.engagement(), "row_ord")
-    merged = ingest.backfill_authors(best.drop("row_ord").withColumnRenamed("first_ord", "row_ord"))
-    watched, after = counted(merged.select(*MERGED_COLUMNS, "row_ord"), rows=F.count(F.lit(1)))
+    rows = ingest.numbered_rows(read_landing(spark, landing, base), missing_ids)
+    numbered, before = counted(rows, rows=F.count(F.lit(1)))
+    watched, after = counted(ingest.merge_rows(numbered), rows=F.count(F.lit(1)))
     write_merged(watched, out, fmt)
     n_before, n_after = before.get["rows"], after.get["rows"]
     return IngestCounts(n_before, n_before - n_after, n_after)

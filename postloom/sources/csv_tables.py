@@ -13,6 +13,7 @@ from postloom.operators.ingest import number_rows, project_merged, union_batches
 from postloom.schemas import MERGED, MERGED_COLUMNS
 from postloom.session import materialize
 from postloom.sources.files import exists, first_lines, list_files
+from postloom.sources.star_store import TableStore
 
 READ = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"', "encoding": "UTF-8"}
 WRITE = {
@@ -26,6 +27,14 @@ WRITE = {
 }
 
 
+MERGED_STORE = {"merged": ", ".join(f"`{c}` string" for c in MERGED_COLUMNS) + ", source_file string, file_row bigint"}
+
+
+def merged_store(spark: SparkSession, root: str) -> TableStore:
+    """The merged table as a store, one row per id, with the file and row in it where the id was first seen."""
+    return TableStore(spark, root, MERGED_STORE, "merged")
+
+
 def _strings(names: list[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
@@ -59,12 +68,17 @@ def read_csv_files(spark: SparkSession, paths: list[str], rank: int = 1) -> Data
 
 
 def read_landing(spark: SparkSession, landing: str, base: str | None = None) -> DataFrame:
-    """The optional base file first (a warning if it is missing), then every ``*.csv`` of the landing folder by name."""
+    """The optional base first (CSV, or Parquet as the merge job writes it; a warning if it is missing), then every
+    ``*.csv`` of the landing folder by name."""
     parts = []
     if base is not None:
         if exists(spark, base):
             files = list_files(spark, base.rstrip("/") + "/*.csv") or list_files(spark, base)
-            parts.append(read_csv_files(spark, files, rank=0))
+            if files:
+                parts.append(read_csv_files(spark, files, rank=0))
+            else:  # an earlier merged table, which has its own order
+                rows = spark.read.parquet(base)
+                parts.append(rows.select(*MERGED_COLUMNS, F.lit(0).alias("_source_rank"), F.lit("").alias("_file"), F.col("row_ord").alias("_pos")))
         else:
             warnings.warn(f"base file {base} does not exist", stacklevel=2)
     batches = list_files(spark, landing.rstrip("/") + "/*.csv")
@@ -76,7 +90,12 @@ def read_landing(spark: SparkSession, landing: str, base: str | None = None) ->
 
 
 def read_merged(spark: SparkSession, path: str) -> DataFrame:
-    """The merged table with ``row_ord``, from Parquet or CSV; a missing path is an AnalysisException."""
+    """The merged table with ``row_ord``, from Parquet, CSV or the store a stream keeps; a missing path is an
+    AnalysisException."""
+    if exists(spark, path.rstrip("/") + "/_manifest"):
+        rows = merged_store(spark, path).read("merged")
+        placed = rows.select("*", F.lit(0).alias("_source_rank"), F.col("source_file").alias("_file"), F.col("file_row").alias("_pos"))
+        return number_rows(placed).select(*MERGED_COLUMNS, "row_ord")
     if exists(spark, path) and not list_files(spark, path.rstrip("/") + "/*.csv") and not path.endswith(".csv"):
         return spark.read.parquet(path)
     if not exists(spark, path):

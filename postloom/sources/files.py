@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -46,3 +48,40 @@ def first_lines(spark: SparkSession, paths: list[str], threads: int = 16) -> lis
 
     with ThreadPoolExecutor(max_workers=threads) as pool:
         return list(pool.map(peek, paths))
+
+
+def create_file(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file; False where it exists. The content is complete before the name appears."""
+    jvm, p, fs = _hadoop(spark, path)
+    fs.mkdirs(p.getParent())
+    aside = jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{uuid.uuid4().hex}")
+    stream = fs.create(aside, False)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    # A claim that only one writer can create decides, since a rename may replace its target on some file systems.
+    try:
+        fs.create(jvm.org.apache.hadoop.fs.Path(p.getParent(), f"{p.getName()}.claim"), False).close()
+    except Py4JJavaError as exc:
+        if "AlreadyExists" not in str(exc.java_exception):
+            raise
+        fs.delete(aside, False)
+        return False
+    return bool(fs.rename(aside, p))
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file, making the folder it goes to."""
+    jvm, p, fs = _hadoop(spark, target)
+    fs.mkdirs(p.getParent())
+    if not fs.rename(jvm.org.apache.hadoop.fs.Path(source), p):
+        raise OSError(f"cannot move {source} to {target}")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """Content of a small file."""
+    jvm, p, fs = _hadoop(spark, path)
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()

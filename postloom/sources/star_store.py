@@ -1,104 +1,124 @@
 """Tables on disk that change together: Parquet folders under one manifest.
 
-Each load writes new files under its own version and then one small manifest file, which says for every bucket of ids
-which version holds it. Readers follow the newest manifest, so all tables switch at once and a failed load leaves
-nothing visible. Buckets no id of the batch falls into are not rewritten. One writer at a time.
+A load writes its rows under a folder of its own and then one small manifest file that lists all loads, oldest first.
+Readers follow the newest manifest, so all tables switch at once and a failed load leaves nothing visible. An id belongs
+to the last load that has it: reading keeps the rows of that load only. Old rows are not touched by a load. When
+``FAN`` loads of one tier have gathered at the end of the list they are merged into one of the next tier, so that a row
+is rewritten about log(loads) times in all, and a read meets a few folders.
+
+Manifest files are created, never replaced: of two writers that start from one version, the second fails and may load
+again. Their folders never collide.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
-from postloom.operators.star import upsert
 from postloom.schemas import STAR
 from postloom.session import empty
-from postloom.sources.files import exists, list_folders
+from postloom.sources.files import create_file, list_files, read_text
 
-MANIFEST = "version int, bucket int, held_by int"
+FAN = 8
 
 
-class TableStore:
-    """Tables keyed by ``tweet_id``; ``schemas`` maps names to DDL, and ``parent`` names the table that has every id once.
-
-    ``buckets`` is fixed when the store is created; aim for some hundred MB per bucket of the largest table.
-    """
+class Conflict(RuntimeError):
+    """Another writer has published this version; load again."""
 
-    def __init__(self, spark: SparkSession, root: str, schemas: dict[str, str], parent: str, buckets: int = 64):
-        self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
-        self.schemas, self.parent = schemas, parent
 
-    def _bucket(self) -> Column:
-        return F.pmod(F.xxhash64("tweet_id"), F.lit(self.buckets)).cast("int")
+class TableStore:
+    """Tables keyed by ``tweet_id``; ``schemas`` maps names to DDL, and ``parent`` names the table that has every id once."""
 
-    def current(self) -> tuple[int, dict[int, int]]:
-        """(version, bucket -> version that holds it); (0, {}) before the first load. Reads ``buckets`` rows."""
-        path = f"{self.root}/_manifest"
-        if not exists(self.spark, path):
-            return 0, {}
-        log = self.spark.read.schema(MANIFEST).parquet(path)
-        version = log.agg(F.max("version")).first()[0] or 0
-        return version, {r[0]: r[1] for r in log.filter(F.col("version") == version).select("bucket", "held_by").collect()}
+    def __init__(self, spark: SparkSession, root: str, schemas: dict[str, str], parent: str):
+        self.spark, self.root = spark, root.rstrip("/")
+        self.schemas, self.parent = schemas, parent
 
-    def _read(self, table: str, held: dict[int, int]) -> DataFrame:
-        if not held:
-            return empty(self.spark, self.schemas[table])
-        wanted = {f"version={v}/bucket={b}" for b, v in held.items()}
-        versions = ",".join(str(v) for v in sorted(set(held.values())))
-        # A bucket without rows of this table has no folder; one listing finds those that exist.
-        found = list_folders(self.spark, f"{self.root}/{table}/version={{{versions}}}/bucket=*")
-        folders = [f for f in found if "/".join(f.rstrip("/").split("/")[-2:]) in wanted]
-        if not folders:
+    def current(self) -> tuple[int, list[dict]]:
+        """(version, loads as ``{folder, tier}``, oldest first); (0, []) before the first load."""
+        found = list_files(self.spark, f"{self.root}/_manifest/*.json")
+        if not found:
+            return 0, []
+        state = json.loads(read_text(self.spark, found[-1]))
+        return state["version"], state["loads"]
+
+    def _publish(self, version: int, loads: list[dict]) -> int:
+        text = json.dumps({"version": version, "loads": loads})
+        # Twenty digits: names sort like numbers.
+        if not create_file(self.spark, f"{self.root}/_manifest/{version:020d}.json", text):
+            raise Conflict(f"version {version} of {self.root} exists")
+        return version
+
+    def _rows(self, table: str, loads: list[dict]) -> DataFrame:
+        """All rows of some loads, with ``_load``, the place of their load in the list."""
+        parts = [
+            self.spark.read.schema(self.schemas[table]).parquet(f"{self.root}/{load['folder']}/{table}").withColumn("_load", F.lit(n))
+            for n, load in enumerate(loads)
+        ]
+        return reduce(DataFrame.unionByName, parts)
+
+    def _merged(self, table: str, loads: list[dict]) -> DataFrame:
+        if not loads:
             return empty(self.spark, self.schemas[table])
-        return self.spark.read.schema(self.schemas[table]).parquet(*folders)
+        rows = self._rows(table, loads)
+        if len(loads) > 1:
+            # Few columns of the parent decide: an id's rows are those of its last load, in every table.
+            last = self._rows(self.parent, loads).groupBy("tweet_id").agg(F.max("_load").alias("_load"))
+            rows = rows.join(last, ["tweet_id", "_load"], "left_semi")
+        return rows.drop("_load")
 
     def read(self, table: str) -> DataFrame:
         """One table as of now."""
-        return self._read(table, self.current()[1])
+        return self._merged(table, self.current()[1])
 
     def tables(self) -> dict[str, DataFrame]:
-        held = self.current()[1]
-        return {t: self._read(t, held) for t in self.schemas}
+        loads = self.current()[1]
+        return {t: self._merged(t, loads) for t in self.schemas}
 
     def register_views(self) -> None:
         """Temporary views named like the tables, for plain SQL."""
         for name, df in self.tables().items():
             df.createOrReplaceTempView(name)
 
-    def load(self, batch: dict[str, DataFrame]) -> int:
-        """Upsert a batch of all tables with unique parent ids; returns the new version.
-
-        Pass written tables, not long plans: each is read more than once. Loading the same batch again changes nothing.
-        """
-        version, held = self.current()
-        new_version = version + 1
-        ids = batch[self.parent].select("tweet_id")
-        touched = [r[0] for r in ids.select(self._bucket().alias("b")).distinct().collect()]
-        if not touched:
-            return version
-        stale = {b: v for b, v in held.items() if b in set(touched)}
+    def _write(self, tables: dict[str, DataFrame]) -> str:
+        folder = f"load-{uuid.uuid4().hex}"
 
         def write(table: str) -> None:
-            merged = upsert(self._read(table, stale), batch[table], ids)
-            # Rebalance splits large buckets and packs small ones, so file sizes do not depend on the bucket count.
-            out = merged.withColumn("bucket", self._bucket()).hint("rebalance", "bucket")
-            out.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.root}/{table}/version={new_version}")
+            tables[table].write.parquet(f"{self.root}/{folder}/{table}")
 
         # The jobs are independent; the cluster fills one's tail with the next one's tasks.
         with ThreadPoolExecutor(max_workers=len(self.schemas)) as pool:
             list(pool.map(inheritable_thread_target(self.spark)(write), self.schemas))
-        held = {**held, **{b: new_version for b in touched}}
-        rows = [(new_version, b, v) for b, v in held.items()]
-        log = self.spark.createDataFrame(rows, MANIFEST).coalesce(1)
-        log.write.mode("append").parquet(f"{self.root}/_manifest")
-        return new_version
+        return folder
+
+    def load(self, batch: dict[str, DataFrame]) -> int:
+        """Upsert a batch of all tables with unique parent ids; returns the version that shows it.
+
+        Loading the same batch again changes nothing that a reader sees.
+        """
+        version, loads = self.current()
+        if batch[self.parent].isEmpty():
+            return version
+        columns = {t: [c for c in self.spark.createDataFrame([], ddl).columns] for t, ddl in self.schemas.items()}
+        folder = self._write({t: batch[t].select(*columns[t]) for t in self.schemas})
+        loads = [*loads, {"folder": folder, "tier": 0}]
+        version = self._publish(version + 1, loads)
+        while len(loads) >= FAN and len({load["tier"] for load in loads[-FAN:]}) == 1:
+            tail = loads[-FAN:]
+            # Rebalance packs the small files of many loads and splits large ones.
+            merged = {t: self._merged(t, tail).hint("rebalance") for t in self.schemas}
+            loads = [*loads[:-FAN], {"folder": self._write(merged), "tier": tail[0]["tier"] + 1}]
+            version = self._publish(version + 1, loads)
+        return version
 
 
 class StarStore(TableStore):
     """The six tables of the star schema."""
 
-    def __init__(self, spark: SparkSession, root: str, buckets: int = 64):
-        super().__init__(spark, root, STAR, "tweets", buckets)
+    def __init__(self, spark: SparkSession, root: str):
+        super().__init__(spark, root, STAR, "tweets")

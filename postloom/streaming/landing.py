@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from postloom.operators.ingest import backfill_authors, dedup_best, engagement, fill_missing_ids, project_merged
+from postloom.operators.ingest import dedup_best, engagement, fill_missing_ids, merge_rows, place_in_file, project_merged
 from postloom.schemas import MERGED_COLUMNS
 from postloom.session import materialize, tune
-from postloom.sources.csv_tables import READ
+from postloom.sources.csv_tables import READ, merged_store
 from postloom.sources.star_store import TableStore
 
 
@@ -50,44 +50,33 @@ def keep_best(
     return dedup_best(rows, id_col, score, ord_col).select(*batch.columns)
 
 
-MERGED_STORE = {"merged": ", ".join(f"`{c}` string" for c in MERGED_COLUMNS) + ", row_ord decimal(38,0)"}
-
-
-def merged_store(spark: SparkSession, root: str, buckets: int = 16) -> TableStore:
-    """The merged table as a store, one row per id."""
-    return TableStore(spark, root, MERGED_STORE, "merged", buckets)
-
-
 def merge_batch(store: TableStore, batch: DataFrame, batch_id: int) -> None:
-    """Fold a micro-batch of raw rows into the store: the most engaged copy of each id, the first seen on ties.
-
-    ``row_ord`` orders batches, then rows within one. Only stored rows of the batch's own ids are read back.
+    """Fold a micro-batch of raw rows, with ``_file``, into the store: the most engaged copy of each id, the first seen
+    on ties. First is by file name and row in the file, as in the batch job, so the result does not depend on how files
+    fall into micro-batches or tasks. Only stored rows of the batch's own ids are read back.
     """
-    # Batch numbers grow without bound and positions fill 63 bits, so the two need more than a bigint.
-    start = F.lit(str(batch_id << 63)).cast("decimal(38,0)")
-    position = (start + F.monotonically_increasing_id()).cast("decimal(38,0)")
-    rows = project_merged(batch).withColumn("row_ord", position)
-    best = dedup_best(fill_missing_ids(rows), "tweet_id", engagement(), "row_ord")
-    fresh = backfill_authors(best.drop("row_ord").withColumnRenamed("first_ord", "row_ord"))
-    fresh = materialize(fresh.select(*MERGED_COLUMNS, "row_ord"), "batch")
+    # Directly above the scan: a multi-line CSV is never split, so within one file the number follows the file's rows.
+    rows = place_in_file(project_merged(batch.withColumn("_pos", F.monotonically_increasing_id()), "_file", "_pos"))
+    rows = fill_missing_ids(rows, "tweet_id", "source_file", "file_row")
+    fresh = materialize(merge_rows(rows.withColumn("seen", F.struct("source_file", "file_row")), "seen"), "batch")
     stored = store.read("merged").join(fresh.select("tweet_id"), "tweet_id", "left_semi")
-    both = stored.select(*fresh.columns).unionByName(fresh)
-    merged = dedup_best(both, "tweet_id", engagement(), "row_ord").drop("row_ord")
-    merged = merged.withColumnRenamed("first_ord", "row_ord").select(*MERGED_COLUMNS, "row_ord")
+    stored = stored.select(*MERGED_COLUMNS, F.struct("source_file", "file_row").alias("seen"))
+    merged = dedup_best(stored.unionByName(fresh), "tweet_id", engagement(), "seen").drop("seen")
+    merged = merged.select(*MERGED_COLUMNS, "first_ord.*")
     store.load({"merged": materialize(merged, "merged")})
 
 
 def ingest_new_files(
-    spark: SparkSession, folder: str, columns: list[str], root: str, checkpoint: str, max_files: int = 1000,
-    buckets: int = 16,
+    spark: SparkSession, folder: str, columns: list[str], root: str, checkpoint: str, max_files: int = 1000
 ) -> TableStore:
-    """Merge the CSV files that arrived since the last call; ``columns`` is their header, in order.
+    """Merge the CSV files that arrived since the last call; ``columns`` is their header, in order. ``root`` can be the
+    input of the enrichment job.
 
     A batch that is replayed after a failure changes nothing: its rows meet their own copies and the maximum stays.
     """
     tune(spark)
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    store = merged_store(spark, root, buckets)
-    stream = stream_folder(spark, folder, schema, "csv", max_files)
+    store = merged_store(spark, root)
+    stream = stream_folder(spark, folder, schema, "csv", max_files).select("*", F.col("_metadata.file_name").alias("_file"))
     run_available(stream, checkpoint, lambda batch, batch_id: merge_batch(store, batch, batch_id))
     return store

@@ -61,11 +61,11 @@ def job(spark, tmp_path):
         cfg = EnrichConfig(
             **{**dict(
                 input=str(tmp_path / "merged"), store=str(tmp_path / "star"), cache=str(tmp_path / "cache"), dead_letters=str(tmp_path / "dead"),
-                labeller=factory(str(log)), model_name="m", chunks=2, call_pause=0, retry_wait=0, store_buckets=2), **kw})
+                labeller=factory(str(log)), model_name="m", chunks=2, call_pause=0, retry_wait=0), **kw})
         return enrich(spark, cfg, lookup_table(spark, {"pantene": "Pantene", "dove": "Dove"}), noise_table(spark, ["the", "stress"]))
 
     run.calls = lambda: log.read_text().splitlines()
-    run.store = StarStore(spark, str(tmp_path / "star"), 2)
+    run.store = StarStore(spark, str(tmp_path / "star"))
     run.path = tmp_path
     return run
 

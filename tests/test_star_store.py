@@ -52,9 +52,8 @@ def test_children_need_no_shuffle(spark, plan):
         assert "Exchange" not in plan(df), name
 
 
-@pytest.mark.parametrize("buckets", [1, 4])
-def test_upsert(spark, tmp_path, buckets):
-    store = StarStore(spark, str(tmp_path / "star"), buckets)
+def test_upsert(spark, tmp_path):
+    store = StarStore(spark, str(tmp_path / "star"))
     assert all(store.read(t).count() == 0 for t in STAR)
     first = tables(spark, post("1", products=["a", "b"]), post("2", products=["a"]), post("3"))
     second = tables(spark, post("2", "new", causes=[("age", "")]), post("4", products=["z"]))
@@ -76,7 +75,7 @@ def test_upsert(spark, tmp_path, buckets):
 
 def test_batches_commute_when_ids_are_disjoint(spark, tmp_path):
     a, b = (post("1", products=["x"]),), (post("2", products=["y"]), post("3"))
-    one, two = StarStore(spark, str(tmp_path / "one"), 3), StarStore(spark, str(tmp_path / "two"), 3)
+    one, two = StarStore(spark, str(tmp_path / "one")), StarStore(spark, str(tmp_path / "two"))
     one.load(tables(spark, *a))
     one.load(tables(spark, *b))
     two.load(tables(spark, *a, *b))
@@ -84,18 +83,50 @@ def test_batches_commute_when_ids_are_disjoint(spark, tmp_path):
         assert rows(one.read(t)) == rows(two.read(t))
 
 
-def test_untouched_buckets_are_not_rewritten(spark, tmp_path):
-    store = StarStore(spark, str(tmp_path / "s"), 16)
+def test_a_load_writes_its_own_rows_only(spark, tmp_path):
+    store = StarStore(spark, str(tmp_path / "s"))
     store.load(tables(spark, *[post(str(i)) for i in range(60)]))
-    _, before = store.current()
     store.load(tables(spark, post("7", "again")))
-    _, after = store.current()
-    assert sum(before[b] != after[b] for b in after) == 1
+    _, loads = store.current()
+    written = spark.read.parquet(str(tmp_path / "s" / loads[-1]["folder"] / "tweets"))
+    assert [r.tweet_id for r in written.collect()] == ["7"]
+    assert rows(store.read("tweets").filter("tweet_id = '7'").select("full_text")) == [("again",)]
     assert store.read("tweets").count() == 60
 
 
+def test_loads_are_merged_by_tiers(spark, tmp_path, monkeypatch):
+    from postloom.sources import star_store
+
+    monkeypatch.setattr(star_store, "FAN", 2)
+    store, want = StarStore(spark, str(tmp_path / "s")), {}
+    for n in range(5):
+        ids = [str(n), str(n + 1), "hot"]
+        store.load(tables(spark, *[post(i, f"t{n}", products=["x"] * (n % 2)) for i in ids]))
+        want |= {i: (f"t{n}", n % 2) for i in ids}
+        assert rows(store.read("tweets").select("tweet_id", "full_text")) == sorted((i, t) for i, (t, _) in want.items())
+        assert rows(store.read("tweet_products")) == sorted((i, "x") for i, (_, k) in want.items() if k)
+    assert [load["tier"] for load in store.current()[1]] == [2, 0]
+
+
+def test_two_writers_do_not_destroy_each_other(spark, tmp_path):
+    from postloom.sources.star_store import Conflict
+
+    store = StarStore(spark, str(tmp_path / "s"))
+    store.load(tables(spark, post("1")))
+    seen = store.current()
+    other = StarStore(spark, str(tmp_path / "s"))
+    other.load(tables(spark, post("2")))
+    store.current = lambda: seen
+    with pytest.raises(Conflict):
+        store.load(tables(spark, post("3")))
+    del store.current
+    assert rows(store.read("tweets").select("tweet_id")) == [("1",), ("2",)]
+    store.load(tables(spark, post("3")))
+    assert store.read("tweets").count() == 3
+
+
 def test_a_failed_load_shows_nothing(spark, tmp_path):
-    store = StarStore(spark, str(tmp_path / "s"), 2)
+    store = StarStore(spark, str(tmp_path / "s"))
     store.load(tables(spark, post("1", products=["a"])))
     bad = tables(spark, post("1", "new", products=["b"]))
     bad["tweet_aspects"] = bad["tweet_aspects"].withColumn("aspect", F.raise_error(F.lit("boom"))).union(
@@ -114,12 +145,12 @@ def test_last_per_id(spark):
 
 
 def test_views_export_and_warehouse(spark, tmp_path):
-    store = StarStore(spark, str(tmp_path / "s"), 2)
+    store = StarStore(spark, str(tmp_path / "s"))
     store.load(tables(spark, post("1", 'a "b",\nc', causes=[("age", "")]), post("2", vector=None)))
     store.register_views()
     sql = "SELECT cause_category, COUNT(DISTINCT t.tweet_id) n FROM tweets t JOIN tweet_causes c ON t.tweet_id = c.tweet_id GROUP BY 1"
     assert rows(spark.sql(sql)) == [("age", 1)]
-    report = export_star(spark, str(tmp_path / "s"), str(tmp_path / "csv"), 2)
+    report = export_star(spark, str(tmp_path / "s"), str(tmp_path / "csv"))
     assert report == {"tweets": 2, "tweet_causes": 1, "tweet_products": 0, "tweet_brands": 0, "tweet_barriers": 0, "tweet_aspects": 0}
     loaded = load_exports(spark, str(tmp_path / "csv"), str(tmp_path / "wh"))
     assert loaded["tweets"] == 2 and loaded["tweet_causes"] == 1

@@ -8,8 +8,9 @@ from postloom.functions.evaluation import once
 from postloom.functions.payload import post_fields, with_payload
 from postloom.functions.numbers import safe_int
 from postloom.operators import ingest, star
-from postloom.session import scratch_path
+from postloom.session import materialize, scratch_path
 from postloom.sources.csv_tables import READ, read_landing, write_csv
+from postloom.sources.files import list_files, move
 from postloom.sources.star_store import StarStore
 from postloom.streaming import landing
 from workloads.base import K, costly, query, table
@@ -212,7 +213,7 @@ def export_roundtrip(spark, sf_dir):
     """
     SELECT CAST(event_id AS VARCHAR) AS tweet_id, CASE WHEN event_type = 'click' THEN 'second' ELSE 'first' END AS coded_by,
            CASE WHEN event_type = 'click' THEN 1 ELSE 2 END AS n_products
-    FROM events WHERE event_type <> 'view'
+    FROM events
     """,
 )
 def store_reload(spark, sf_dir):
@@ -236,8 +237,8 @@ def store_reload(spark, sf_dir):
         )
         return star.star_tables(posts)
 
-    store = StarStore(spark, scratch_path(spark, "star"), buckets=4)
-    store.load(batch(events.filter("event_type <> 'view'"), "first", ["hair_oil", "shampoo", "hair_oil"]))
+    store = StarStore(spark, scratch_path(spark, "star"))
+    store.load(batch(events, "first", ["hair_oil", "shampoo", "hair_oil"]))
     store.load(batch(events.filter("event_type = 'click'"), "second", ["shampoo"]))
     products = store.read("tweet_products").groupBy("tweet_id").agg(F.count("*").cast("int").alias("n_products"))
     return store.read("tweets").select("tweet_id", "coded_by").join(products, "tweet_id")
@@ -246,23 +247,32 @@ def store_reload(spark, sf_dir):
 @query(
     "ingest_stream",
     """
-    SELECT user_id, event_id, value FROM (
-      SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY value DESC, event_id) AS rn FROM events) WHERE rn = 1
+    WITH r AS (SELECT CASE WHEN event_id % 11 = 0 THEN '' ELSE 'u' || user_id END AS tweet_id, event_type AS text,
+                      CAST(trunc(value) AS BIGINT) % 20 AS likes,
+                      CASE WHEN event_type < 'e' THEN 'a.csv' WHEN event_type < 'p' THEN 'b.csv'
+                           WHEN event_type < 's' THEN 'c.csv' ELSE 'd.csv' END AS file, event_id FROM events),
+    p AS (SELECT *, row_number() OVER (PARTITION BY file ORDER BY event_id) - 1 AS place FROM r),
+    n AS (SELECT * EXCLUDE (tweet_id), CASE WHEN tweet_id = '' THEN 'unknown_' || file || '_' || place ELSE tweet_id END AS tweet_id FROM p),
+    w AS (SELECT *, row_number() OVER (PARTITION BY tweet_id ORDER BY likes DESC, file, place) AS rn,
+                 first_value(file) OVER f AS source_file, first_value(place) OVER f AS file_row
+          FROM n WINDOW f AS (PARTITION BY tweet_id ORDER BY file, place))
+    SELECT tweet_id, text, CAST(likes AS VARCHAR) AS likes, source_file, CAST(file_row AS BIGINT) AS file_row FROM w WHERE rn = 1
     """,
 )
 def ingest_stream(spark, sf_dir):
-    """The events table as a file stream, best event per user kept across micro-batches."""
-    schema = table(spark, sf_dir, "events").schema
-    root, current = scratch_path(spark, "stream"), {}
-
-    def apply(batch, batch_id):
-        old = spark.read.parquet(current["path"]) if current else None
-        rows = batch.select("user_id", "event_id", "value")
-        best = landing.keep_best(old, rows, "user_id", F.col("value"), "event_id")
-        path = f"{root}/best-{batch_id}"
-        best.write.mode("overwrite").parquet(path)
-        current["path"] = path
-
-    stream = landing.stream_folder(spark, sf_dir, schema, "parquet", pathGlobFilter="events.parquet")
-    landing.run_available(stream, f"{root}/checkpoint", apply)
-    return spark.read.parquet(current["path"])
+    """Events as four CSV files that a stream picks up two at a time, with ties and missing ids. The rows must be those
+    that the merge job makes of the folder."""
+    events = table(spark, sf_dir, "events").selectExpr(
+        "CASE WHEN event_type < 'e' THEN 'a' WHEN event_type < 'p' THEN 'b' WHEN event_type < 's' THEN 'c' ELSE 'd' END AS file",
+        "event_id", "CASE WHEN event_id % 11 = 0 THEN '' ELSE 'u' || user_id END AS tweet_id", "event_type AS text",
+        "CAST(CAST(value AS BIGINT) % 20 AS STRING) AS likes",
+    )
+    events = materialize(events, "events")
+    root, names = scratch_path(spark, "stream"), ["tweet_id", "text", "likes"]
+    for file in "abcd":
+        part = f"{root}/parts-{file}"
+        write_csv(events.filter(F.col("file") == file).orderBy("event_id").coalesce(1).select(*names), part)
+        # Spark names its files itself; the landing folder wants one name per batch.
+        move(spark, list_files(spark, f"{part}/*.csv")[0], f"{root}/landing/{file}.csv")
+    store = landing.ingest_new_files(spark, f"{root}/landing", names, f"{root}/store", f"{root}/checkpoint", max_files=2)
+    return store.read("merged").select(*names, "source_file", "file_row")

@@ -78,10 +78,10 @@ def enrich_job(spark, sf_dir):
     merged_documents(spark, sf_dir).write.parquet(f"{root}/merged")
     cfg = EnrichConfig(
         input=f"{root}/merged", store=f"{root}/star", cache=f"{root}/cache", dead_letters=f"{root}/dead",
-        labeller=rule_labeller, model_name="rules", chunks=2, call_pause=0, retry_wait=0, store_buckets=4,
+        labeller=rule_labeller, model_name="rules", chunks=2, call_pause=0, retry_wait=0,
     )
     enrich(spark, cfg, lookup_table(spark, {"dove": "Dove"}))
-    return StarStore(spark, f"{root}/star", 4).read("tweets").select("tweet_id", "intent_label", "coded_by", "sentiment")
+    return StarStore(spark, f"{root}/star").read("tweets").select("tweet_id", "intent_label", "coded_by", "sentiment")
 
 
 @query(
