@@ -38,6 +38,9 @@ def main() -> None:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
+        # The tables are single files: split them over the cores.
+        .config("spark.sql.files.maxPartitionBytes", "1m")
+        .config("spark.sql.files.minPartitionNum", cpus)
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

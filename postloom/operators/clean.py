@@ -68,29 +68,31 @@ def without_spam(df: DataFrame) -> DataFrame:
     return df.filter(~F.col("is_spam"))
 
 
+def text_digest(text: Column) -> Column:
+    """What identifies a text among any number of them."""
+    return F.sha2(text, 256)
+
+
 def flag_repeated_text(df: DataFrame, text_col: str, max_copies: int, flag: str = "is_repeated") -> DataFrame:
     """Flag rows whose text occurs more than ``max_copies`` times.
 
-    Copies are counted with a partial aggregate over a 64-bit hash plus length, so a text that makes up a third of the
-    table reaches the shuffle as one row per task. The repeated keys are written down (one job): their size is then known
+    Copies are counted with a partial aggregate over a SHA-256 digest, so a text that makes up a third of the table
+    reaches the shuffle as one row per task. The repeated keys are written down (one job): their size is then known
     to the planner, which broadcasts them if they are few and otherwise joins by key, splitting skewed partitions.
     """
-    key = F.xxhash64(F.col(text_col)), F.length(text_col)
-    keyed = df.withColumns({"_h": key[0], "_n": key[1]})
-    repeated = (
-        keyed.groupBy("_h", "_n").agg(F.count("*").alias("_copies")).filter(F.col("_copies") > max_copies)
-    )
-    out = keyed.join(materialize(repeated, "repeated"), ["_h", "_n"], "left")
-    return out.withColumn(flag, F.col("_copies").isNotNull()).drop("_h", "_n", "_copies")
+    keyed = df.withColumn("_h", text_digest(F.col(text_col)))
+    repeated = keyed.groupBy("_h").agg(F.count("*").alias("_copies")).filter(F.col("_copies") > max_copies)
+    out = keyed.join(materialize(repeated, "repeated"), "_h", "left")
+    return out.withColumn(flag, F.col("_copies").isNotNull()).drop("_h", "_copies")
 
 
 def flag_repeat_posters(df: DataFrame, author_col: str, text_col: str, max_copies: int, flag: str) -> DataFrame:
     """Flag rows of an author who posted the same text more than ``max_copies`` times. Writes the authors down first."""
-    keyed = df.withColumns({"_h": F.xxhash64(F.col(text_col)), "_n": F.length(text_col)})
-    per_text = keyed.groupBy(author_col, "_h", "_n").agg(F.count("*").alias("_copies"))
+    keyed = df.withColumn("_h", text_digest(F.col(text_col)))
+    per_text = keyed.groupBy(author_col, "_h").agg(F.count("*").alias("_copies"))
     authors = per_text.filter(F.col("_copies") > max_copies).select(author_col).distinct()
     hits = materialize(authors, "posters").withColumn("_hit", F.lit(True))
-    out = keyed.drop("_h", "_n").join(hits, author_col, "left")
+    out = keyed.drop("_h").join(hits, author_col, "left")
     return out.withColumn(flag, F.col("_hit").isNotNull()).drop("_hit")
 
 

@@ -6,8 +6,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK = 65_536
-# Up to here Spark's own top-k (a bounded heap per task) is the cheaper plan.
-SMALL_LIMIT = 10_000
 
 
 def nth_row(df: DataFrame, ord_col: str, n: int) -> int | None:
@@ -43,10 +41,8 @@ def skip_rows(df: DataFrame, ord_col: str, n: int) -> DataFrame:
 
 
 def take_rows(df: DataFrame, ord_col: str, n: int | None) -> DataFrame:
-    """Keep the first ``n`` rows by ``ord_col``; None and 0 mean all. Runs ``nth_row`` for large ``n``."""
+    """Keep the first ``n`` rows by ``ord_col``; None and 0 mean all. Runs ``nth_row`` otherwise."""
     if not n:
         return df
-    if n <= SMALL_LIMIT:
-        return df.orderBy(ord_col).limit(n)
     cut = nth_row(df, ord_col, n)
     return df if cut is None else df.filter(F.col(ord_col) < cut)

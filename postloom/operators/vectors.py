@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import HashingTF, Normalizer
 from pyspark.ml.functions import array_to_vector, predict_batch_udf, vector_to_array
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,8 +19,8 @@ from pyspark.sql import types as T
 DIMENSIONS = 384
 BATCH = 64
 
-# Query vectors travel inside the task closure; more than this many are joined block by block instead.
-MAX_QUERIES_IN_CLOSURE = 1024
+# Query vectors travel inside task closures, this many at a time; each block of them reads the corpus once.
+QUERY_BLOCK = 1024
 
 
 def words(c: Column) -> Column:
@@ -112,60 +114,45 @@ def _top_per_query(hits: DataFrame, k: int) -> DataFrame:
     return hits.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
-def search_exact(corpus: DataFrame, queries: DataFrame, k: int) -> DataFrame:
-    """``(query_id, vec_id, score, rank)``: the ``k`` rows of highest cosine per query; zero vectors have none.
+def _query_blocks(queries: DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Ids and vectors of the queries that have one, block by block: the driver holds one block at a time."""
+    rows = queries.select("query_id", "embedding").filter(F.size("embedding") > 0).toLocalIterator()
+    while block := list(islice(rows, QUERY_BLOCK)):
+        yield np.array([r[0] for r in block], dtype="int64"), np.array([r[1] for r in block], dtype="float64")
 
-    ``corpus`` is ``(vec_id, embedding)``, ``queries`` is ``(query_id, embedding)``. Counts the queries first (one job).
-    Few queries ride in the closure and the corpus is read once, unshuffled: each Arrow batch is one matrix product and
-    emits at most ``k`` rows per query. More queries than that are split into blocks which meet blocks of the corpus.
-    """
-    corpus = corpus.select("vec_id", "embedding").filter(F.size("embedding") > 0)
-    queries = queries.select("query_id", "embedding").filter(F.size("embedding") > 0)
-    rows = queries.limit(MAX_QUERIES_IN_CLOSURE + 1).collect()
-    if not rows:
-        return _top_per_query(corpus.sparkSession.createDataFrame([], HITS), k)
-    if len(rows) > MAX_QUERIES_IN_CLOSURE:
-        return _top_per_query(_search_blocks(corpus, queries, k), k)
-    qids = np.array([r[0] for r in rows], dtype="int64")
-    q = _unit_rows(np.array([r[1] for r in rows], dtype="float64"))
+
+def _hits_of(corpus: DataFrame, q: np.ndarray, qids: np.ndarray, k: int, wanted: np.ndarray | None = None) -> DataFrame:
+    """At most ``k`` hits per query and Arrow batch: one matrix product each. ``wanted[cell, query]`` masks cells."""
+    unit = _unit_rows(q)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 table = pa.Table.from_batches([batch])
+                scores = _score(table, unit)
+                if wanted is not None:
+                    scores[~wanted[np.asarray(table.column("cell"))]] = -np.inf
                 ids = np.asarray(table.column("vec_id"))
-                yield pa.RecordBatch.from_pydict(_best(qids, ids, _score(table, q), k), schema=_HITS_ARROW)
+                yield pa.RecordBatch.from_pydict(_best(qids, ids, scores, k), schema=_HITS_ARROW)
 
-    return _top_per_query(corpus.mapInArrow(run, HITS), k)
+    return corpus.mapInArrow(run, HITS)
 
 
-_HITS_ARROW = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
+def _all_hits(spark: SparkSession, parts: list[DataFrame], k: int) -> DataFrame:
+    return _top_per_query(reduce(DataFrame.unionByName, parts or [spark.createDataFrame([], HITS)]), k)
 
 
-def _search_blocks(corpus: DataFrame, queries: DataFrame, k: int, rows_per_block: int = 20_000) -> DataFrame:
-    """Every query block meets every corpus block once; blocks are hashed by id, so no key can make one large."""
-    q_blocks = -(-queries.count() // MAX_QUERIES_IN_CLOSURE)
-    c_blocks = -(-corpus.count() // rows_per_block)
+def search_exact(corpus: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    """``(query_id, vec_id, score, rank)``: the ``k`` rows of highest cosine per query; zero vectors have none.
 
-    def spread(df: DataFrame, key: str, own: int, other: int, own_first: bool) -> DataFrame:
-        mine = F.pmod(F.xxhash64(key), F.lit(own)).cast("int")
-        df = df.withColumn("_mine", mine).withColumn("_other", F.explode(F.sequence(F.lit(0), F.lit(other - 1))))
-        first, second = ("_mine", "_other") if own_first else ("_other", "_mine")
-        return df.withColumn("_q", F.col(first)).withColumn("_c", F.col(second)).drop("_mine", "_other")
+    ``corpus`` is ``(vec_id, embedding)``, ``queries`` is ``(query_id, embedding)``; null and empty vectors take no part.
+    Reads the queries in a job. For every ``QUERY_BLOCK`` of them the corpus is read once, unshuffled.
+    """
+    rows = corpus.select("vec_id", "embedding").filter(F.size("embedding") > 0)
+    return _all_hits(corpus.sparkSession, [_hits_of(rows, q, qids, k) for qids, q in _query_blocks(queries)], k)
 
-    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows or not right.num_rows:
-            return _HITS_ARROW.empty_table()
-        dim = len(left.column("embedding")[0])
-        q = _unit_rows(_matrix(left.column("embedding"), dim))
-        ids = np.asarray(right.column("vec_id"))
-        return pa.Table.from_pydict(
-            _best(np.asarray(left.column("query_id")), ids, _score(right, q), k), schema=_HITS_ARROW
-        )
 
-    left = spread(queries, "query_id", q_blocks, c_blocks, True).groupBy("_q", "_c")
-    right = spread(corpus, "vec_id", c_blocks, q_blocks, False).groupBy("_q", "_c")
-    return left.cogroup(right).applyInArrow(meet, HITS)
+_HITS_ARROW = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
 
 def fit_cells(corpus: DataFrame, cells: int, seed: int = 42, iterations: int = 20):
@@ -181,36 +168,22 @@ def assign_cells(corpus: DataFrame, model, out_col: str = "cell") -> DataFrame:
 
 
 def search_cells(celled: DataFrame, queries: DataFrame, model, k: int, probes: int) -> DataFrame:
-    """Approximate search: each query looks at its ``probes`` nearest cells only.
+    """Approximate search: each query looks at its ``probes`` nearest cells only, however many queries there are.
 
     The probed cells are a filter on ``cell``, which prunes directories of a table partitioned by it. ``probes`` equal
-    to the number of cells gives the exact result, and so does a query set too large for the closure, which goes to
-    ``search_exact``.
+    to the number of cells gives the exact result. Null and empty vectors take no part.
     """
     centers = np.array(model.clusterCenters())
-    rows = queries.select("query_id", "embedding").limit(MAX_QUERIES_IN_CLOSURE + 1).collect()
-    if len(rows) > MAX_QUERIES_IN_CLOSURE:
-        return search_exact(celled, queries, k)
-    q_raw = np.array([r[1] for r in rows], dtype="float64")
-    qids = np.array([r[0] for r in rows], dtype="int64")
-    distance = ((q_raw[:, None, :] - centers[None, :, :]) ** 2).sum(axis=2)
-    probed = np.argsort(distance, axis=1)[:, :probes]
-    q = _unit_rows(q_raw)
-    wanted = np.zeros((len(centers), len(qids)), dtype=bool)
-    for j, cells in enumerate(probed):
-        wanted[cells, j] = True
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                table = pa.Table.from_batches([batch])
-                scores = _score(table, q)
-                scores[~wanted[np.asarray(table.column("cell"))]] = -np.inf
-                ids = np.asarray(table.column("vec_id"))
-                yield pa.RecordBatch.from_pydict(_best(qids, ids, scores, k), schema=_HITS_ARROW)
-
-    near = celled.filter(F.col("cell").isin(sorted({int(c) for c in probed.ravel()})))
-    return _top_per_query(near.select("vec_id", "embedding", "cell").mapInArrow(run, HITS), k)
+    rows = celled.select("vec_id", "embedding", "cell").filter(F.size("embedding") > 0)
+    parts = []
+    for qids, q in _query_blocks(queries):
+        distance = (q**2).sum(axis=1)[:, None] - 2 * q @ centers.T + (centers**2).sum(axis=1)[None, :]
+        probed = np.argsort(distance, axis=1)[:, :probes]
+        wanted = np.zeros((len(centers), len(qids)), dtype=bool)
+        wanted[probed.T, np.arange(len(qids))] = True
+        near = rows.filter(F.col("cell").isin(sorted({int(c) for c in probed.ravel()})))
+        parts.append(_hits_of(near, q, qids, k, wanted))
+    return _all_hits(celled.sparkSession, parts, k)
 
 
 def describe_clusters(assigned: DataFrame, text_col: str, score: Column, top: int = 10) -> DataFrame:

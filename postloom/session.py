@@ -43,15 +43,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores on an input with fewer scan tasks than cores, such as one file with one row group.
-
-    Large inputs have more tasks than that and pass through unchanged, so this never shuffles a large table.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def empty(spark: SparkSession, schema: str) -> DataFrame:
     """A table without rows which the optimizer knows to be empty, so that joins and unions with it vanish."""
     fields = T.StructType.fromDDL(schema).fields

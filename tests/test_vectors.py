@@ -46,12 +46,28 @@ def test_exact_search(spark, data):
     assert hits(found) == brute(corpus, queries, 4)
 
 
-def test_block_search_equals_exact(spark, data, monkeypatch):
+@pytest.mark.parametrize("block", [1, 3, 1024])
+def test_hits_do_not_depend_on_the_number_of_queries(spark, data, monkeypatch, block):
     corpus, queries = data
-    monkeypatch.setattr(vectors, "MAX_QUERIES_IN_CLOSURE", 3)
-    monkeypatch.setattr(vectors._search_blocks, "__defaults__", (70,))
-    found = vectors.search_exact(frame(spark, corpus, "vec_id"), frame(spark, queries, "query_id"), 4)
-    assert hits(found) == brute(corpus, queries, 4)
+    monkeypatch.setattr(vectors, "QUERY_BLOCK", block)
+    vecs, qs = frame(spark, corpus, "vec_id"), frame(spark, [*queries, None], "query_id")
+    assert hits(vectors.search_exact(vecs, qs, 4)) == brute(corpus, queries, 4)
+    full = vecs.filter("embedding is not null")
+    model = vectors.fit_cells(full, 10)
+    celled = vectors.assign_cells(full, model)
+    found = hits(vectors.search_cells(celled, qs, model, 4, probes=1))
+    alone = {}
+    for i in range(len(queries)):
+        alone |= hits(vectors.search_cells(celled, qs.filter(F.col("query_id") == i), model, 4, probes=1))
+    assert found == alone
+
+
+def test_no_query(spark, data):
+    vecs = frame(spark, data[0], "vec_id").filter("embedding is not null")
+    none = frame(spark, [[1.0]], "query_id").limit(0)
+    model = vectors.fit_cells(vecs, 2)
+    assert vectors.search_exact(vecs, none, 4).count() == 0
+    assert vectors.search_cells(vectors.assign_cells(vecs, model), none, model, 4, probes=1).count() == 0
 
 
 def test_search_plan_is_one_scan(spark, data, plan):

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from postloom.session import spread, tune
+from postloom.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -33,8 +33,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def costly(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """The named columns of a table whose rows are worth spreading over all cores."""
-    return spread(table(spark, sf_dir, name).select(*columns))
+    """The named columns of a table."""
+    return table(spark, sf_dir, name).select(*columns)
 
 
 # Unicode white space, word characters and links, as DuckDB spells them.
