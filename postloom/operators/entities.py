@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postloom.functions.text import token
+from postloom.session import materialize
 
 CUTOFF = 0.8
 
@@ -43,26 +44,50 @@ sequence_ratio = sequence_ratio.asNondeterministic()
 
 
 def bigrams(c: Column) -> Column:
-    """Distinct pairs of neighbouring characters, with marks for both ends."""
+    """Pairs of neighbouring characters, with marks for both ends, each followed by how often it has occurred so far."""
     padded = F.concat(F.lit("\u0002"), c, F.lit("\u0003"))
-    return F.array_distinct(
-        F.transform(F.sequence(F.lit(1), F.length(c) + 1), lambda i: F.substring(padded, i, F.lit(2)))
+    pairs = F.transform(F.sequence(F.lit(1), F.length(c) + 1), lambda i: F.substring(padded, i, F.lit(2)))
+    return F.transform(
+        pairs, lambda p, i: F.concat(p, F.size(F.filter(F.slice(pairs, 1, i + 1), lambda q: q == p)).cast("string"))
     )
 
 
+def _rarest(items: DataFrame, counts: DataFrame, cutoff: float) -> DataFrame:
+    """``(text, _items)``: of each ``(text, _item)`` group the rarest items that a match cannot do without, in an order
+    that is the same for all."""
+    ranked = items.join(counts, "_item").groupBy("text").agg(
+        F.array_sort(F.collect_list(F.struct("_n", "_item"))).alias("_all")
+    )
+    # The shortest partner that the length test allows has n * cutoff / (2 - cutoff) characters.
+    n = F.length("text")
+    total = n + F.ceil(n * cutoff / (2 - cutoff) - 1e-9)
+    shared = F.greatest(F.lit(1), F.ceil((1 - cutoff) * total - 1e-9).cast("int") - 1)
+    kept = F.slice("_all", F.lit(1), F.greatest(F.lit(1), F.size("_all") - shared + 1))
+    return ranked.select("text", F.transform(kept, lambda x: x["_item"]).alias("_items"))
+
+
 def fuzzy_candidates(names: DataFrame, lookup: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
     """Pairs ``(name, alias, canonical)`` that include every pair of similarity >= ``cutoff``, by an equi-join.
 
     Let T be the summed length and M the matched characters, 2M/T >= 0.8. The matched blocks are separated by unmatched
     characters, so there are at most T-2M+1 of them, and they keep at least 3M-T-1 neighbouring pairs. That is positive
-    for every T except 2 and 5, where the end marks give the shared pair. So true matches always share a bigram, and the join
-    on bigrams loses none. A pair is emitted at its first shared bigram only. Edit distance is at most T-2M, which
-    leaves ``lev <= (1-cutoff)*T`` as a second lossless test; both run inside the join, before Python sees anything.
+    for every T except 2 and 5, where the end marks give the shared pair. So true matches share at least
+    o = max(1, ceil((1-cutoff)*T) - 1) numbered bigrams. Two sets that share o items share one among the |B| - o + 1 that
+    come first in any common order; with the rarest first, a frequent bigram pairs few names with few aliases. A pair is
+    emitted at its first shared item only. Length and edit distance (at most T-2M, so ``lev <= (1-cutoff)*T``) are
+    further lossless tests; they run inside the join, before Python sees anything. Counts items in a job.
     """
     if not CUTOFF <= cutoff <= 1.0:
         raise ValueError(f"cutoff must lie in [{CUTOFF}, 1]: below, matches need not share a bigram")
-    left = names.select("name", bigrams(F.col("name")).alias("_nb")).withColumn("_b", F.explode_outer("_nb"))
-    right = lookup.select("alias", "canonical", bigrams(F.col("alias")).alias("_ab")).withColumn("_b", F.explode_outer("_ab"))
+    split = lambda df, c: df.select(F.col(c).alias("text"), F.explode(bigrams(F.col(c))).alias("_item"))
+    written = materialize(split(names, "name").withColumn("_alias", F.lit(False)).unionByName(
+        split(lookup, "alias").withColumn("_alias", F.lit(True))), "bigrams")
+    counts = materialize(written.groupBy("_item").agg(F.count("*").alias("_n")), "bigram_counts")
+    mine = _rarest(written.filter("not _alias").drop("_alias"), counts, cutoff)
+    theirs = _rarest(written.filter("_alias").drop("_alias"), counts, cutoff).join(
+        lookup.select(F.col("alias").alias("text"), "canonical"), "text")
+    left = mine.select(F.col("text").alias("name"), F.col("_items").alias("_nb"), F.explode("_items").alias("_b"))
+    right = theirs.select(F.col("text").alias("alias"), "canonical", F.col("_items").alias("_ab"), F.explode("_items").alias("_b"))
     ln, la = F.length("name"), F.length("alias")
     slack = 1e-9
     near = left.join(right, "_b").filter(

@@ -32,6 +32,13 @@ def last_per_id(df: DataFrame, ord_col: str, id_col: str = "tweet_id") -> DataFr
     return last.select(id_col, "_row.*")
 
 
+def first_per_id(df: DataFrame, ord_col: str, id_col: str = "tweet_id") -> DataFrame:
+    """First row of each id by ``ord_col``, likewise."""
+    rest = [c for c in df.columns if c != id_col]
+    first = df.groupBy(id_col).agg(F.min_by(F.struct(*rest), ord_col).alias("_row"))
+    return first.select(id_col, "_row.*")
+
+
 def _children(df: DataFrame, keep: list[str], generator: Column) -> DataFrame:
     """Rows of a generator, without the empty row an outer one gives.
 
@@ -107,6 +114,6 @@ def vector_json(c: Column) -> Column:
 
 __all__ = [
     "ASPECTS", "BARRIERS", "CAUSES", "CHILDREN", "explode_aspects", "explode_barriers", "explode_brands",
-    "explode_causes", "explode_products", "first_per_key", "last_per_id", "last_per_key", "star_columns",
+    "explode_causes", "explode_products", "first_per_id", "first_per_key", "last_per_id", "last_per_key", "star_columns",
     "star_tables", "upsert", "vector_json",
 ]

@@ -38,6 +38,8 @@ class EnrichConfig:
     retry_wait: float = 2.0
     vocabulary: Vocabulary = field(default_factory=default_vocabulary)
     encoder: object = vectors.hash_encoder
+    # Take the vector of a post whose text the store already has; worth its join where the encoder is a model.
+    reuse_vectors: bool = False
 
 
 @dataclass
@@ -70,13 +72,15 @@ def run_clean(spark: SparkSession, cfg: EnrichConfig, counts: dict[str, int]) ->
 def run_annotate(spark: SparkSession, cfg: EnrichConfig, misses: DataFrame, counts: dict[str, int]) -> list[DataFrame]:
     """Label the misses chunk by chunk.
 
-    Each chunk's judged answers are written before anything reads them, so a retried task cannot leave two answers in
-    use, and its valid answers join the cache at once, so a killed run resumes after its last finished chunk.
+    An id is asked once, with the text of its first row, and the answer holds for all its rows. Each chunk's judged
+    answers are written before anything reads them, so a retried task cannot leave two answers in use, and its valid
+    answers join the cache at once, so a killed run resumes after its last finished chunk.
     """
     if cfg.labeller is None:
         raise ValueError("a labeller is needed unless skip_annotate is set")
     work = scratch_path(spark, "misses")
-    misses.withColumn("chunk", ann.chunk_of("tweet_id", cfg.chunks)).write.partitionBy("chunk").parquet(work)
+    asked = star.first_per_id(misses, "row_ord").select(*misses.columns)
+    asked.withColumn("chunk", ann.chunk_of("tweet_id", cfg.chunks)).write.partitionBy("chunk").parquet(work)
     schema = T.StructType([*misses.schema.fields, T.StructField("chunk", T.IntegerType())])
     parts = spark.read.schema(schema).parquet(work)
     fresh = []
@@ -99,7 +103,9 @@ def run_annotate(spark: SparkSession, cfg: EnrichConfig, misses: DataFrame, coun
         valid = labels.valid_rows(judged)
         cache_store.append_cache(cache_store.cache_entries(valid, cfg.model_name), cfg.cache)
         counts["dead"] = counts.get("dead", 0) + _write_dead(judged, cfg)
-        fresh.append(valid)
+        # As many rows as the chunk's ids have in the input.
+        labelled = [c for c in valid.columns if c not in misses.columns]
+        fresh.append(misses.join(valid.select("tweet_id", *labelled), "tweet_id"))
     return fresh
 
 
@@ -119,6 +125,7 @@ def run_label(spark: SparkSession, cfg: EnrichConfig, posts: DataFrame, counts:
     out = labels.valid_rows(judged)
     if not cfg.skip_annotate:
         misses = looked_up.filter(F.col("response").isNull()).drop("response", "model")
+        misses = materialize(misses, "asked")
         for part in run_annotate(spark, cfg, misses, counts):
             out = out.unionByName(part)
     return out.withColumnRenamed("model", "coded_by").drop("response")
@@ -147,11 +154,12 @@ def enrich(
         result.stopped_after = "label"
         return result
 
-    if not cfg.skip_embeddings:
-        enriched = vectors.embed(enriched, cfg.encoder)
     mentions = enriched.select(F.explode("brands_raw.brand_raw").alias("brand_raw"))
     resolved = materialize(entities.resolve_names(mentions, lookup, noise_terms), "names")
     final = entities.resolve_mentions(enriched, resolved)
+    if not cfg.skip_embeddings:
+        # Last, so that no join above carries a vector.
+        final = vectors.embed(with_stored_vectors(spark, cfg, final), cfg.encoder)
     final, seen = counted(
         final,
         mentions=F.coalesce(F.sum(F.size("brands_raw")), F.lit(0)),
@@ -166,6 +174,15 @@ def enrich(
     return result
 
 
+def with_stored_vectors(spark: SparkSession, cfg: EnrichConfig, posts: DataFrame) -> DataFrame:
+    """``posts`` with the stored vector of each post whose text is still the same, on request."""
+    if not cfg.reuse_vectors:
+        return posts
+    stored = StarStore(spark, cfg.store).read("tweets").filter(F.size("embedding") > 0)
+    same = stored.join(posts.select("tweet_id", "full_text"), ["tweet_id", "full_text"], "left_semi")
+    return vectors.reuse_vectors(posts, same)
+
+
 def name_counts(mentions: DataFrame, resolved: DataFrame) -> dict[str, int]:
     """Mentions normalised by exact lookup, mentions that were noise, and distinct unknown names."""
     per_name = mentions.groupBy("brand_raw").count().join(resolved, "brand_raw")

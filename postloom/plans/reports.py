@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from postloom.session import materialize
+
 ID = "tweet_id"
 
 
@@ -60,34 +62,43 @@ def influence_tier(followers: Column, high: float = 5000, mid: float = 500) -> C
 
 
 def shares(df: DataFrame, *keys: str) -> DataFrame:
-    """Rows and share of all rows per group. The total is a scalar subquery, so no task sees all groups."""
-    groups = df.groupBy(*keys).agg(F.count("*").alias("n"))
-    total = df.agg(F.count("*").alias("total"))
+    """Rows and share of all rows per group. The groups are written down; their total is a scalar subquery, so the input
+    is read once and no task sees all groups."""
+    groups = materialize(df.groupBy(*keys).agg(F.count("*").alias("n")), "groups")
+    total = groups.agg(F.sum("n").alias("total"))
     return groups.withColumn("share", F.col("n") / total.scalar())
 
 
-def rising(df: DataFrame, key: str, period: Column) -> DataFrame:
-    """Rows per group and period with the change against the group's previous period."""
-    counts = df.groupBy(F.col(key), period.alias("period")).agg(F.count("*").alias("n"))
-    before = F.lag("n").over(Window.partitionBy(key).orderBy("period"))
-    return counts.withColumn("delta", F.col("n") - before)
+def rising(df: DataFrame, key: str, period: Column, step: Column, positive: Column | None = None) -> DataFrame:
+    """Rows (those that are ``positive``) per group and period with the change against the period just before, ``step``
+    earlier, in which a group without rows counts 0; null in the earliest period of all."""
+    counted = F.count("*") if positive is None else F.count_if(positive)
+    counts = materialize(df.groupBy(F.col(key), period.alias("period")).agg(counted.alias("n")), "counts")
+    before = counts.select(key, (F.col("period") + step).alias("period"), F.col("n").alias("_before"))
+    first = counts.agg(F.min("period").alias("first")).scalar()
+    delta = F.when(F.col("period") > first, F.col("n") - F.coalesce("_before", F.lit(0)))
+    return counts.join(before, [key, "period"], "left").withColumn("delta", delta).drop("_before")
 
 
 def negative_spikes(
-    df: DataFrame, key: str, period: Column, negative: Column, trailing: int = 7, sigmas: float = 2.0
+    df: DataFrame, key: str, period: Column, negative: Column, trailing: int = 7, sigmas: float = 2.0,
+    number: Column | None = None,
 ) -> DataFrame:
-    """Negative share per group and period, flagged where it exceeds the mean of the ``trailing`` earlier periods by
-    ``sigmas`` standard deviations. Windows run over one row per group and period."""
+    """Negative share per group and period, flagged where it exceeds the mean of the ``trailing`` periods before it by
+    ``sigmas`` standard deviations, and by more than rounding does. ``number`` numbers the periods (the period itself
+    where it is a number): a period in which the group is silent has no share, and older ones do not take its place.
+    Windows run over one row per group and period."""
     per = df.groupBy(F.col(key), period.alias("period")).agg(
         F.count("*").alias("n"), F.count_if(negative).alias("negatives")
     )
     per = per.withColumn("share", F.col("negatives") / F.col("n"))
-    past = Window.partitionBy(key).orderBy("period").rowsBetween(-trailing, -1)
+    per = per.withColumn("_at", F.col("period") if number is None else number)
+    past = Window.partitionBy(key).orderBy("_at").rangeBetween(-trailing, -1)
     per = per.withColumns(
         {"past_mean": F.avg("share").over(past), "past_sd": F.stddev_samp("share").over(past)}
     )
-    spike = F.col("share") > F.col("past_mean") + sigmas * F.col("past_sd")
-    return per.withColumn("is_spike", F.coalesce(spike, F.lit(False)))
+    spike = F.col("share") > F.col("past_mean") + sigmas * F.col("past_sd") + 1e-9
+    return per.withColumn("is_spike", F.coalesce(spike, F.lit(False))).drop("_at")
 
 
 def field_accuracy(predicted: DataFrame, golden: DataFrame, id_col: str, fields: list[str]) -> DataFrame:

@@ -1,23 +1,31 @@
-"""The response cache and the dead-letter log: append-only Parquet folders."""
+"""The response cache, a table store in which an id's newest load holds, and the dead-letter log, a Parquet folder."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from postloom.operators.cache import newest_answers
 from postloom.operators.labels import response_json
 from postloom.schemas import CACHE, DEAD_LETTER
 from postloom.session import empty
 from postloom.sources.files import exists
+from postloom.sources.star_store import TableStore
 
 
 def read_cache(spark: SparkSession, path: str) -> DataFrame:
-    """The stored answers; an empty table when there is no cache yet."""
+    """The stored answers; an empty table when there is no cache yet. A plain Parquet folder can be read, too."""
+    if exists(spark, f"{path}/_manifest"):
+        return cache_table(spark, path).read("cache")
     if not exists(spark, path):
         return empty(spark, CACHE)
     return spark.read.schema(CACHE).parquet(path)
 
 
+def cache_table(spark: SparkSession, path: str) -> TableStore:
+    return TableStore(spark, path, {"cache": CACHE}, "cache")
+
+
 def cache_entries(valid: DataFrame, model: str) -> DataFrame:
     """Rows to store for newly labelled, valid posts: the normalised answer, not the raw one."""
     return valid.select(
@@ -29,13 +37,14 @@ def cache_entries(valid: DataFrame, model: str) -> DataFrame:
 
 
 def append_cache(entries: DataFrame, path: str) -> None:
-    """Append; the commit protocol publishes a job's files together, so a killed run leaves no partial batch."""
-    entries.write.mode("append").parquet(path)
+    """Add answers, one per id: readers see all of them or none. Small loads are merged as they gather.
 
-
-def rewrite_cache(cache: DataFrame, path: str) -> None:
-    """Write a fresh snapshot (for compaction, or to import). The path must not be the one ``cache`` is read from."""
-    cache.write.mode("overwrite").parquet(path)
+    The first append to a plain Parquet folder takes its answers over.
+    """
+    store = cache_table(entries.sparkSession, path)
+    if not store.current()[0] and exists(entries.sparkSession, path):
+        store.load({"cache": newest_answers(read_cache(entries.sparkSession, path))})
+    store.load({"cache": entries})
 
 
 def read_json_cache(spark: SparkSession, path: str) -> DataFrame:

@@ -160,7 +160,7 @@ def test_newest_answer_wins(spark):
     rows = [("1", "old", "a", "2024-01-01"), ("1", "new", "b", "2024-01-02"), ("1", None, "c", "2024-01-03"), ("2", "x", "d", None)]
     df = spark.createDataFrame(rows, "tweet_id string, response string, model string, at string")
     df = df.select("tweet_id", "response", "model", F.col("at").cast("timestamp").alias("cached_at"))
-    assert sorted(tuple(r) for r in cache.usable_answers(df).collect()) == [("1", "new", "b"), ("2", "x", "d")]
+    assert sorted(tuple(r) for r in cache.usable_answers(df, df).collect()) == [("1", "new", "b"), ("2", "x", "d")]
 
 
 def test_annotate_retries_and_isolates_failures(spark):

@@ -173,15 +173,17 @@ def share(spark, sf_dir):
 @query(
     "rising",
     """
-    WITH c AS (SELECT event_type, date_trunc('day', ts) AS period, count(*) AS n FROM events
-               WHERE value > 10 GROUP BY ALL)
-    SELECT event_type, CAST(period AS TIMESTAMP) AS period, n,
-           n - lag(n) OVER (PARTITION BY event_type ORDER BY period) AS delta FROM c
+    WITH c AS (SELECT user_id, CAST(date_trunc('day', ts) AS TIMESTAMP) AS period,
+                      count(*) FILTER (WHERE event_type = 'purchase') AS n FROM events GROUP BY ALL)
+    SELECT c.user_id, c.period, c.n,
+           CASE WHEN c.period > (SELECT min(period) FROM c) THEN c.n - coalesce(b.n, 0) END AS delta
+    FROM c LEFT JOIN c b ON b.user_id = c.user_id AND b.period + INTERVAL 1 DAY = c.period
     """,
 )
 def rising(spark, sf_dir):
-    events = table(spark, sf_dir, "events").filter(F.col("value") > 10)
-    return reports.rising(events, "event_type", F.date_trunc("day", "ts").cast("timestamp_ntz"))
+    """Purchases stand for positive mentions, users for brands: most are silent on some days."""
+    day, step = F.date_trunc("day", "ts").cast("timestamp_ntz"), F.expr("INTERVAL 1 DAY")
+    return reports.rising(table(spark, sf_dir, "events"), "user_id", day, step, F.col("event_type") == "purchase")
 
 
 @query(
@@ -191,17 +193,19 @@ def rising(spark, sf_dir):
                       count(*) FILTER (WHERE event_type = 'error') AS negatives FROM events GROUP BY ALL),
     s AS (SELECT *, negatives / n AS share FROM c),
     w AS (SELECT *, avg(share) OVER p AS m, stddev_samp(share) OVER p AS sd FROM s
-          WINDOW p AS (PARTITION BY user_id ORDER BY period ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING))
+          WINDOW p AS (PARTITION BY user_id ORDER BY period
+                       RANGE BETWEEN INTERVAL 7 DAY PRECEDING AND INTERVAL 1 DAY PRECEDING))
     SELECT user_id, period, n, negatives, round(share, 6) AS share, coalesce(share > m + 2 * sd + 1e-9, false) AS is_spike
     FROM w
     """,
 )
 def spike(spark, sf_dir):
     day = F.date_trunc("day", "ts").cast("timestamp_ntz")
-    out = reports.negative_spikes(table(spark, sf_dir, "events"), "user_id", day, F.col("event_type") == "error")
-    # The same guard against rounding of the deviation on both sides.
-    spiked = F.coalesce(F.col("share") > F.col("past_mean") + 2 * F.col("past_sd") + 1e-9, F.lit(False))
-    return out.select("user_id", "period", "n", "negatives", F.round("share", 6).alias("share"), spiked.alias("is_spike"))
+    number = F.datediff("period", F.lit("1970-01-01").cast("date"))
+    out = reports.negative_spikes(
+        table(spark, sf_dir, "events"), "user_id", day, F.col("event_type") == "error", number=number
+    )
+    return out.select("user_id", "period", "n", "negatives", F.round("share", 6).alias("share"), "is_spike")
 
 
 _EVAL = (
