@@ -88,16 +88,16 @@ def fill_missing_ids(df: DataFrame, id_col: str = "tweet_id", *ord_cols: str) ->
     return df.withColumn(id_col, F.coalesce(F.nullif(F.col(id_col), F.lit("")), made))
 
 
-def dedup_best(df: DataFrame, id_col: str, score: Column, ord_col: str) -> DataFrame:
-    """One row per id: highest score, first seen on ties; ``first_ord`` is where the id was first seen. ``ord_col`` may
-    be of any ordered type.
+def dedup_best(df: DataFrame, id_col: str, score: Column, ord_col: str, seen_col: str | None = None) -> DataFrame:
+    """One row per id: highest score, first by ``ord_col`` on ties; ``first_ord`` is where the id was first seen, by
+    ``seen_col`` where rows are winners of earlier rounds. Both may be of any ordered type.
 
     An aggregate rather than a window, so each task first reduces its own rows to one per id: an id that holds a third
     of the table reaches the shuffle as one row per task.
     """
     row = F.struct(*[F.col(c) for c in df.columns if c != id_col])
     best = df.groupBy(id_col).agg(
-        F.min_by(row, F.struct(-score, F.col(ord_col))).alias("_row"), F.min(ord_col).alias("first_ord")
+        F.min_by(row, F.struct(-score, F.col(ord_col))).alias("_row"), F.min(seen_col or ord_col).alias("first_ord")
     )
     return best.select(id_col, "_row.*", "first_ord")
 
@@ -107,13 +107,13 @@ def engagement() -> Column:
     return sum(safe_int(F.col(c)).cast("decimal(38,0)") for c in ("likes", "retweets", "comments"))
 
 
-def merge_rows(rows: DataFrame, ord_col: str = "row_ord") -> DataFrame:
-    """One row per id of rows that have one, author fields filled: the target columns plus ``ord_col``, where the id was
-    first seen."""
+def merge_rows(rows: DataFrame, ord_col: str = "row_ord", *keep: str) -> DataFrame:
+    """One row per id of rows that have one, author fields filled: the target columns, ``ord_col``, where the id was
+    first seen, and the winner's columns named in ``keep``."""
     best = dedup_best(rows, "tweet_id", engagement(), ord_col)
     # Back-filling touches single rows and no deduplication key, so only the winners pay for payload parsing.
     merged = backfill_authors(best.drop(ord_col).withColumnRenamed("first_ord", ord_col))
-    return merged.select(*MERGED_COLUMNS, ord_col)
+    return merged.select(*MERGED_COLUMNS, ord_col, *keep)
 
 
 def numbered_rows(df: DataFrame, missing_ids: str = "ordinal") -> DataFrame:

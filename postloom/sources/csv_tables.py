@@ -27,11 +27,14 @@ WRITE = {
 }
 
 
-MERGED_STORE = {"merged": ", ".join(f"`{c}` string" for c in MERGED_COLUMNS) + ", source_file string, file_row bigint"}
+MERGED_STORE = {"merged": ", ".join(f"`{c}` string" for c in MERGED_COLUMNS) + (
+    ", source_file string, file_row bigint, won_file string, won_row bigint"
+)}
 
 
 def merged_store(spark: SparkSession, root: str) -> TableStore:
-    """The merged table as a store, one row per id, with the file and row in it where the id was first seen."""
+    """The merged table as a store, one row per id, with the file and row in it where the id was first seen, and those
+    of the copy that was kept."""
     return TableStore(spark, root, MERGED_STORE, "merged")
 
 

@@ -58,11 +58,15 @@ def merge_batch(store: TableStore, batch: DataFrame, batch_id: int) -> None:
     # Directly above the scan: a multi-line CSV is never split, so within one file the number follows the file's rows.
     rows = place_in_file(project_merged(batch.withColumn("_pos", F.monotonically_increasing_id()), "_file", "_pos"))
     rows = fill_missing_ids(rows, "tweet_id", "source_file", "file_row")
-    fresh = materialize(merge_rows(rows.withColumn("seen", F.struct("source_file", "file_row")), "seen"), "batch")
+    at = F.struct("source_file", "file_row")
+    fresh = materialize(merge_rows(rows.withColumns({"seen": at, "won": at}), "seen", "won"), "batch")
     stored = store.read("merged").join(fresh.select("tweet_id"), "tweet_id", "left_semi")
-    stored = stored.select(*MERGED_COLUMNS, F.struct("source_file", "file_row").alias("seen"))
-    merged = dedup_best(stored.unionByName(fresh), "tweet_id", engagement(), "seen").drop("seen")
-    merged = merged.select(*MERGED_COLUMNS, "first_ord.*")
+    won = F.struct(F.col("won_file").alias("source_file"), F.col("won_row").alias("file_row"))
+    stored = stored.select(*MERGED_COLUMNS, at.alias("seen"), won.alias("won"))
+    merged = dedup_best(stored.unionByName(fresh), "tweet_id", engagement(), "won", "seen")
+    merged = merged.select(
+        *MERGED_COLUMNS, "first_ord.*", F.col("won.source_file").alias("won_file"), F.col("won.file_row").alias("won_row")
+    )
     store.load({"merged": materialize(merged, "merged")})
 
 

@@ -1,5 +1,6 @@
 import csv
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -117,33 +118,117 @@ def test_a_cached_answer_that_fails_stays_cached_and_dies_every_time(spark, job)
         assert read_dead_letters(spark, str(job.path / "dead")).count() == expected
 
 
-def test_stream_equals_batch(spark, tmp_path):
-    folder = tmp_path / "raw"
-    folder.mkdir()
+def write_csv_file(path, rows, header=HEADER):
+    with open(path, "w", newline="") as f:
+        out = csv.writer(f)
+        out.writerow(header)
+        out.writerows(rows)
+
+
+def raw_rows(seed, n):
+    rng = random.Random(seed)
+    return [[rng.choice(["", *map(str, range(9))]), f"text {seed} {i}", str(rng.randrange(4)), "", "", "u"] for i in range(n)]
+
+
+COLS = ["tweet_id", "text", "likes", "user_screen_name", "user_username"]
 
-    def write(name, rows):
-        with open(folder / name, "w", newline="") as f:
-            out = csv.writer(f)
-            out.writerow(HEADER)
-            out.writerows(rows)
 
-    def row(i, likes):
-        return [str(i), f"text {i} {likes}", str(likes), "", "", "u"]
+def merged_rows(df):
+    return sorted(tuple(r) for r in df.select(*COLS).collect())
 
-    write("a.csv", [row(i % 7, i) for i in range(20)])
+
+@pytest.mark.parametrize("max_files", [1, 3, 100])
+def test_stream_equals_batch(spark, tmp_path, max_files):
+    """Ties, rows without an id, several files in one micro-batch, the larger one later by name."""
+    folder = tmp_path / "raw"
+    folder.mkdir()
     args = (spark, str(folder), HEADER, str(tmp_path / "store"), str(tmp_path / "ckpt"))
-    ingest_new_files(*args, max_files=1)
-    write("b.csv", [row(i % 9, (i * 37) % 101) for i in range(30)])
-    write("c.csv", [row(i % 5, 3) for i in range(10)])
-    store = ingest_new_files(*args, max_files=1)
-    ingest_landing(spark, str(folder), str(tmp_path / "merged"))
-    cols = ["tweet_id", "text", "likes", "user_screen_name", "user_username"]
-    want = sorted(tuple(r) for r in read_merged(spark, str(tmp_path / "merged")).select(*cols).collect())
-    assert sorted(tuple(r) for r in store.read("merged").select(*cols).collect()) == want
+    write_csv_file(folder / "c.csv", raw_rows(1, 5))
+    write_csv_file(folder / "d.csv", raw_rows(2, 60))
+    ingest_new_files(*args, max_files=max_files)
+    write_csv_file(folder / "a.csv", raw_rows(3, 10))
+    write_csv_file(folder / "b.csv", raw_rows(4, 40))
+    store = ingest_new_files(*args, max_files=max_files)
+    ingest_landing(spark, str(folder), str(tmp_path / "merged"), missing_ids="file")
+    batch = read_merged(spark, str(tmp_path / "merged"))
+    want = merged_rows(batch)
+    assert any(r[0].startswith("unknown_b.csv_") for r in want)
+    assert merged_rows(store.read("merged")) == want
+    # the order of first sight is the same as well, and the store can feed the enrichment job
+    first = lambda df: [r.tweet_id for r in df.orderBy("row_ord").collect()]
+    assert first(read_merged(spark, str(tmp_path / "store"))) == first(batch)
     # nothing new: nothing changes
     ingest_new_files(*args)
-    assert store.read("merged").count() == len(want)
-    assert clean.clean_posts(store.read("merged")).count() == len(want)
+    assert merged_rows(store.read("merged")) == want
+
+
+def test_a_replayed_micro_batch_changes_nothing(spark, tmp_path):
+    folder = tmp_path / "raw"
+    folder.mkdir()
+    for i, name in enumerate(["a.csv", "b.csv", "c.csv"]):
+        write_csv_file(folder / name, raw_rows(i, 30))
+    args = (spark, str(folder), HEADER, str(tmp_path / "store"))
+    store = ingest_new_files(*args, str(tmp_path / "one"))
+    want = merged_rows(store.read("merged"))
+    # a lost checkpoint, other packing of files into tasks: all rows arrive again
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        ingest_new_files(*args, str(tmp_path / "two"), max_files=2)
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert merged_rows(store.read("merged")) == want
+
+
+def test_stream_feeds_clean_and_star(spark, job):
+    raw = job.path / "raw"
+    store = ingest_new_files(spark, str(raw), HEADER, str(job.path / "stream"), str(job.path / "ckpt"))
+    result = job(input=str(job.path / "stream"))
+    assert result.counts["extracted"] == 7 and result.counts["enriched"] == 4
+    assert sorted(r.tweet_id for r in job.store.read("tweets").collect()) == ["1", "2", "6"]
+    assert clean.clean_posts(store.read("merged")).count() == 7
+
+
+def test_merge_job_takes_its_own_output_as_base(spark, tmp_path):
+    folder = tmp_path / "raw"
+    folder.mkdir()
+    write_csv_file(folder / "a.csv", raw_rows(1, 40))
+    ingest_landing(spark, str(folder), str(tmp_path / "first"), missing_ids="file")
+    before = read_merged(spark, str(tmp_path / "first"))
+    again = ingest_landing(spark, str(folder), str(tmp_path / "second"), base=str(tmp_path / "first"), missing_ids="file")
+    assert merged_rows(read_merged(spark, str(tmp_path / "second"))) == merged_rows(before)
+    assert again.after == before.count() and again.before == before.count() + 40
+
+
+def test_counts_beyond_64_bits_do_not_end_the_job(spark, tmp_path):
+    folder = tmp_path / "raw"
+    folder.mkdir()
+    big = "9000000000000000000"
+    write_csv_file(folder / "a.csv", [["1", "most", big, big, big, "u"], ["1", "less", big, big, "", "u"], ["2", "x", "1", "", "", "u"]])
+    assert ingest_landing(spark, str(folder), str(tmp_path / "m")).after == 2
+    assert {r.tweet_id: r.text for r in read_merged(spark, str(tmp_path / "m")).collect()} == {"1": "most", "2": "x"}
+
+
+def test_stored_vectors_are_reused(spark, job):
+    job()
+    seen = []
+
+    def encoder(df, text_col, out_col):
+        seen.extend(r[0] for r in df.select("tweet_id").collect())
+        return df.withColumn(out_col, F.array(F.lit(9.0).cast("float")))
+
+    result = job(skip_annotate=True, reuse_vectors=True, encoder=encoder)
+    assert seen == [] and result.counts["embedded"] == 3
+    assert all(len(r.embedding) == 384 for r in job.store.read("tweets").collect())
+
+
+def test_trends_skip_no_silent_period(spark):
+    rows = [("a", 1), ("a", 1), ("a", 4), ("b", 1), ("b", 2)]
+    df = spark.createDataFrame(rows, "k string, d int")
+    got = {(r.k, r.period): (r.n, r.delta) for r in reports.rising(df, "k", F.col("d"), F.lit(1)).collect()}
+    assert got == {("a", 1): (2, None), ("a", 4): (1, 1), ("b", 1): (1, None), ("b", 2): (1, 0)}
+    # days 0 to 9 without a negative, a long silence, one negative day: nothing recent to compare with
+    days = spark.createDataFrame([("k", d, d == 50) for d in [*range(10), 50]], "k string, d int, neg boolean")
+    assert reports.negative_spikes(days, "k", F.col("d"), F.col("neg")).filter("is_spike").count() == 0
 
 
 def test_report_edges(spark):
