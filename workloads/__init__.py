@@ -5,7 +5,7 @@ import sys
 from pyspark.cloudpickle import register_pickle_by_value
 
 from workloads.base import ORACLES, QUERIES
-from workloads import entities, ingest, jobs, labels, reports, text, vectors  # noqa: F401  (they register themselves)
+from workloads import entities, full_job, ingest, jobs, labels, reports, text, vectors  # noqa: F401  (they register themselves)
 
 __all__ = ["ORACLES", "QUERIES"]
 
