@@ -1,6 +1,7 @@
 """Fields of the nested ``raw`` and ``media`` payloads, read from VARIANT.
 
-A payload is JSON or a Python literal. JSON is parsed natively; only the rest crosses to Python, and only as strings.
+A payload is JSON or a Python literal. JSON is parsed natively, and so are literals whose quotes can be read in one way
+only; the rest crosses to Python, and only as strings.
 """
 
 from __future__ import annotations
@@ -53,6 +54,46 @@ def python_literal_to_json(texts: pd.Series) -> pd.Series:
         return texts.map(_literal_json)
 
 
+# What may stand outside the strings of a literal that is rewritten: brackets, separators, blanks, plain whole numbers and
+# the three names that JSON spells otherwise. Anything else (floats, prefixes, comments, other names) is left to Python.
+PLAIN_OUTSIDE = r"None|True|False|(?<![0-9])[0-9]{1,15}(?![0-9])|[\s\[\]{}:,'-]"
+
+
+def plain_literal_to_json(text: Column) -> Column:
+    """JSON text of a Python literal whose strings are all in single quotes and free of backslashes, else null.
+
+    Split at the single quotes, the pieces alternate between outside and inside of strings; a double quote outside would
+    open a string of the other kind, so none may be there. A result that is no JSON after all (tuples, joined strings,
+    trailing commas) is for Python to judge.
+    """
+    pieces = F.split(text, "'", -1)
+    outside = F.array_join(F.filter(pieces, lambda _, i: i % 2 == 0), "'")
+    plain = (
+        ~text.contains("\\") & text.contains("'") & text.rlike(r"\A[\[{'0-9NTF-]") & (F.size(pieces) % 2 == 1)
+        & (F.regexp_replace(outside, PLAIN_OUTSIDE, "") == "")
+    )
+
+    def spell(piece: Column, i: Column) -> Column:
+        names = piece
+        for python, other in (("None", "null"), ("True", "true"), ("False", "false")):
+            names = F.replace(names, F.lit(python), F.lit(other))
+        return F.when(i % 2 == 0, names).otherwise(F.replace(piece, F.lit('"'), F.lit('\\"')))
+
+    return F.when(plain, F.array_join(F.transform(pieces, spell), '"'))
+
+
+def _bracketed(text: Column) -> Column:
+    """A JSON text parsed as the first of two array items. The parser stops after one value and ignores what follows,
+    so a text is JSON only if the second item is where it should be."""
+    return F.try_parse_json(F.concat(F.lit("["), text, F.lit(', "end"]')))
+
+
+def _only_value(array: Column) -> Column:
+    """The value that ``_bracketed`` parsed, null where the text was not exactly one."""
+    end = _text(array, "$[1]") == "end"
+    return F.when(end & F.try_variant_get(array, "$[2]", "variant").isNull(), F.try_variant_get(array, "$[0]", "variant"))
+
+
 def with_payload(df: DataFrame, source: str, target: str) -> DataFrame:
     """Add VARIANT column ``target`` parsed from string column ``source``; a wrapped post is unwrapped.
 
@@ -60,8 +101,12 @@ def with_payload(df: DataFrame, source: str, target: str) -> DataFrame:
     literal reading wins where the two readings of an escaped slash differ.
     """
     text = F.col(source)
-    parsed, literal = f"_{target}_json", f"_{target}_literal"
-    out = once(df, **{parsed: F.try_parse_json(text)})
+    parsed, plain, literal = f"_{target}_json", f"_{target}_plain", f"_{target}_literal"
+    wrapped = f"_{target}_whole"
+    out = once(df, **{wrapped: _bracketed(text)})
+    out = once(out, **{plain: _only_value(F.col(wrapped))}).drop(wrapped)
+    out = once(out, **{wrapped: _bracketed(plain_literal_to_json(F.when(F.col(plain).isNull(), text)))})
+    out = once(out, **{parsed: F.coalesce(F.col(plain), _only_value(F.col(wrapped)))}).drop(plain, wrapped)
     needs_python = (text != "") & (F.col(parsed).isNull() | text.contains("\\/"))
     out = out.withColumn(literal, python_literal_to_json(F.when(needs_python, text)))
     out = once(out, **{target: F.coalesce(F.try_parse_json(F.col(literal)), F.col(parsed))}).drop(parsed, literal)

@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from postloom.session import materialize
+
 # Vectors have 384 dimensions and are made 64 texts at a time.
 DIMENSIONS = 384
 BATCH = 64
@@ -186,6 +188,28 @@ def search_cells(celled: DataFrame, queries: DataFrame, model, k: int, probes: i
     return _all_hits(celled.sparkSession, parts, k)
 
 
+def near_duplicates(corpus: DataFrame, step: float = 0.02) -> DataFrame:
+    """``(vec_id, group_id)``: group_id is the smallest vec_id that shares a cell with the vector, its own where none does.
+
+    Cells are cubes of side ``step``, in two grids half a side apart: vectors that share one differ by less than ``step`` in
+    every component, and vectors that hardly differ, such as one text encoded twice, share one but for a chance that
+    shrinks with their difference in both grids at once. Equal vectors always do. Nothing is compared pair by pair: the
+    smallest id of a cell is an aggregate that each task reduces first, and rows meet it in a join that adaptive execution
+    may split, so a group that holds a third of the rows stays linear. Vectors are expected to be of unit length; null
+    vectors stand for themselves.
+    """
+    rows = corpus.select("vec_id", "embedding")
+    for n, shift in enumerate((0.0, 0.5)):
+        cell = F.transform("embedding", lambda x: F.floor(x.cast("double") / F.lit(step) + F.lit(shift)).cast("int"))  # noqa: B023
+        rows = rows.withColumn(f"_cell{n}", F.sha2(F.array_join(cell, ","), 256))
+    rows = materialize(rows.drop("embedding"), "cells")
+    out = rows
+    for n in range(2):
+        low = materialize(rows.groupBy(f"_cell{n}").agg(F.min("vec_id").alias(f"_low{n}")), "lowest")
+        out = out.join(low, f"_cell{n}", "left")
+    return out.select("vec_id", F.least("vec_id", *[F.when(F.col(f"_cell{n}").isNotNull(), F.col(f"_low{n}")) for n in range(2)]).alias("group_id"))
+
+
 def describe_clusters(assigned: DataFrame, text_col: str, score: Column, top: int = 10) -> DataFrame:
     """Per cluster: size, mean score and its ``top`` most frequent words (counted once per row)."""
     base = assigned.groupBy("cell").agg(F.count("*").alias("size"), F.avg(score).alias("mean_score"))

@@ -41,15 +41,19 @@ def load_warehouse(
     target: str,
     fmt: str = "parquet",
     options: dict[str, str] | None = None,
+    schemas: dict[str, str] | None = None,
 ) -> dict[str, int | None]:
-    """Replace ``target/<table>`` by each CSV with detected types; returns rows loaded, None for a missing CSV."""
+    """Replace ``target/<table>`` by each CSV; returns rows loaded, None for a missing CSV. Types are those of ``schemas``
+    and are detected, by a further pass over the file, only for tables that it lacks."""
     report: dict[str, int | None] = {}
     for name in tables:
         path = f"{folder}/{name}"
         if not exists(spark, path):
             report[name] = None
             continue
-        df = spark.read.options(**READ, inferSchema="true").csv(path)
+        reader = spark.read.options(**READ)
+        known = (schemas or {}).get(name)
+        df = (reader.schema(known) if known else reader.option("inferSchema", "true")).csv(path)
         watched, seen = counted(df, rows=F.count(F.lit(1)))
         watched.write.format(fmt).options(**(options or {})).mode("overwrite").save(f"{target}/{name}")
         report[name] = seen.get["rows"]

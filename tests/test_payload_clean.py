@@ -1,8 +1,19 @@
+import ast
 import json
+import random
+import warnings
 
 from pyspark.sql import functions as F
 
-from postloom.functions.payload import author_fields, image_links_json, post_fields, with_payload
+from postloom.functions.payload import (
+    _bracketed,
+    _only_value,
+    author_fields,
+    image_links_json,
+    plain_literal_to_json,
+    post_fields,
+    with_payload,
+)
 from postloom.operators import clean
 from postloom.operators.ingest import backfill_authors
 from postloom.schemas import MERGED_COLUMNS
@@ -103,7 +114,7 @@ def test_costly_columns_are_computed_once(spark, plan):
     kept = clean.without_spam(clean.accepted_posts(clean.clean_posts(merged(spark, [{"tweet_id": "1", "text": "x"}]))))
     text = plan(kept)
     assert text.count("ArrowEvalPython") == 1
-    assert sum("parseJson" in line for line in text.splitlines()) == 2  # the JSON, and the converted literal
+    assert sum("parseJson" in line for line in text.splitlines()) == 3  # the JSON, and the literal rewritten natively or converted
 
 
 def test_repeated_text_and_posters(spark):
@@ -123,3 +134,53 @@ def test_keyword_spec(spark):
          (5, "rambut rontok clear", "id", "2024-01-02")], "i int, t string, l string, d string",
     ).withColumn("d", F.col("d").cast("timestamp_ntz"))
     assert [r.i for r in clean.keyword_filter(df, spec, "t", "l", "d").collect()] == [1]
+
+
+def random_literal(rng, depth=0):
+    kind = rng.randrange(9 if depth < 3 else 6)
+    if kind < 3:
+        return "".join(rng.choice(['a', 'é', ' ', ':', '{', ']', ',', 'None', '1', '"', '#', "'", "\\", "\n", "\t", "漢"]) for _ in range(rng.randrange(6)))
+    if kind == 3:
+        return rng.choice([None, True, False])
+    if kind == 4:
+        return rng.choice([0, 7, -3, 10**12, 123456789012345678901, 1.5, 1e300, -0.0])
+    if kind == 5:
+        return rng.choice([(), (1,), [], {}])
+    if kind < 8:
+        return {rng.choice(["k", "views", "a b", 'q"']): random_literal(rng, depth + 1) for _ in range(rng.randrange(4))}
+    return [random_literal(rng, depth + 1) for _ in range(rng.randrange(4))]
+
+
+def test_plain_literals_read_like_python(spark):
+    """Whatever the native step reads as JSON must be what Python reads; damaged literals included."""
+    rng = random.Random(5)
+    texts = [repr(random_literal(rng)) for _ in range(1500)]
+    for t in list(texts[:700]):
+        i = rng.randrange(len(t) + 1)
+        texts.append(t[:i] + rng.choice(["'", '"', ",", " ", "b", "'x' ", "null", "None", "0", "_", ".", "1e5", "#", "\n", "(", "\x0c"]) + t[i:])
+    texts += ["{'a': null}", "'a' 'b'", "b'x'", "'''x'''", "{'a': 01}", "{'a': 1_0}", "\n{'a': 1}", " {'a': 1}", "{'a': None,}", "{'a': NaN}", "['a'\n]",
+              "{'a': True, 'a': 2}", "NoneTrue", "['None', None]", "{'x': 'say \"hi\"'}", "{None: 'a'}"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    native = F.to_json(_only_value(F.col("v")))
+    parsed = df.withColumn("v", _bracketed(plain_literal_to_json(F.col("t"))))
+    got = {r.i: r.j for r in parsed.select("i", native.alias("j")).collect()}
+    read = 0
+    for i, text in enumerate(texts):
+        if got[i] is None:
+            continue
+        read += 1
+        with warnings.catch_warnings():
+            warnings.simplefilter("ignore")
+            assert json.loads(got[i]) == ast.literal_eval(text), text
+    assert read > 300
+    # An ordinary payload does not reach Python.
+    assert fields(spark, [repr(POST)], fn=lambda v: v.isNotNull().alias("x")) == [True]
+    payload = spark.createDataFrame([(repr(POST),)], "t string").withColumn("v", _bracketed(plain_literal_to_json(F.col("t"))))
+    assert payload.filter(native.isNotNull()).count() == 1
+
+
+def test_json_with_something_after_it_is_no_json(spark):
+    texts = ['{"a": 1} junk', '{"a": 1}, {"b": 2}', '{"a": 1}]', "1", '[1]][[2]', ' {"a": 1}\n', '1, "end"']
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").withColumn("v", _bracketed(F.col("t")))
+    got = [r[0] for r in df.orderBy("i").select(F.to_json(_only_value(F.col("v")))).collect()]
+    assert got == [None, None, None, "1", None, '{"a":1}', None]

@@ -123,3 +123,16 @@ def test_clusters(spark):
     assigned = vectors.assign_cells(vecs, vectors.fit_cells(vecs, 2))
     out = {r.top_terms: (r["size"], r.mean_score) for r in vectors.describe_clusters(assigned, "full_text", F.col("s"), 2).collect()}
     assert out == {"falls hair": (2, 0.5), "high price": (2, 0.5)}
+
+
+def test_near_duplicates(spark, data):
+    rng = np.random.default_rng(3)
+    base = rng.normal(size=(50, 16))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    rows = [(i, list(v)) for i, v in enumerate(base)] + [(100 + i, list(v)) for i, v in enumerate(base[:30])]
+    rows += [(200 + i, list(v + 1e-9)) for i, v in enumerate(base)] + [(300 + i, list(v + 0.5)) for i, v in enumerate(base[:5])] + [(400, None), (401, None)]
+    rows = [(i, v and [float(x) for x in v]) for i, v in rows]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(4)
+    got = {r.vec_id: r.group_id for r in vectors.near_duplicates(df).collect()}
+    assert got == {i: i % 100 if i < 300 else i for i, _ in rows}
+    assert vectors.near_duplicates(df.limit(0)).count() == 0

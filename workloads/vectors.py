@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from postloom.operators import vectors
 from postloom.session import materialize
-from workloads.base import costly, query, table
+from workloads.base import ORACLES, costly, query, table
 
 
 @query("embed_default")
@@ -16,6 +16,24 @@ def embed_default(spark, sf_dir):
     return vectors.embed(docs).drop("full_text")
 
 
+@query(
+    "embed_length",
+    r"""
+    SELECT doc_id, 384 AS dimensions, CASE WHEN regexp_matches(text, '[\p{L}\p{N}]') THEN 1.0 ELSE 0.0 END::DOUBLE AS norm,
+           min(doc_id) OVER (PARTITION BY list_sort(regexp_extract_all(lower(text), '[\p{L}\p{N}]+'))) AS first_alike
+    FROM documents
+    """,
+)
+def embed_length(spark, sf_dir):
+    """What SQL can say of the vectors: their size and length, and that texts with the same words have the same one (the
+    first document with an equal vector; 384 components tell these texts apart)."""
+    vecs = vectors.embed(table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("full_text"))).drop("full_text")
+    vecs = materialize(vecs, "vectors")
+    first = vecs.groupBy("embedding").agg(F.min("doc_id").alias("first_alike"))
+    norm = F.round(F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double") * x)), 4)
+    return vecs.join(first, "embedding").select("doc_id", F.size("embedding").alias("dimensions"), norm.alias("norm"), "first_alike")
+
+
 def corpus(spark, sf_dir):
     return table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
 
@@ -50,6 +68,67 @@ def search_topk(spark, sf_dir):
     return hits.withColumn("score", F.round("score", 6))
 
 
+_TOPK_SQL = ORACLES["search_topk"]
+
+
+@query("search_cells_all", _TOPK_SQL)
+def search_cells_all(spark, sf_dir):
+    """Every cell probed: the approximate search must then be the exact one."""
+    vecs = corpus(spark, sf_dir)
+    model = vectors.fit_cells(vecs, cells=10)
+    hits = vectors.search_cells(vectors.assign_cells(vecs, model), label_means(spark, sf_dir), model, k=10, probes=10)
+    return hits.withColumn("score", F.round("score", 6))
+
+
+@query("search_recall", "SELECT true AS reached, count(DISTINCT label) AS queries FROM embeddings")
+def search_recall(spark, sf_dir):
+    """Whether eight cells of ten find nine tenths of what the exact search finds. These vectors are hardly clustered and
+    the queries are means, so two cells find less than a half."""
+    vecs, queries = corpus(spark, sf_dir), materialize(label_means(spark, sf_dir), "means")
+    model = vectors.fit_cells(vecs, cells=10)
+    some = vectors.search_cells(vectors.assign_cells(vecs, model), queries, model, k=10, probes=8)
+    exact = vectors.search_exact(vecs, queries, 10)
+    found = exact.join(some.select("query_id", "vec_id", F.lit(1).alias("hit")), ["query_id", "vec_id"], "left")
+    return found.agg((F.count("hit") >= 0.9 * F.count("*")).alias("reached"), F.count_distinct("query_id").alias("queries"))
+
+
+@query(
+    "cluster_terms",
+    r"""
+    WITH w AS (SELECT DISTINCT lang AS cell, doc_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS term FROM documents),
+    n AS (SELECT cell, term, count(*) AS c FROM w GROUP BY ALL),
+    r AS (SELECT *, row_number() OVER (PARTITION BY cell ORDER BY c DESC, term) AS rank FROM n),
+    t AS (SELECT cell, string_agg(term, ' ' ORDER BY rank) AS top_terms FROM r WHERE rank <= 10 GROUP BY cell)
+    SELECT d.lang AS cell, count(*) AS size, round(avg(quality), 6) AS mean_score, any_value(top_terms) AS top_terms
+    FROM documents d LEFT JOIN labels USING (doc_id) LEFT JOIN t ON t.cell = d.lang GROUP BY d.lang
+    """,
+)
+def cluster_terms(spark, sf_dir):
+    """The description of clusters, over cells that are given: the languages."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("lang").alias("cell"), "text")
+    graded = docs.join(table(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id", "left")
+    out = vectors.describe_clusters(graded, "text", F.col("quality"))
+    return out.withColumn("mean_score", F.round("mean_score", 6))
+
+
+@query(
+    "near_dup_vectors",
+    """
+    WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+               UNION ALL SELECT vec_id + 1000000, list_transform(embedding, lambda x: CAST(x AS DOUBLE) + 0.00001) FROM embeddings
+               UNION ALL SELECT vec_id + 2000000, CAST(embedding AS DOUBLE[]) FROM embeddings WHERE label < 5),
+    g AS (SELECT vec_id, list_transform(e, lambda x: floor(x / 0.02)) AS a, list_transform(e, lambda x: floor(x / 0.02 + 0.5)) AS b FROM v)
+    SELECT vec_id, least(min(vec_id) OVER (PARTITION BY a), min(vec_id) OVER (PARTITION BY b)) AS group_id FROM g
+    """,
+)
+def near_dup_vectors(spark, sf_dir):
+    """Groups among the vectors, a slightly moved copy of each, and an equal copy of half of them."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "label", F.col("embedding").cast("array<double>").alias("embedding"))
+    moved = rows.select(F.col("vec_id") + 1_000_000, "label", F.transform("embedding", lambda x: x + F.lit(0.00001)))
+    equal = rows.filter("label < 5").select(F.col("vec_id") + 2_000_000, "label", "embedding")
+    return vectors.near_duplicates(rows.union(moved).union(equal))
+
+
 @query("search_ann")
 def search_ann(spark, sf_dir):
     """The same through K-Means cells, two probed per query (approximate; a test measures recall)."""
