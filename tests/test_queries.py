@@ -48,6 +48,6 @@ def test_filters_and_columns_reach_the_scan(spark, plan):
 
 def test_hot_keys_are_reduced_before_the_shuffle(spark, plan):
     """Reading a plan bottom-up, something must shrink each group before the exchange."""
-    for name, reducer in (("dedup_best", "partial_max_by"), ("last_per_id", "partial_max_by"), ("search_topk", "WindowGroupLimit"),
+    for name, reducer in (("dedup_best", "partial_min_by"), ("last_per_id", "partial_max_by"), ("search_topk", "WindowGroupLimit"),
                           ("posts_per_cause", "partial_count")):
         assert reducer in plan(driver.queries()[name](spark, SF)), name
