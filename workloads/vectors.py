@@ -141,8 +141,9 @@ def search_ann(spark, sf_dir):
 def clusters(spark, sf_dir):
     """Documents grouped by K-Means over their vectors: size, mean quality label and frequent words per group."""
     docs = costly(spark, sf_dir, "documents", "doc_id", "text").withColumnRenamed("text", "full_text")
-    vecs = materialize(vectors.embed(docs), "vectors")
+    # Texts are read again where their words are counted; only ids, vectors and cells are written.
+    vecs = materialize(vectors.embed(docs).select("doc_id", "embedding"), "vectors")
     model = vectors.fit_cells(vecs, cells=8)
-    assigned = materialize(vectors.assign_cells(vecs, model).drop("embedding"), "assigned")
-    graded = assigned.join(table(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id", "left")
+    assigned = materialize(vectors.assign_cells(vecs, model).select("doc_id", "cell"), "assigned")
+    graded = docs.join(assigned, "doc_id").join(table(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id", "left")
     return vectors.describe_clusters(graded, "full_text", F.col("quality"))
