@@ -144,7 +144,10 @@ def write_archives(pages: DataFrame, folder: str, smallest: int = SMALLEST, roll
     """
     spark = pages.sparkSession
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    # With scheme and host, so that tasks open the same file system.
+    folder = files.makeQualified(path).toString()
     payload = F.coalesce(utf8(F.col("html")), F.lit(b""))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", payload.alias("payload"))
     rows = rows.withColumns({"size": F.octet_length("payload").cast("long"), "digest": F.sha2("payload", 256)})
