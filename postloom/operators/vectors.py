@@ -8,6 +8,7 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import HashingTF, Normalizer
 from pyspark.ml.functions import array_to_vector, predict_batch_udf, vector_to_array
@@ -15,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from postloom.operators.graph import components
 from postloom.session import materialize
 
 # Vectors have 384 dimensions and are made 64 texts at a time.
@@ -24,6 +26,9 @@ BATCH = 64
 # Query vectors travel inside task closures, this many at a time; each block of them reads the corpus once.
 QUERY_BLOCK = 1024
 
+# Vectors with one band value that a task compares; more are spread over several tasks.
+TILE = 2048
+
 
 def words(c: Column) -> Column:
     """Lower-cased runs of letters and digits."""
@@ -188,26 +193,112 @@ def search_cells(celled: DataFrame, queries: DataFrame, model, k: int, probes: i
     return _all_hits(celled.sparkSession, parts, k)
 
 
-def near_duplicates(corpus: DataFrame, step: float = 0.02) -> DataFrame:
-    """``(vec_id, group_id)``: group_id is the smallest vec_id that shares a cell with the vector, its own where none does.
-
-    Cells are cubes of side ``step``, in two grids half a side apart: vectors that share one differ by less than ``step`` in
-    every component, and vectors that hardly differ, such as one text encoded twice, share one but for a chance that
-    shrinks with their difference in both grids at once. Equal vectors always do. Nothing is compared pair by pair: the
-    smallest id of a cell is an aggregate that each task reduces first, and rows meet it in a join that adaptive execution
-    may split, so a group that holds a third of the rows stays linear. Vectors are expected to be of unit length; null
-    vectors stand for themselves.
+def _bands(distinct: int, cut: float, recall: float) -> tuple[int, int]:
+    """Sign bits per band and number of bands: about one vector in two has its bits by chance, and a pair whose cosine is
+    just ``cut`` agrees on a whole band somewhere with probability ``recall``, a closer one more often."""
+    bits = min(60, max(8, int(distinct).bit_length() + 1))
+    alike = (1 - np.arccos(cut) / np.pi) ** bits
+    return bits, 1 if alike >= recall else int(np.ceil(np.log1p(-recall) / np.log1p(-alike)))
+
+
+def _signs(batches: Iterator[pa.RecordBatch], bits: int, bands: int, seed: int) -> Iterator[pa.RecordBatch]:
+    """A row per vector and band with the signs of its projections on ``bits`` random directions as a number."""
+    weights = (1 << np.arange(bits, dtype="int64")).astype("int64")
+    planes: dict[int, np.ndarray] = {}
+    for batch in batches:
+        lists = batch.column("embedding")
+        sizes = np.asarray(pc.list_value_length(lists))
+        for dim in np.unique(sizes):
+            at = np.flatnonzero(sizes == dim)
+            m = _matrix(pa.chunked_array([lists.take(pa.array(at))]), int(dim))
+            if dim not in planes:
+                planes[dim] = np.random.default_rng([seed, int(dim)]).normal(size=(int(dim), bands * bits))
+            live = np.isfinite(m).all(axis=1) & m.any(axis=1)
+            ids = np.asarray(batch.column("id"))[at][live]
+            if len(ids):
+                codes = ((m[live] @ planes[dim] > 0).reshape(len(ids), bands, bits) * weights).sum(axis=2)
+                yield pa.RecordBatch.from_pydict({
+                    "id": np.repeat(ids, bands),
+                    "dim": np.full(len(ids) * bands, dim, dtype="int32"),
+                    "band": np.tile(np.arange(bands, dtype="int32"), len(ids)),
+                    "bits": codes.ravel(),
+                })
+
+
+def _forest(ids: np.ndarray, unit: np.ndarray, cut: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Edges that connect the rows as all pairs with a cosine of at least ``cut`` do. Every row is compared with those that
+    are not yet reached only, so rows that are all alike take one step."""
+    rest = np.arange(len(ids))
+    while len(rest) > 1:
+        found, rest = rest[:1], rest[1:]
+        while len(found) and len(rest):
+            some, found = found[:256], found[256:]
+            near = np.round(unit[rest] @ unit[some].T, 9) >= cut
+            hit = near.any(axis=1)
+            new = rest[hit]
+            if len(new):
+                yield ids[some[near[hit].argmax(axis=1)]], ids[new]
+                found, rest = np.concatenate([found, new]), rest[~hit]
+
+
+def _links(batches: Iterator[pa.RecordBatch], cut: float) -> Iterator[pa.RecordBatch]:
+    """Edges inside every tile; the rows of a tile follow each other."""
+
+    def edges(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        ids = np.asarray(rows.column("id"))
+        unit = _unit_rows(_matrix(rows.column("embedding"), rows.column("dim")[0].as_py()))
+        for a, b in _forest(ids, unit, cut):
+            yield pa.RecordBatch.from_pydict({"a": a, "b": b})
+
+    held = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        table = table if held is None else pa.concat_tables([held, table])
+        keys = [np.asarray(table.column(c)) for c in _TILE]
+        starts = [0, *(np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], axis=0)) + 1).tolist()]
+        for start, stop in zip(starts, starts[1:]):
+            yield from edges(table.slice(start, stop - start))
+        held = table.slice(starts[-1]) if table.num_rows else None
+    if held is not None:
+        yield from edges(held)
+
+
+_TILE = ("dim", "band", "bits", "low", "high")
+
+
+def near_duplicates(corpus: DataFrame, cut: float = 0.95, recall: float = 0.95, seed: int = 42) -> DataFrame:
+    """``(vec_id, group_id)``: group_id is the smallest vec_id that is reached over pairs with a cosine of at least ``cut``.
+
+    Equal vectors are one from the start. The others are looked up by bands of random hyperplanes: a pair just at the cut
+    shares one with probability ``recall``, a closer pair more often, and bits and bands follow the number of vectors, so
+    that chance meetings stay linear. Vectors of one band value are compared exactly, no other cosine counts. A band value
+    that more than ``TILE`` vectors share is spread over all pairs of its parts, and what leaves a task are edges of a
+    forest, never pairs. Null vectors stand for themselves; zero vectors and those with a null, an infinite or a NaN
+    component are alike only where they are equal.
     """
-    rows = corpus.select("vec_id", "embedding")
-    for n, shift in enumerate((0.0, 0.5)):
-        cell = F.transform("embedding", lambda x: F.floor(x.cast("double") / F.lit(step) + F.lit(shift)).cast("int"))  # noqa: B023
-        rows = rows.withColumn(f"_cell{n}", F.sha2(F.array_join(cell, ","), 256))
-    rows = materialize(rows.drop("embedding"), "cells")
-    out = rows
-    for n in range(2):
-        low = materialize(rows.groupBy(f"_cell{n}").agg(F.min("vec_id").alias(f"_low{n}")), "lowest")
-        out = out.join(low, f"_cell{n}", "left")
-    return out.select("vec_id", F.least("vec_id", *[F.when(F.col(f"_cell{n}").isNotNull(), F.col(f"_low{n}")) for n in range(2)]).alias("group_id"))
+    text = F.array_join(F.transform("embedding", lambda x: (x + F.lit(0).cast("float")).cast("string")), ",", "null")
+    rows = corpus.select("vec_id", "embedding", F.sha2(text, 256).alias("_key"))
+    known = rows.filter("embedding is not null").groupBy("_key")
+    known = materialize(known.agg(F.min("vec_id").alias("id"), F.first("embedding").alias("embedding")), "distinct")
+    whole = known.filter(F.size("embedding") > 0).filter(~F.exists("embedding", lambda x: x.isNull()))
+    whole = whole.filter("id is not null").select("id", "embedding")
+    bits, bands = _bands(whole.count(), cut, recall)
+
+    codes = whole.mapInArrow(lambda it: _signs(it, bits, bands, seed), "id long, dim int, band int, bits long")
+    codes = materialize(codes, "bands")
+    met = materialize(codes.groupBy("dim", "band", "bits").agg(F.count("*").alias("n")).filter("n > 1"), "met")
+    parts = codes.join(met, ["dim", "band", "bits"]).withColumn("parts", F.ceil(F.col("n") / TILE).cast("int"))
+    own = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
+    others = F.filter(F.sequence(F.lit(0), F.col("parts") - 1), lambda x: (x != F.col("own")) | (F.col("parts") == 1))
+    tiles = parts.withColumn("own", own).withColumn("other", F.explode(others))
+    tiles = tiles.select("id", "dim", "band", "bits", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
+    tiles = tiles.join(whole, "id").repartition(*_TILE).sortWithinPartitions(*_TILE)
+    edges = tiles.mapInArrow(lambda it: _links(it, cut), "a long, b long")
+    roots = components(edges).withColumnRenamed("node", "id")
+
+    named = materialize(known.select("_key", "id").join(roots, "id", "left").select("_key", F.coalesce("root", "id").alias("low")), "groups")
+    out = rows.select("vec_id", F.when(F.col("embedding").isNotNull(), F.col("_key")).alias("_key")).join(named, "_key", "left")
+    return out.select("vec_id", F.coalesce("low", "vec_id").alias("group_id"))
 
 
 def describe_clusters(assigned: DataFrame, text_col: str, score: Column, top: int = 10) -> DataFrame:

@@ -136,3 +136,63 @@ def test_near_duplicates(spark, data):
     got = {r.vec_id: r.group_id for r in vectors.near_duplicates(df).collect()}
     assert got == {i: i % 100 if i < 300 else i for i, _ in rows}
     assert vectors.near_duplicates(df.limit(0)).count() == 0
+
+
+def turned(rng, v, cosine):
+    """A unit vector at that cosine from the unit vector ``v``, in a random direction."""
+    w = rng.normal(size=v.shape)
+    w -= (w * v).sum(axis=-1, keepdims=True) * v
+    w /= np.linalg.norm(w, axis=-1, keepdims=True)
+    return cosine * v + np.sqrt(1 - cosine**2) * w
+
+
+def cosine_groups(m, cut):
+    near = np.round(m @ m.T, 9) >= cut
+    group = np.arange(len(m))
+    while True:
+        low = np.array([group[row].min() for row in near])
+        if (low == group).all():
+            return group
+        group = low
+
+
+@pytest.mark.parametrize("dim", [64, 384])
+def test_near_duplicates_meet_at_the_cosine_cut(spark, dim):
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=(400, dim))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    copies = [turned(rng, base, c) for c in (0.951, 0.99, 0.999)]
+    below = turned(rng, base[:100], 0.94)
+    m = np.concatenate([base, *copies, below, base[:50]])
+    # copies at 0.99 and 0.999 hang together by way of the original
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(m)], "vec_id bigint, embedding array<double>").repartition(4)
+    got = {r.vec_id: r.group_id for r in vectors.near_duplicates(df).collect()}
+    want = cosine_groups(m, 0.95)
+    assert all(want[i] == want[g] and g <= i for i, g in got.items())  # nothing below the cut
+    for n, least in ((1, 0.9), (2, 0.99), (3, 0.99)):
+        assert np.mean([got[400 * n + i] == got[i] for i in range(400)]) >= least
+
+
+@pytest.mark.parametrize("tile", [7, 2048])
+def test_near_duplicates_of_one_vector_and_chains(spark, monkeypatch, tile):
+    rng = np.random.default_rng(6)
+    base = rng.normal(size=(60, 32))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    m = np.concatenate([base, turned(rng, np.repeat(base[:1], 120, axis=0), 0.999)])
+    chain = [base[1]]
+    for _ in range(12):
+        chain.append(turned(rng, chain[-1], 0.98))
+    m = np.concatenate([m, chain[1:]])
+    monkeypatch.setattr(vectors, "TILE", tile)
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(m)], "vec_id bigint, embedding array<double>").repartition(4)
+    got = {r.vec_id: r.group_id for r in vectors.near_duplicates(df, recall=0.9999).collect()}
+    assert got == dict(enumerate(cosine_groups(m, 0.95)))
+    assert len(set(got.values())) == 60
+
+
+def test_near_duplicates_without_a_direction(spark):
+    rows = [(1, [0.0, -0.0]), (2, [0.0, 0.0]), (3, [float("nan"), 1.0]), (4, [float("nan"), 1.0]), (5, [1.0, None]), (6, [2.0, 0.0]), (7, [1.0, 0.0]),
+            (8, [1.0]), (9, []), (10, None)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    got = {r.vec_id: r.group_id for r in vectors.near_duplicates(df).collect()}
+    assert got == {1: 1, 2: 1, 3: 3, 4: 3, 5: 5, 6: 6, 7: 6, 8: 8, 9: 9, 10: 10}
