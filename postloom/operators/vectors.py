@@ -174,6 +174,33 @@ def assign_cells(corpus: DataFrame, model, out_col: str = "cell") -> DataFrame:
     return model.transform(featured).withColumnRenamed("prediction", out_col).drop("features")
 
 
+def _by_distance(q: np.ndarray, centers: np.ndarray) -> np.ndarray:
+    """Numbers of the cells per query, nearest first."""
+    distance = (q**2).sum(axis=1)[:, None] - 2 * q @ centers.T + (centers**2).sum(axis=1)[None, :]
+    return np.argsort(distance, axis=1, kind="stable")
+
+
+def probes_for(celled: DataFrame, queries: DataFrame, model, k: int, recall: float = 0.9, sample: int = 64) -> tuple[int, float]:
+    """The fewest probes with which ``search_cells`` finds ``recall`` of the exact hits of ``sample`` queries, drawn by a
+    hash of their ids, and the recall measured with them. Costs an exact search of these queries, which says in which cell
+    each true neighbour lies; with no more queries than ``sample`` the recall holds for all of them."""
+    drawn = queries.filter(F.size("embedding") > 0).orderBy(F.xxhash64("query_id"), "query_id").limit(sample)
+    drawn = materialize(drawn.select("query_id", "embedding"), "drawn")
+    hits = search_exact(celled, drawn, k).select("query_id", "vec_id")
+    found = hits.join(celled.select("vec_id", "cell"), "vec_id").groupBy("query_id", "cell").count().collect()
+    near = {}
+    for qids, q in _query_blocks(drawn):
+        near |= dict(zip(qids.tolist(), _by_distance(q, np.array(model.clusterCenters()))))
+    at = np.zeros(len(model.clusterCenters()))
+    for r in found:
+        at[int(np.flatnonzero(near[r["query_id"]] == r["cell"])[0])] += r["count"]
+    if not at.any():
+        return len(at), 1.0
+    reached = np.cumsum(at) / at.sum()
+    probes = int(np.argmax(reached >= recall)) + 1
+    return probes, float(reached[probes - 1])
+
+
 def search_cells(celled: DataFrame, queries: DataFrame, model, k: int, probes: int) -> DataFrame:
     """Approximate search: each query looks at its ``probes`` nearest cells only, however many queries there are.
 
@@ -184,8 +211,7 @@ def search_cells(celled: DataFrame, queries: DataFrame, model, k: int, probes: i
     rows = celled.select("vec_id", "embedding", "cell").filter(F.size("embedding") > 0)
     parts = []
     for qids, q in _query_blocks(queries):
-        distance = (q**2).sum(axis=1)[:, None] - 2 * q @ centers.T + (centers**2).sum(axis=1)[None, :]
-        probed = np.argsort(distance, axis=1)[:, :probes]
+        probed = _by_distance(q, centers)[:, :probes]
         wanted = np.zeros((len(centers), len(qids)), dtype=bool)
         wanted[probed.T, np.arange(len(qids))] = True
         near = rows.filter(F.col("cell").isin(sorted({int(c) for c in probed.ravel()})))

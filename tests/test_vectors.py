@@ -1,8 +1,11 @@
+import os
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from postloom.operators import vectors
+from workloads import QUERIES
 
 
 def frame(spark, m, key):
@@ -196,3 +199,26 @@ def test_near_duplicates_without_a_direction(spark):
     df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
     got = {r.vec_id: r.group_id for r in vectors.near_duplicates(df).collect()}
     assert got == {1: 1, 2: 1, 3: 3, 4: 3, 5: 5, 6: 6, 7: 6, 8: 8, 9: 9, 10: 10}
+
+
+def test_probes_follow_the_measured_recall(spark):
+    rng = np.random.default_rng(8)
+    corpus, queries = rng.normal(size=(600, 16)), rng.normal(size=(20, 16))
+    vecs, qs = frame(spark, corpus, "vec_id"), frame(spark, queries, "query_id")
+    model = vectors.fit_cells(vecs, 24)
+    celled = vectors.materialize(vectors.assign_cells(vecs, model), "celled")
+    probes, said = vectors.probes_for(celled, qs, model, 10, recall=0.9)
+    want = brute(corpus, queries, 10)
+
+    def recall(n):
+        some = hits(vectors.search_cells(celled, qs, model, 10, probes=n))
+        return np.mean([len(set(some.get(q, [])) & set(want[q])) / 10 for q in want])
+
+    assert recall(probes) == pytest.approx(said) and said >= 0.9 > recall(probes - 1)
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="driver tables are not here")
+def test_search_ann_finds_nine_tenths(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    some, exact = hits(QUERIES["search_ann"](spark, sf_dir)), hits(QUERIES["search_topk"](spark, sf_dir))
+    assert np.mean([len(set(some.get(q, [])) & set(exact[q])) / 10 for q in exact]) >= 0.9
