@@ -16,8 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from postloom.llm import tokens
 from postloom.llm.common import arrow_map, utf8
-from postloom.llm.tokens import encoding
 from postloom.session import materialize
 
 CAPACITY = 2048
@@ -26,14 +26,14 @@ GROUP = 8192
 
 
 def _cut(batches, capacity, end, vocabulary, keep_ids):
-    encoder = encoding(vocabulary)
+    encoder = tokens.encoding(vocabulary)
     names = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * keep_ids
     for batch in batches:
         rows = []
         docs = batch.column("doc_id").to_pylist()
         for doc, text in zip(docs, batch.column("text")):
             body = (text.as_py() or b"").decode()
-            ids = np.append(encoder.encode_to_numpy(body, disallowed_special=()), end).astype("<u4")
+            ids = np.append(tokens.ids(encoder, body), end).astype("<u4")
             first = (len(ids) - 1) % capacity + 1
             at = [0, *range(first, len(ids), capacity), len(ids)]
             for number, (a, b) in enumerate(zip(at, at[1:])):

@@ -16,8 +16,8 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from postloom.llm import tokens
 from postloom.llm.common import arrow_map, utf8
-from postloom.llm.tokens import encoding
 
 LOG = "doc_id long, source string, lang string, tokenizer string, docs int, tokens long"
 TOTALS = "source string, lang string, tokenizer string, docs long, tokens long"
@@ -29,8 +29,8 @@ def count_words(texts: Sequence[bytes]) -> list[int]:
 
 
 def count_bpe(texts: Sequence[bytes], vocabulary: str | None = None) -> list[int]:
-    encode = encoding(vocabulary).encode_to_numpy
-    return [len(encode(t.decode(), disallowed_special=())) for t in texts]
+    encoder = tokens.encoding(vocabulary)
+    return [len(tokens.ids(encoder, t.decode())) for t in texts]
 
 
 #: Tokenizer versions by name. A changed tokenizer is a new name, never another meaning of an old one.

@@ -6,7 +6,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from postloom.llm import packing
+from postloom.llm import packing, rollups, tokens
 from postloom.llm.tokens import encoding
 
 SCHEMA = "doc_id long, text string, length int, sequence_id string"
@@ -99,3 +99,28 @@ def test_several_groups(spark):
 
 def test_empty_table(spark):
     assert packing.pack_documents(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+@pytest.fixture(scope="module")
+def unaltered():
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    return lambda text: t.encode(text, add_special_tokens=False).ids
+
+
+LITERALS = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>x\n<|endoftext|>", "  <|endoftext|>  ", "<|endoftext|", "<|ENDOFTEXT|>",
+            "don't<|endoftext|>don't", "é<|endoftext|>漢字 \U0001f600", "", "plain"]
+
+
+def test_added_token_is_that_of_the_unaltered_tokenizer(unaltered):
+    rng = random.Random(4)
+    texts = LITERALS + ["".join(rng.choice(["<|endoftext|>", " ", "\n", "word", "<|", "|>", "é", "end"]) for _ in range(60)) for _ in range(100)]
+    for text in texts:
+        assert tokens.ids(encoding(), text).tolist() == unaltered(text)
+    assert rollups.count_bpe([t.encode() for t in texts]) == [len(unaltered(t)) for t in texts]
+
+
+def test_documents_with_the_added_token(spark, unaltered):
+    docs = spark.createDataFrame([(i, t, 1, "s") for i, t in enumerate(LITERALS)], SCHEMA)
+    got = {r.doc_id: (r.length, r.ids_crc32) for r in packing.pack_documents(docs).collect()}
+    want = {i: unaltered(t) + [0] for i, t in enumerate(LITERALS)}
+    assert got == {i: (len(v), zlib.crc32(np.array(v, "<u4").tobytes())) for i, v in want.items()}
