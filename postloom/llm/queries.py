@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postloom.llm import fingerprints, mixing, packing, quality, rollups, sharding, simhash, substring, topk, warc
+from postloom.llm import (
+    fingerprints,
+    lexical,
+    mixing,
+    packing,
+    quality,
+    rollups,
+    sharding,
+    simhash,
+    substring,
+    topk,
+    warc,
+)
 from postloom.session import materialize, scratch_path, tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -201,3 +213,41 @@ def op10_token_rollups(spark, sf_dir):
     copies = digest.join(first, "digest").filter("doc_id > first").withColumn("text", F.lit(None).cast("string"))
     rollup.apply("delete", change(copies, "delete"))
     return rollup.totals()
+
+
+ORACLES["op11_ranked_lexical_search"] = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'
+  ) AS terms
+  FROM documents
+), size AS (
+  SELECT doc_id, CAST(len(terms) AS BIGINT) AS n FROM d WHERE len(terms) > 0
+), total AS (
+  SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS words FROM size
+), asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'
+  )) AS term
+  FROM benchmark
+), counts AS (
+  SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(terms) AS term FROM d)
+  WHERE term IN (SELECT term FROM asked) GROUP BY doc_id, term
+), weight AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM counts, total GROUP BY term
+), gain AS (
+  SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // words))) AS gain
+  FROM counts JOIN weight USING (term) JOIN size USING (doc_id), total
+), score AS (
+  SELECT item_id, doc_id, CAST(sum(gain) AS BIGINT) AS score FROM asked JOIN gain USING (term) GROUP BY item_id, doc_id
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM score WHERE score > 0 QUALIFY rank <= 10
+"""
+
+
+@query
+def op11_ranked_lexical_search(spark, sf_dir):
+    """The ten best documents of every benchmark item."""
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
