@@ -13,6 +13,7 @@ from postloom.llm import (
     mixing,
     negatives,
     packing,
+    pii,
     quality,
     rollups,
     sharding,
@@ -283,3 +284,20 @@ def op13_hard_negatives(spark, sf_dir):
         "label", F.expr("CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END")
     )
     return negatives.mine(vectors, vectors.filter("vec_id % 50 = 0"))
+
+
+@query
+def op12_pii(spark, sf_dir):
+    """Personal data of every document."""
+    found = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = [kind.name for kind in pii.BASE]
+    written = lambda spans: F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","
+    )
+    of = lambda *names: F.filter("spans", lambda s: s["kind"].isin(*names))
+    return found.select(
+        "doc_id",
+        *[F.size(of(name)).cast("long").alias(f"n_{name}") for name in base],
+        F.sha2(written(of(*base)), 256).alias("base_sha256"),
+        written(F.col("spans")).alias("spans"),
+    )
