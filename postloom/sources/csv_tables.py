@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-import csv
 import warnings
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from postloom.operators.ingest import number_rows, project_merged, union_batches
 from postloom.schemas import MERGED, MERGED_COLUMNS
 from postloom.session import materialize
-from postloom.sources.files import exists, first_lines, list_files
+from postloom.sources.files import exists, list_files
+from postloom.sources.split_csv import read_rows
 from postloom.sources.star_store import TableStore
 
 READ = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"', "encoding": "UTF-8"}
@@ -38,36 +37,15 @@ def merged_store(spark: SparkSession, root: str) -> TableStore:
     return TableStore(spark, root, MERGED_STORE, "merged")
 
 
-def _strings(names: list[str]) -> T.StructType:
-    return T.StructType([T.StructField(n, T.StringType()) for n in names])
-
-
-def _positioned(df: DataFrame, rank: int) -> DataFrame:
-    # Directly above the scan: a multi-line CSV is never split, so within one file the number follows the file's rows.
-    return df.select("*", F.lit(rank).alias("_source_rank"), F.col("_metadata.file_name").alias("_file")).withColumn(
-        "_pos", F.monotonically_increasing_id()
-    )
-
-
 def read_csv_files(spark: SparkSession, paths: list[str], rank: int = 1) -> DataFrame:
-    """All files by header name: one scan per distinct header, unioned. Every column is a string.
+    """All files by header name, each divided over tasks (``split_csv``). Every column is a string.
 
-    Spark binds CSV columns by position, so files whose headers differ must not share a scan. Adds ``_source_rank``,
-    ``_file`` and ``_pos`` for ``ingest.number_rows``.
+    Adds ``_source_rank``, ``_file`` and ``_pos`` for ``ingest.number_rows``.
     """
-    layouts: dict[tuple[str, ...], list[str]] = {}
-    for path, line in zip(paths, first_lines(spark, paths)):
-        names = tuple(next(csv.reader([line.lstrip("﻿")]), []))
-        if names:
-            layouts.setdefault(names, []).append(path)
-    scans = []
-    for names, members in layouts.items():
-        if len(set(names)) < len(names):
-            raise ValueError(f"repeated column name in the header of {members[0]}")
-        scans.append(_positioned(spark.read.schema(_strings(list(names))).options(**READ).csv(members), rank))
-    if not scans:
+    rows = read_rows(spark, paths, {k: v for k, v in READ.items() if k != "header"})
+    if rows is None:
         raise FileNotFoundError("no CSV file with a header")
-    return union_batches(*scans)
+    return rows.withColumn("_source_rank", F.lit(rank))
 
 
 def read_landing(spark: SparkSession, landing: str, base: str | None = None) -> DataFrame:

@@ -1,9 +1,8 @@
-"""Listing files and peeking at first lines on whatever file system the cluster uses."""
+"""Listing, creating and moving files on whatever file system the cluster uses."""
 
 from __future__ import annotations
 
 import uuid
-from concurrent.futures import ThreadPoolExecutor
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
@@ -34,22 +33,6 @@ def list_folders(spark: SparkSession, pattern: str) -> list[str]:
     return [s.getPath().toString() for s in fs.globStatus(p) or [] if s.isDirectory()]
 
 
-def first_lines(spark: SparkSession, paths: list[str], threads: int = 16) -> list[str]:
-    """First line of each file; opens every file, reads one buffer of it."""
-
-    def peek(path: str) -> str:
-        jvm, p, fs = _hadoop(spark, path)
-        stream = fs.open(p)
-        try:
-            reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-            return reader.readLine() or ""
-        finally:
-            stream.close()
-
-    with ThreadPoolExecutor(max_workers=threads) as pool:
-        return list(pool.map(peek, paths))
-
-
 def create_file(spark: SparkSession, path: str, text: str) -> bool:
     """Create a small file; False where it exists. The content is complete before the name appears."""
     jvm, p, fs = _hadoop(spark, path)
