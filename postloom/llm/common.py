@@ -23,6 +23,16 @@ def utf8(text: Column) -> Column:
     return text.cast("binary")
 
 
+def packed(docs: DataFrame) -> Column:
+    """All columns as one, ``row``, so that the names of working columns cannot clash with theirs."""
+    return F.struct(*[F.col(f"`{c}`").alias(f"f{i}") for i, c in enumerate(docs.columns)]).alias("row")
+
+
+def unpacked(docs: DataFrame, **changed: Column) -> list[Column]:
+    """The columns of ``docs`` out of ``row``, those named replaced."""
+    return [changed.get(c, F.col(f"row.f{i}")).alias(c) for i, c in enumerate(docs.columns)]
+
+
 def arrow_map(df: DataFrame, rows: Callable[[Iterator[pa.RecordBatch]], Iterable[dict]], schema: str) -> DataFrame:
     """``mapInArrow`` for a function that yields column dictionaries instead of record batches."""
     target = df.sparkSession.createDataFrame([], schema).schema

@@ -6,7 +6,7 @@ all its occurrences together. For each term k of weight w and each sample, hashe
 gamma(2, 1) values, and a uniform b; with t = floor(ln w / r + b), the term with the smallest
 ``ln c - r (t - b + 1)`` is drawn. The drawn pair (k, t) is equal in two texts with a probability that is their
 generalised Jaccard similarity, the sum of the smaller weights over the sum of the larger. As that smallest value is a
-function of (k, t), it stands for the pair, and a signature is the list of the smallest values.
+function of (k, t), it stands for the pair, and a signature is the list of the smallest values, 16 bits of a hash of each.
 
 The texts are shuffled once, by ranges of doc_id. A range holds the next document of all its rows but the last, which
 gets the first row of the next range. All that follows (terms, weights, samples, signatures) is grouped inside ranges
@@ -20,6 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from postloom.llm.ranking import positions
 from postloom.session import materialize
 
 SAMPLES = 64
@@ -62,10 +63,10 @@ def _with_next(docs: DataFrame) -> DataFrame:
     placed = _ranges(docs)
     heads = placed.select("range", F.struct(F.col("doc_id"), F.col("hash")).alias("key")).groupBy("range").agg(F.min("key").alias("key"))
     heads = materialize(heads.select("range", "key.doc_id", "key.hash"), "heads")
-    first = heads.agg(F.min("range")).first()[0]
-    # One row per range, of two numbers.
-    order = Window.orderBy("range")
-    after = heads.select("range", F.coalesce(F.lead("range").over(order), F.lit(first)).alias("after"))
+    order = materialize(positions(heads.select("range"), [F.col("range")]), "range_order")
+    count = order.count()
+    following = order.select(F.col("range").alias("after"), F.pmod(F.col("position") - 1, F.lit(max(1, count))).alias("position"))
+    after = order.join(following, "position").select("range", "after")
     same = (placed["range"] == heads["range"]) & placed["doc_id"].eqNullSafe(heads["doc_id"]) & (placed["hash"] == heads["hash"])
     texts = placed.join(heads, same).select(placed["range"].alias("after"), placed["text"].alias("head"))
     heads = materialize(after.join(texts.groupBy("after").agg(F.min("head").alias("head")), "after").drop("after"), "next_heads")
@@ -106,7 +107,7 @@ def _likeness(a: Column, b: Column, samples: int) -> Column:
 
 
 def _printed(signature: Column) -> Column:
-    return F.array_join(F.transform(signature, lambda x: F.lpad(F.lower(F.hex(F.xxhash64(x).bitwiseAND(F.lit(0xFFFF)))), 4, "0")), "")
+    return F.array_join(F.transform(signature, lambda x: F.lpad(F.lower(F.hex(x)), 4, "0")), "")
 
 
 def fingerprint(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
@@ -147,7 +148,8 @@ def fingerprint(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     drawn = terms.groupBy("range", "place", "kind").agg(
         *[F.min(sample(i)).alias(f"s{i}") for i in range(samples)], F.max("w").alias("w")
     )
-    signature = F.array(*[F.col(f"s{i}") for i in range(samples)])
+    # The samples as they are printed; likeness is of these.
+    signature = F.array(*[F.xxhash64(f"s{i}").bitwiseAND(F.lit(0xFFFF)).cast("int") for i in range(samples)])
     drawn = drawn.select("range", "place", "kind", "w", F.when(F.col("kind") < 3, signature).alias("signature"))
     of = lambda kind, c: F.first(F.when(F.col("kind") == kind, F.col(c)), ignorenulls=True)
     whole = drawn.groupBy("range", "place").agg(

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from postloom.llm.common import WORD, word_count
+from postloom.llm.common import WORD, packed, unpacked, word_count
 from postloom.llm.ranking import positions
 from postloom.session import materialize
 
@@ -130,11 +130,11 @@ def apply_mix(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     taken = mix(docs, block).groupBy(key, F.col("text_key").alias("_key")).agg(F.sum("taken").alias("_taken"), F.max("size").alias("_size"))
     taken = materialize(taken.filter("_taken > 0"), "taken")
     same = Window.partitionBy("_id", "_key").orderBy("_id")
-    rows = docs.withColumns({"_id": key, "_key": F.xxhash64("text")}).join(taken, ["_id", "_key"])
+    rows = docs.select(packed(docs), F.col("text").alias("_body"), key, F.xxhash64("text").alias("_key")).join(taken, ["_id", "_key"])
     rows = rows.withColumn("_nth", F.row_number().over(same)).filter("_nth = 1")
     rest = (F.col("_taken") % F.col("_size")).cast("int")
-    part = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1)), F.lit(1), rest), " ")
-    whole = F.array_repeat(F.col("text"), F.expr("int(_taken div _size)"))
+    part = F.array_join(F.slice(F.regexp_extract_all("_body", F.lit(f"({WORD})"), F.lit(1)), F.lit(1), rest), " ")
+    whole = F.array_repeat(F.col("_body"), F.expr("int(_taken div _size)"))
     texts = F.when(rest > 0, F.concat(whole, F.array(part))).otherwise(whole)
     rows = rows.withColumn("_text", F.explode(texts))
-    return rows.select(*[F.col("_text").alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns])
+    return rows.select(*unpacked(docs, text=F.col("_text")))

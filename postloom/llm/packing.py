@@ -80,30 +80,35 @@ def place(lengths: list[int], capacity: int) -> tuple[list[int], list[int]]:
     return numbers, offsets
 
 
-def _pack_group(table: pa.Table, capacity: int) -> pa.Table:
-    table = table.sort_by([("length", "descending"), ("_uid", "ascending")])
+def _pack_group(table: pa.Table, capacity: int, uid: str, number: str) -> pa.Table:
+    table = table.sort_by([("length", "descending"), (uid, "ascending")])
     numbers, offsets = place(table.column("length").to_pylist(), capacity)
-    base = table.column("_group")[0].as_py() << 32
-    out = table.drop_columns(["_group", "_uid"])
+    base = table.column(number)[0].as_py() << 32
+    out = table.drop_columns([number, uid])
     out = out.append_column("sequence_id", pa.array(np.array(numbers, np.int64) + base))
     return out.append_column("offset", pa.array(np.array(offsets, np.int64)))
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY, group: int = GROUP) -> DataFrame:
-    """``pieces`` with ``sequence_id`` and ``offset``; every piece has a ``length`` from 1 to ``capacity``.
+    """``pieces`` with ``sequence_id`` and ``offset``; every piece has a ``length`` from 1 to ``capacity``. Columns with
+    these two names are replaced, all others stay.
 
     Sequences are gapless from offset 0. Sequence ids are unique and otherwise without meaning.
     """
-    kept = [c for c in pieces.columns if c not in ("sequence_id", "offset", "_uid", "_group")]
-    numbered = materialize(pieces.select(*kept).withColumn("_uid", F.monotonically_increasing_id()), "pieces")
+    kept = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
+    # Working columns have names that no other has.
+    prefix = "_" * (1 + max(len(c) - len(c.lstrip("_")) for c in kept))
+    uid, number = f"{prefix}uid", f"{prefix}group"
+    plain = pieces.select(*[F.col(f"`{c}`") for c in kept])
+    numbered = materialize(plain.withColumn(uid, F.monotonically_increasing_id()), "pieces")
     short = numbered.filter(F.col("length") < capacity)
     groups = max(1, -(-short.count() // group))
-    grouped = short.withColumn("_group", F.pmod(F.xxhash64("_uid"), F.lit(groups)))
-    types = [(f.name, f.dataType.simpleString()) for f in numbered.schema if f.name != "_uid"]
+    grouped = short.withColumn(number, F.pmod(F.xxhash64(uid), F.lit(groups)))
+    types = [(f.name, f.dataType.simpleString()) for f in numbered.schema if f.name != uid]
     schema = ", ".join(f"`{n}` {t}" for n, t in [*types, ("sequence_id", "long"), ("offset", "long")])
-    packed = grouped.groupBy("_group").applyInArrow(lambda t: _pack_group(t, capacity), schema)
+    packed = grouped.groupBy(number).applyInArrow(lambda t: _pack_group(t, capacity, uid, number), schema)
     full = numbered.filter(F.col("length") >= capacity).select(
-        *kept, (-F.col("_uid") - 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset")
+        *[F.col(f"`{c}`") for c in kept], (-F.col(uid) - 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset")
     )
     return packed.unionByName(full)
 

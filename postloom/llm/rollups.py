@@ -9,6 +9,8 @@ batch that died half-way left no trace that a reader would see.
 
 from __future__ import annotations
 
+import json
+import time
 import uuid
 from collections.abc import Callable, Sequence
 from functools import partial
@@ -18,10 +20,12 @@ from pyspark.sql import functions as F
 
 from postloom.llm import tokens
 from postloom.llm.common import arrow_map, utf8
+from postloom.sources.files import create_file, list_files, read_text
 
 LOG = "doc_id long, source string, lang string, tokenizer string, docs int, tokens long"
 TOTALS = "source string, lang string, tokenizer string, docs long, tokens long"
 KEYS = ("source", "lang", "tokenizer")
+FAN = 8
 
 
 def count_words(texts: Sequence[bytes]) -> list[int]:
@@ -58,43 +62,54 @@ class TokenRollup:
     def __init__(self, spark: SparkSession, root: str, tokenizers=TOKENIZERS):
         self.spark, self.root, self.tokenizers = spark, root.rstrip("/"), tokenizers
 
-    def _fs(self, path: str):
-        jvm = self.spark._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return p, p.getFileSystem(self.spark._jsc.hadoopConfiguration())
+    def _current(self) -> tuple[int, dict]:
+        """Version, and the state: folder of every batch by its id, and the folders to read with their tiers."""
+        found = list_files(self.spark, f"{self.root}/commits/batch-*.json")
+        if not found:
+            return 0, {"batches": {}, "loads": []}
+        state = json.loads(read_text(self.spark, found[-1]))
+        return state["version"], state
+
+    def _publish(self, version: int, batches: dict[str, str], loads: list[dict]) -> bool:
+        # Twenty digits: names sort like numbers.
+        text = json.dumps({"version": version, "batches": batches, "loads": loads})
+        return create_file(self.spark, f"{self.root}/commits/batch-{version:020d}.json", text)
 
     def batches(self) -> dict[str, str]:
         """Folder of every committed batch by its id."""
-        p, fs = self._fs(f"{self.root}/commits")
-        if not fs.exists(p):
-            return {}
-        names = (s.getPath().getName() for s in fs.listStatus(p) if s.isFile())
-        found = {}
-        for name in names:
-            q, _ = self._fs(f"{self.root}/commits/{name}")
-            stream = fs.open(q)
-            try:
-                found[name] = self.spark._jvm.java.io.DataInputStream(stream).readUTF()
-            finally:
-                stream.close()
-        return found
-
-    def _commit(self, batch_id: str, folder: str) -> bool:
-        p, fs = self._fs(f"{self.root}/commits/{batch_id}")
-        # The content is whole before the name exists: written aside, then renamed to a name that must be free.
-        aside, _ = self._fs(f"{self.root}/{folder}.commit")
-        stream = self.spark._jvm.java.io.DataOutputStream(fs.create(aside, True))
-        stream.writeUTF(folder)
-        stream.close()
-        fs.mkdirs(p.getParent())
-        if fs.exists(p):
+        return self._current()[1]["batches"]
+
+    def _commit(self, batch_id: str, folder: str, version: int | None = None) -> bool:
+        """False where the batch is committed, or the state is not of ``version`` any more."""
+        now, state = self._current()
+        if batch_id in state["batches"] or version not in (None, now):
             return False
-        return bool(fs.rename(aside, p))
+        return self._publish(now + 1, state["batches"] | {batch_id: folder}, [*state["loads"], {"folder": folder, "tier": 0}])
 
-    def _read(self, kind: str, schema: str) -> DataFrame:
-        paths = [f"{self.root}/{folder}/{kind}" for folder in self.batches().values()]
+    def _read(self, kind: str, schema: str, loads: list[dict]) -> DataFrame:
+        paths = [f"{self.root}/{load['folder']}/{kind}" for load in loads]
         return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
 
+    def _write(self, folder: str, log: DataFrame) -> None:
+        log.write.parquet(f"{self.root}/{folder}/log")
+        sums = self.spark.read.schema(LOG).parquet(f"{self.root}/{folder}/log").groupBy(*KEYS)
+        sums.agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")).write.parquet(f"{self.root}/{folder}/totals")
+
+    def _merge_tiers(self) -> None:
+        """Merge the last folders of one tier, as long as there are enough; a writer that comes between is left to it."""
+        while True:
+            version, state = self._current()
+            tail = state["loads"][-FAN:]
+            if len(tail) < FAN or len({load["tier"] for load in tail}) > 1:
+                return
+            net = self._read("log", LOG, tail).groupBy("doc_id", *KEYS)
+            net = net.agg(F.sum("docs").cast("int").alias("docs"), F.sum("tokens").alias("tokens")).filter("docs <> 0 or tokens <> 0")
+            folder = f"data/merged-{uuid.uuid4().hex}"
+            self._write(folder, net)
+            loads = [*state["loads"][:-FAN], {"folder": folder, "tier": tail[0]["tier"] + 1}]
+            if not self._publish(version + 1, state["batches"], loads):
+                return
+
     def apply(self, batch_id: str, changes: DataFrame) -> bool:
         """Apply ``changes(op, seq, doc_id, source, lang, text)`` as batch ``batch_id`` (letters, digits, ``-``, ``_``);
         False where that batch is committed already.
@@ -105,27 +120,32 @@ class TokenRollup:
         (then the op that sorts last, then the greatest source, lang and text). Null source and lang are keys of their
         own; null text has no token.
         """
-        if batch_id in self.batches():
-            return False
-        folder = f"data/{batch_id}-{uuid.uuid4().hex}"
         named = changes.select("op", "seq", F.col("doc_id").cast("long").alias("doc_id"), "source", "lang", "text").filter(
             "doc_id is not null and op in ('insert', 'revise', 'delete')"
         )
         final = Window.partitionBy("doc_id").orderBy(*[F.col(c).desc() for c in ("seq", "op", "source", "lang", "text")])
         latest = named.withColumn("_nth", F.row_number().over(final)).filter("_nth = 1").drop("_nth", "seq")
         new = counted(latest.filter("op <> 'delete'"), self.tokenizers)
-        old = self._read("log", LOG)
+        while True:
+            version, state = self._current()
+            if batch_id in state["batches"]:
+                return False
+            folder = f"data/{batch_id}-{uuid.uuid4().hex}"
+            self._write(folder, new.unionByName(self._gone(named, state["loads"])))
+            if self._commit(batch_id, folder, version):
+                self._merge_tiers()
+                return True
+            time.sleep(1)  # the other writer may not have finished its state file
+
+    def _gone(self, named: DataFrame, loads: list[dict]) -> DataFrame:
+        """What the documents of a batch count so far, with the sign turned."""
+        old = self._read("log", LOG, loads)
         net = old.join(named.select("doc_id").distinct(), "doc_id", "left_semi").groupBy("doc_id", *KEYS)
         net = net.agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")).filter("docs <> 0")
-        gone = net.select("doc_id", *KEYS, (-F.col("docs")).cast("int").alias("docs"), (-F.col("tokens")).alias("tokens"))
-        new.unionByName(gone).write.parquet(f"{self.root}/{folder}/log")
-        log = self.spark.read.schema(LOG).parquet(f"{self.root}/{folder}/log")
-        sums = log.groupBy(*KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
-        sums.write.parquet(f"{self.root}/{folder}/totals")
-        return self._commit(batch_id, folder)
+        return net.select("doc_id", *KEYS, (-F.col("docs")).cast("int").alias("docs"), (-F.col("tokens")).alias("tokens"))
 
     def totals(self) -> DataFrame:
-        """``(source, lang, tokenizer, docs, tokens)`` over all committed batches: a few rows from each, summed. Keys
+        """``(source, lang, tokenizer, docs, tokens)`` over all committed batches: a few rows from each folder, summed. Keys
         without a document left do not occur."""
-        sums = self._read("totals", TOTALS).groupBy(*KEYS)
+        sums = self._read("totals", TOTALS, self._current()[1]["loads"]).groupBy(*KEYS)
         return sums.agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")).filter("docs <> 0")

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from postloom.llm.common import arrow_map, utf8
+from postloom.llm.common import arrow_map, packed, unpacked, utf8
 from postloom.llm.graph import components
 from postloom.session import materialize
 
@@ -219,7 +219,7 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, list_limit: int = LIST_LIM
     rank = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("mark"))
     best = fps.join(_groups(fps, list_limit), "fp").groupBy("root").agg(F.min(rank).alias("k"))
     best = materialize(best.select(_id_key(F.col("k.doc_id")).alias("_id"), F.col("k.mark").alias("_mark")), "kept")
-    keyed = docs.withColumns({"_id": _id_key(F.col("doc_id")), "_mark": F.xxhash64("text")})
+    keyed = docs.select(packed(docs), _id_key(F.col("doc_id")).alias("_id"), F.xxhash64("text").alias("_mark"))
     same = Window.partitionBy("_id", "_mark").orderBy("_id")
     found = keyed.join(best, ["_id", "_mark"], "left_semi").withColumn("_nth", F.row_number().over(same))
-    return found.filter("_nth = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return found.filter("_nth = 1").select(*unpacked(docs))

@@ -57,6 +57,8 @@ def test_against_plain_python(spark, monkeypatch, segments, width):
         assert r.edited_sha256 == hashlib.sha256(changed[i].encode()).hexdigest()
         assert (r.near_edited, r.near_next) == (like(own[i], other[i]), like(own[i], own[(i + 1) % len(got)]))
         assert re.fullmatch("[0-9a-f]{48}", r.fingerprint) and len(r.edited_fingerprint) == 48
+        printed = [[x[k : k + 4] for k in range(0, 48, 4)] for x in (r.fingerprint, r.edited_fingerprint, got[(i + 1) % len(got)].fingerprint)]
+        assert (r.near_edited, r.near_next) == (like(printed[0], printed[1]), like(printed[0], printed[2]))
     by_text = {}
     for t, r in zip(texts, got):
         by_text.setdefault(t, set()).add(r.fingerprint)
