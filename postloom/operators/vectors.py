@@ -290,6 +290,51 @@ def _links(batches: Iterator[pa.RecordBatch], cut: float) -> Iterator[pa.RecordB
 
 
 _TILE = ("dim", "band", "bits", "low", "high")
+_BAND = ["dim", "band", "bits"]
+
+#: Pivots that a crowded band value is thinned out by, one after another.
+PIVOTS = 6
+
+
+def _thinned(hot: DataFrame, cut: float, pivot: int) -> tuple[DataFrame, DataFrame]:
+    """One pivot's links to the rows ``(dim, band, bits, id, embedding)`` of crowded band values, and the rows that still
+    have to be compared.
+
+    Two rows that both reach ``cut`` with the pivot are linked through it. A row that does not lies at an angle of at least
+    m from the pivot, m being the smallest such angle of its band value, and can only reach rows at m less the angle of the
+    cut or more. All others are done: a dense group leaves one link per row.
+    """
+    order = F.struct(F.xxhash64("id", F.lit(pivot)), "id", "embedding")
+    pivots = hot.groupBy(*_BAND).agg(F.min(order).alias("p")).select(*_BAND, F.col("p.id").alias("pivot"), F.col("p.embedding").alias("at"))
+    pivots = materialize(pivots, "pivots")
+    dot = lambda a, b: F.aggregate(
+        F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x
+    )
+    cosine = F.round(dot("embedding", "at") / F.sqrt(dot("embedding", "embedding") * dot("at", "at")), 9)
+    met = materialize(hot.join(pivots, _BAND).select(*_BAND, "id", "embedding", "pivot", cosine.alias("cosine")), "met_pivot")
+    edges = met.filter((F.col("cosine") >= cut) & (F.col("id") != F.col("pivot"))).select(F.col("pivot").alias("a"), F.col("id").alias("b"))
+    outer = materialize(met.filter(F.col("cosine") < cut).groupBy(*_BAND).agg(F.max("cosine").alias("most")), "outer")
+    angle = lambda c: F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), c)))
+    near = angle(F.col("cosine")) >= angle(F.col("most")) - float(np.arccos(cut)) - 1e-6
+    return edges, met.join(outer, _BAND).filter(near).select(*_BAND, "id", "embedding")
+
+
+def _uncrowded(codes: DataFrame, whole: DataFrame, cut: float) -> tuple[list[DataFrame], DataFrame]:
+    """Links found by pivots inside the band values of more than ``TILE`` rows, and the rows ``(dim, band, bits, id)`` of all
+    band values that still have to be compared."""
+    edges, done, rest = [], [], codes
+    for pivot in range(PIVOTS):
+        sizes = materialize(rest.groupBy(*_BAND).agg(F.count("*").alias("n")).filter("n > 1"), "sizes")
+        crowded = sizes.filter(F.col("n") > TILE).select(*_BAND)
+        if crowded.isEmpty():
+            return edges, reduce(DataFrame.unionByName, [*done, rest.select(*_BAND, "id")])
+        done.append(rest.join(sizes.filter(F.col("n") <= TILE).select(*_BAND), _BAND).select(*_BAND, "id"))
+        hot = rest.join(crowded, _BAND)
+        hot = hot if "embedding" in hot.columns else hot.join(whole, "id")
+        found, rest = _thinned(hot, cut, pivot)
+        edges.append(found)
+        rest = materialize(rest, "thinned")
+    return edges, reduce(DataFrame.unionByName, [*done, rest.select(*_BAND, "id")])
 
 
 def near_duplicates(corpus: DataFrame, cut: float = 0.95, recall: float = 0.95, seed: int = 42) -> DataFrame:
@@ -298,8 +343,9 @@ def near_duplicates(corpus: DataFrame, cut: float = 0.95, recall: float = 0.95,
     Equal vectors are one from the start. The others are looked up by bands of random hyperplanes: a pair just at the cut
     shares one with probability ``recall``, a closer pair more often, and bits and bands follow the number of vectors, so
     that chance meetings stay linear. Vectors of one band value are compared exactly, no other cosine counts. A band value
-    that more than ``TILE`` vectors share is spread over all pairs of its parts, and what leaves a task are edges of a
-    forest, never pairs. Null vectors stand for themselves; zero vectors and those with a null, an infinite or a NaN
+    that more than ``TILE`` vectors share is thinned out by pivots first, without losing a link (``_thinned``): a dense group
+    costs a multiple of its size. What is still crowded after ``PIVOTS`` of them is spread over all pairs of its parts. What
+    leaves a task are edges of a forest, never pairs. Null vectors stand for themselves; zero vectors and those with a null, an infinite or a NaN
     component are alike only where they are equal.
     """
     text = F.array_join(F.transform("embedding", lambda x: (x + F.lit(0).cast("float")).cast("string")), ",", "null")
@@ -311,7 +357,8 @@ def near_duplicates(corpus: DataFrame, cut: float = 0.95, recall: float = 0.95,
     bits, bands = _bands(whole.count(), cut, recall)
 
     codes = whole.mapInArrow(lambda it: _signs(it, bits, bands, seed), "id long, dim int, band int, bits long")
-    codes = materialize(codes, "bands")
+    linked, codes = _uncrowded(materialize(codes, "bands"), whole, cut)
+    codes = materialize(codes, "to_compare")
     met = materialize(codes.groupBy("dim", "band", "bits").agg(F.count("*").alias("n")).filter("n > 1"), "met")
     parts = codes.join(met, ["dim", "band", "bits"]).withColumn("parts", F.ceil(F.col("n") / TILE).cast("int"))
     own = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
@@ -319,7 +366,7 @@ def near_duplicates(corpus: DataFrame, cut: float = 0.95, recall: float = 0.95,
     tiles = parts.withColumn("own", own).withColumn("other", F.explode(others))
     tiles = tiles.select("id", "dim", "band", "bits", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
     tiles = tiles.join(whole, "id").repartition(*_TILE).sortWithinPartitions(*_TILE)
-    edges = tiles.mapInArrow(lambda it: _links(it, cut), "a long, b long")
+    edges = reduce(DataFrame.unionByName, [*linked, tiles.mapInArrow(lambda it: _links(it, cut), "a long, b long")])
     roots = components(edges).withColumnRenamed("node", "id")
 
     named = materialize(known.select("_key", "id").join(roots, "id", "left").select("_key", F.coalesce("root", "id").alias("low")), "groups")

@@ -222,3 +222,39 @@ def test_search_ann_finds_nine_tenths(spark):
     sf_dir = "/root/testdata/sf0.001"
     some, exact = hits(QUERIES["search_ann"](spark, sf_dir)), hits(QUERIES["search_topk"](spark, sf_dir))
     assert np.mean([len(set(some.get(q, [])) & set(exact[q])) / 10 for q in exact]) >= 0.9
+
+
+def test_crowded_bands_are_thinned_without_losing_a_link(spark, monkeypatch):
+    """Two dense groups, a chain between them and scattered vectors, all under one band value."""
+    monkeypatch.setattr(vectors, "TILE", 40)
+    rng = np.random.default_rng(3)
+    unit = lambda v: v / np.linalg.norm(v, axis=-1, keepdims=True)
+    a, b = unit(rng.normal(size=8)), unit(rng.normal(size=8))
+    rows = [unit(a + rng.normal(size=(300, 8)) * 0.02), unit(b + rng.normal(size=(200, 8)) * 0.02), unit(rng.normal(size=(30, 8)))]
+    rows.append(unit(np.array([a * (1 - t) + b * t for t in np.linspace(0, 0.6, 12)])))
+    m = np.concatenate(rows)
+    whole = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)], "id long, embedding array<double>")
+    codes = whole.selectExpr("id", "8 AS dim", "0 AS band", "0L AS bits")
+    links, rest = vectors._uncrowded(codes, whole, 0.95)
+    left = [r.id for r in rest.collect()]
+    near = np.round(m @ m.T, 9) >= 0.95
+    found = [(r.a, r.b) for part in links for r in part.collect()]
+    assert all(near[x, y] for x, y in found) and len(found) >= 400 and len(left) < 200
+
+    def groups(pairs):
+        root = list(range(len(m)))
+
+        def find(i):
+            while root[i] != i:
+                i = root[i]
+            return i
+
+        for x, y in pairs:
+            x, y = find(x), find(y)
+            root[max(x, y)] = min(x, y)
+        return [find(i) for i in range(len(m))]
+
+    every = groups(zip(*map(np.ndarray.tolist, np.nonzero(near))))
+    assert groups(found + [(x, y) for x in left for y in left if near[x, y]]) == every
+    out = vectors.near_duplicates(whole.withColumnRenamed("id", "vec_id"), cut=0.95, recall=0.9999)
+    assert {r.vec_id: r.group_id for r in out.collect()} == dict(enumerate(every))

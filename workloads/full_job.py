@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-from functools import lru_cache
 
 from pyspark.sql import functions as F
 
@@ -71,9 +70,8 @@ def _config(root: str, **options) -> EnrichConfig:
     return EnrichConfig(**{**plain, **options})
 
 
-@lru_cache(maxsize=4)
-def _finished(application: str, spark, sf_dir: str):
-    """Folder of a finished job over every document, and its counters; one run serves the queries below."""
+def finished(spark, sf_dir: str):
+    """Folder of a job that has just run over every document, its counters, and its lookup tables."""
     root = scratch_path(spark, "job")
     merged_documents(spark, sf_dir).write.parquet(f"{root}/merged")
     lookup, noise = lookup_table(spark, LOOKUP), noise_table(spark, ["yang"])
@@ -81,10 +79,6 @@ def _finished(application: str, spark, sf_dir: str):
     return root, dict(result.counts), lookup, noise
 
 
-def finished(spark, sf_dir):
-    return _finished(spark.sparkContext.applicationId, spark, sf_dir)
-
-
 def stored(spark, sf_dir, name):
     return StarStore(spark, f"{finished(spark, sf_dir)[0]}/star").read(name)
 

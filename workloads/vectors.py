@@ -122,15 +122,17 @@ def cluster_terms(spark, sf_dir):
 @query(
     "near_dup_vectors",
     """
-    WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+    WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
                UNION ALL SELECT vec_id + 1000000, list_transform(embedding, lambda x: CAST(x AS DOUBLE) + 0.00001) FROM embeddings
                UNION ALL SELECT vec_id + 2000000, CAST(embedding AS DOUBLE[]) FROM embeddings WHERE label < 5),
-    g AS (SELECT vec_id, list_transform(e, lambda x: floor(x / 0.02)) AS a, list_transform(e, lambda x: floor(x / 0.02 + 0.5)) AS b FROM v)
-    SELECT vec_id, least(min(vec_id) OVER (PARTITION BY a), min(vec_id) OVER (PARTITION BY b)) AS group_id FROM g
+    near AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id
+             WHERE round(list_cosine_similarity(a.e, b.e), 9) >= 0.95),
+    reached AS (SELECT a, b FROM near UNION SELECT r.a, n.b FROM reached r JOIN near n ON r.b = n.a)
+    SELECT v.vec_id, least(v.vec_id, coalesce(min(b), v.vec_id)) AS group_id FROM v LEFT JOIN reached ON a = v.vec_id GROUP BY v.vec_id
     """,
 )
 def near_dup_vectors(spark, sf_dir):
-    """Groups among the vectors, a slightly moved copy of each, and an equal copy of half of them."""
+    """Groups by a cosine of 0.95 among the vectors, a slightly moved copy of each, and an equal copy of half of them."""
     rows = table(spark, sf_dir, "embeddings").select("vec_id", "label", F.col("embedding").cast("array<double>").alias("embedding"))
     moved = rows.select(F.col("vec_id") + 1_000_000, "label", F.transform("embedding", lambda x: x + F.lit(0.00001)))
     equal = rows.filter("label < 5").select(F.col("vec_id") + 2_000_000, "label", "embedding")
