@@ -69,8 +69,8 @@ def run_clean(spark: SparkSession, cfg: EnrichConfig, counts: dict[str, int]) ->
     return posts
 
 
-def run_annotate(spark: SparkSession, cfg: EnrichConfig, misses: DataFrame, counts: dict[str, int]) -> list[DataFrame]:
-    """Label the misses chunk by chunk.
+def run_annotate(spark: SparkSession, cfg: EnrichConfig, misses: DataFrame, counts: dict[str, int]) -> DataFrame | None:
+    """Label the misses chunk by chunk, and join the valid answers of all chunks to them; None where there is no chunk.
 
     An id is asked once, with the text of its first row, and the answer holds for all its rows. Each chunk's judged
     answers are written before anything reads them, so a retried task cannot leave two answers in use, and its valid
@@ -83,7 +83,7 @@ def run_annotate(spark: SparkSession, cfg: EnrichConfig, misses: DataFrame, coun
     asked.withColumn("chunk", ann.chunk_of("tweet_id", cfg.chunks)).write.partitionBy("chunk").parquet(work)
     schema = T.StructType([*misses.schema.fields, T.StructField("chunk", T.IntegerType())])
     parts = spark.read.schema(schema).parquet(work)
-    fresh = []
+    answers = None
     for chunk in range(cfg.chunks):
         answered, seen = counted(
             ann.annotate(
@@ -103,10 +103,10 @@ def run_annotate(spark: SparkSession, cfg: EnrichConfig, misses: DataFrame, coun
         valid = labels.valid_rows(judged)
         cache_store.append_cache(cache_store.cache_entries(valid, cfg.model_name), cfg.cache)
         counts["dead"] = counts.get("dead", 0) + _write_dead(judged, cfg)
-        # As many rows as the chunk's ids have in the input.
-        labelled = [c for c in valid.columns if c not in misses.columns]
-        fresh.append(misses.join(valid.select("tweet_id", *labelled), "tweet_id"))
-    return fresh
+        valid = valid.select("tweet_id", *[c for c in valid.columns if c not in misses.columns])
+        answers = valid if answers is None else answers.unionByName(valid)
+    # As many rows as the ids have in the input.
+    return None if answers is None else misses.join(answers, "tweet_id")
 
 
 def _write_dead(judged: DataFrame, cfg: EnrichConfig) -> int:
@@ -126,8 +126,8 @@ def run_label(spark: SparkSession, cfg: EnrichConfig, posts: DataFrame, counts:
     if not cfg.skip_annotate:
         misses = looked_up.filter(F.col("response").isNull()).drop("response", "model")
         misses = materialize(misses, "asked")
-        for part in run_annotate(spark, cfg, misses, counts):
-            out = out.unionByName(part)
+        fresh = run_annotate(spark, cfg, misses, counts)
+        out = out if fresh is None else out.unionByName(fresh)
     return out.withColumnRenamed("model", "coded_by").drop("response")
 
 

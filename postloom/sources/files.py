@@ -33,8 +33,15 @@ def list_folders(spark: SparkSession, pattern: str) -> list[str]:
     return [s.getPath().toString() for s in fs.globStatus(p) or [] if s.isDirectory()]
 
 
-def create_file(spark: SparkSession, path: str, text: str) -> bool:
-    """Create a small file; False where it exists. The content is complete before the name appears."""
+#: Seconds after which a claim without its file is that of a writer that died.
+PATIENCE = 600
+
+
+def create_file(spark: SparkSession, path: str, text: str, patience: float = PATIENCE) -> bool:
+    """Create a small file; False where it exists. The content is complete before the name appears.
+
+    A writer claims the name first. A claim older than ``patience`` seconds whose file does not exist is taken over.
+    """
     jvm, p, fs = _hadoop(spark, path)
     fs.mkdirs(p.getParent())
     aside = jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{uuid.uuid4().hex}")
@@ -42,11 +49,23 @@ def create_file(spark: SparkSession, path: str, text: str) -> bool:
     stream.write(bytearray(text.encode()))
     stream.close()
     # A claim that only one writer can create decides, since a rename may replace its target on some file systems.
-    try:
-        fs.create(jvm.org.apache.hadoop.fs.Path(p.getParent(), f"{p.getName()}.claim"), False).close()
-    except Py4JJavaError as exc:
-        if "AlreadyExists" not in str(exc.java_exception):
-            raise
+    claim = jvm.org.apache.hadoop.fs.Path(p.getParent(), f"{p.getName()}.claim")
+
+    def claimed() -> bool:
+        try:
+            fs.create(claim, False).close()
+        except Py4JJavaError as exc:
+            if "AlreadyExists" not in str(exc.java_exception):
+                raise
+            return False
+        return True
+
+    mine = claimed()
+    if not mine and not fs.exists(p) and fs.exists(claim):
+        age = jvm.java.lang.System.currentTimeMillis() - fs.getFileStatus(claim).getModificationTime()
+        # Of several that wait, the one whose delete succeeds goes on, and the new claim decides again.
+        mine = age > patience * 1000 and fs.delete(claim, False) and claimed()
+    if not mine or fs.exists(p):
         fs.delete(aside, False)
         return False
     return bool(fs.rename(aside, p))

@@ -1,3 +1,4 @@
+import os
 import pytest
 from pyspark.sql import functions as F
 
@@ -166,3 +167,15 @@ def test_one_bad_table_does_not_stop_the_others(spark, tmp_path):
     bad = good.select(F.raise_error(F.lit("boom")).cast("string").alias("x"))
     report = export_csv({"bad": bad, "good": good}, str(tmp_path))
     assert "boom" in report["bad"] and report["good"] == 1
+
+
+def test_a_claim_of_a_dead_writer_is_taken_over(spark, tmp_path):
+    from postloom.sources.files import create_file, read_text
+
+    path = str(tmp_path / "m" / "1.json")
+    (tmp_path / "m").mkdir()
+    (tmp_path / "m" / "1.json.claim").write_text("")
+    assert not create_file(spark, path, "early")  # its writer may still be at work
+    assert create_file(spark, path, "late", patience=-1)
+    assert not create_file(spark, path, "again", patience=-1) and read_text(spark, path) == "late"
+    assert sorted(f for f in os.listdir(tmp_path / "m") if not f.endswith(".crc")) == ["1.json", "1.json.claim"]
