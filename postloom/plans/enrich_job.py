@@ -52,9 +52,9 @@ class EnrichResult:
     version: int | None = None
 
 
-def run_clean(spark: SparkSession, cfg: EnrichConfig, counts: dict[str, int]) -> DataFrame:
+def run_clean(spark: SparkSession, cfg: EnrichConfig, merged: DataFrame, counts: dict[str, int]) -> DataFrame:
     """Cleaned, accepted posts with ``row_ord``, written once."""
-    rows = ordering.skip_rows(read_merged(spark, cfg.input), "row_ord", cfg.offset)
+    rows = ordering.skip_rows(merged, "row_ord", cfg.offset)
     cleaned, seen = counted(
         clean.clean_posts(rows, "row_ord"), skipped=count_where(~F.col("accepted"))
     )
@@ -115,10 +115,15 @@ def _write_dead(judged: DataFrame, cfg: EnrichConfig) -> int:
     return seen.get["dead"]
 
 
-def run_label(spark: SparkSession, cfg: EnrichConfig, posts: DataFrame, counts: dict[str, int]) -> DataFrame:
-    """Labelled posts from cache and labeller; rejects go to the dead-letter log. Spam never reaches the labeller."""
-    cache = cache_store.read_cache(spark, cfg.cache)
-    looked_up = materialize(cache_ops.cache_lookup(clean.without_spam(posts), cache), "lookup")
+def run_label(
+    spark: SparkSession, cfg: EnrichConfig, posts: DataFrame, counts: dict[str, int], stale: DataFrame | None = None
+) -> DataFrame:
+    """Labelled posts from cache and labeller; rejects go to the dead-letter log. Spam never reaches the labeller. Stored
+    answers of ``stale`` ids are not used."""
+    wanted = clean.without_spam(posts)
+    ids = wanted.select("tweet_id") if stale is None else wanted.select("tweet_id").join(stale, "tweet_id", "left_anti")
+    cache = cache_store.read_cache(spark, cfg.cache, ids)
+    looked_up = materialize(cache_ops.cache_lookup(wanted, cache), "lookup")
     hits, seen = counted(looked_up.filter(F.col("response").isNotNull()), hits=F.count(F.lit(1)))
     judged = materialize(labels.require_model(labels.normalize_labels(hits, cfg.vocabulary)), "hits")
     counts.update(hits=seen.get["hits"], dead=_write_dead(judged, cfg), calls=0)
@@ -139,13 +144,28 @@ def enrich(
 ) -> EnrichResult:
     """Run all stages; stops early when one yields no rows. ``dry_run`` does everything except the load."""
     tune(spark)
+    result = enrich_rows(spark, cfg, read_merged(spark, cfg.input), lookup, noise_terms)
+    if result.enriched is not None and not cfg.dry_run:
+        result.version = StarStore(spark, cfg.store).load(star.star_tables(result.enriched))
+    return result
+
+
+def enrich_rows(
+    spark: SparkSession,
+    cfg: EnrichConfig,
+    merged: DataFrame,
+    lookup: DataFrame,
+    noise_terms: DataFrame | None = None,
+    stale: DataFrame | None = None,
+) -> EnrichResult:
+    """All stages but the load over merged rows with ``row_ord``; stored answers of ``stale`` ids are asked again."""
     result = EnrichResult()
-    posts = run_clean(spark, cfg, result.counts)
+    posts = run_clean(spark, cfg, merged, result.counts)
     if not result.counts["extracted"]:
         result.stopped_after = "clean"
         return result
 
-    labelled = run_label(spark, cfg, posts, result.counts)
+    labelled = run_label(spark, cfg, posts, result.counts, stale)
     # Ids that collide once stripped: the later row replaces the earlier, as successive loads would.
     unique, seen = counted(labelled, enriched=F.count(F.lit(1)))
     enriched = materialize(star.last_per_id(unique, "row_ord"), "labelled")
@@ -169,8 +189,6 @@ def enrich(
     result.counts.update(seen.get)
     result.counts.update(name_counts(mentions, resolved))
     result.enriched = final
-    if not cfg.dry_run:
-        result.version = StarStore(spark, cfg.store).load(star.star_tables(final))
     return result
 
 

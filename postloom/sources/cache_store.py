@@ -13,13 +13,15 @@ from postloom.sources.files import exists
 from postloom.sources.star_store import TableStore
 
 
-def read_cache(spark: SparkSession, path: str) -> DataFrame:
-    """The stored answers; an empty table when there is no cache yet. A plain Parquet folder can be read, too."""
+def read_cache(spark: SparkSession, path: str, ids: DataFrame | None = None) -> DataFrame:
+    """The stored answers, with ``ids`` those of these ids only; an empty table when there is no cache yet. A plain Parquet
+    folder can be read, too."""
     if exists(spark, f"{path}/_manifest"):
-        return cache_table(spark, path).read("cache")
+        return cache_table(spark, path).read("cache", ids)
     if not exists(spark, path):
         return empty(spark, CACHE)
-    return spark.read.schema(CACHE).parquet(path)
+    stored = spark.read.schema(CACHE).parquet(path)
+    return stored if ids is None else stored.join(ids.select("tweet_id"), "tweet_id", "left_semi")
 
 
 def cache_table(spark: SparkSession, path: str) -> TableStore:

@@ -70,13 +70,17 @@ def read_landing(spark: SparkSession, landing: str, base: str | None = None) ->
     return union_batches(*parts)
 
 
+def ordered_rows(rows: DataFrame) -> DataFrame:
+    """Rows of a merged store with ``row_ord``, which follows the place where an id was first seen."""
+    placed = rows.select("*", F.lit(0).alias("_source_rank"), F.col("source_file").alias("_file"), F.col("file_row").alias("_pos"))
+    return number_rows(placed).select(*MERGED_COLUMNS, "row_ord")
+
+
 def read_merged(spark: SparkSession, path: str) -> DataFrame:
     """The merged table with ``row_ord``, from Parquet, CSV or the store a stream keeps; a missing path is an
     AnalysisException."""
     if exists(spark, path.rstrip("/") + "/_manifest"):
-        rows = merged_store(spark, path).read("merged")
-        placed = rows.select("*", F.lit(0).alias("_source_rank"), F.col("source_file").alias("_file"), F.col("file_row").alias("_pos"))
-        return number_rows(placed).select(*MERGED_COLUMNS, "row_ord")
+        return ordered_rows(merged_store(spark, path).read("merged"))
     if exists(spark, path) and not list_files(spark, path.rstrip("/") + "/*.csv") and not path.endswith(".csv"):
         return spark.read.parquet(path)
     if not exists(spark, path):

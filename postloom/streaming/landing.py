@@ -60,7 +60,7 @@ def merge_batch(store: TableStore, batch: DataFrame, batch_id: int) -> None:
     rows = fill_missing_ids(rows, "tweet_id", "source_file", "file_row")
     at = F.struct("source_file", "file_row")
     fresh = materialize(merge_rows(rows.withColumns({"seen": at, "won": at}), "seen", "won"), "batch")
-    stored = store.read("merged").join(fresh.select("tweet_id"), "tweet_id", "left_semi")
+    stored = store.read("merged", fresh)
     won = F.struct(F.col("won_file").alias("source_file"), F.col("won_row").alias("file_row"))
     stored = stored.select(*MERGED_COLUMNS, at.alias("seen"), won.alias("won"))
     merged = dedup_best(stored.unionByName(fresh), "tweet_id", engagement(), "won", "seen")

@@ -6,17 +6,21 @@ import json
 
 from pyspark.sql import functions as F
 
+from postloom.plans.changes_job import enrich_changes
 from postloom.plans.enrich_job import EnrichConfig, enrich
 from postloom.plans.export_job import export_star, load_exports
 from postloom.plans.ingest_job import ingest_landing
 from postloom.schemas import STAR
 from postloom.session import scratch_path
 from postloom.sources.cache_store import read_cache, read_dead_letters
-from postloom.sources.csv_tables import read_merged, write_csv
+from postloom.sources.csv_tables import WRITE, read_merged, write_csv
 from postloom.sources.lookup import lookup_table, noise_table
 from postloom.sources.star_store import StarStore
-from workloads.base import query, table
+from postloom.streaming.landing import ingest_new_files
+from workloads.base import URL, query, table
 from workloads.jobs import _STAGE, merged_documents
+from workloads.labels import rule_labeller
+from workloads.text import CLEAN_SQL, POST
 
 # What the labeller writes for a text of k characters, by k modulo the number of choices, and what becomes of it.
 INTENT = (("Venting", "venting"), ("COMPLAINING", "complaining"), ("recommendation", "seeking_recommendation"), ("no such", "other"))
@@ -196,6 +200,45 @@ def export_load(spark, sf_dir):
     return spark.createDataFrame(rows, "name string, exported bigint, loaded bigint")
 
 
+# What the last arrival of a document says: one in five is reworded, one in eleven is cut to a text that counts as spam.
+_LATEST = f"CASE WHEN doc_id % 11 = 0 THEN 'gone' WHEN doc_id % 5 = 0 THEN 'once more ' || {POST} ELSE {POST} END"
+
+
+@query(
+    "stream_to_star",
+    f"""
+    WITH p AS (SELECT doc_id, n_chars, {_LATEST} AS post FROM documents),
+    c AS (SELECT doc_id, n_chars, post, {CLEAN_SQL} AS clean FROM p),
+    k AS (SELECT *, length(clean) AS n_clean FROM c WHERE clean <> '' AND NOT (length(clean) < 10
+          OR 2 * coalesce(list_sum(list_transform(regexp_extract_all(post, '{URL}'), lambda u: length(u))), 0) > length(post)))
+    SELECT CAST(doc_id AS VARCHAR) AS tweet_id, 10 * n_chars + CASE WHEN doc_id % 11 = 0 OR doc_id % 5 = 0 THEN 1 ELSE 0 END AS like_count,
+           CAST(n_clean AS INTEGER) AS n_clean, CASE n_clean % 3 WHEN 0 THEN 'positive' WHEN 1 THEN 'negative' ELSE 'neutral' END AS sentiment
+    FROM k WHERE n_clean >= 20
+    """,
+)
+def stream_to_star(spark, sf_dir):
+    """Documents that arrive as CSV files in three steps, after each of which only the changed rows of the merged store are
+    cleaned, labelled and loaded. The second brings new documents, reworded ones and ones that turn into spam, the third
+    weaker copies, which change nothing. The star must be that of one run over everything."""
+    docs = table(spark, sf_dir, "documents").selectExpr(
+        "doc_id", "CAST(doc_id AS STRING) AS tweet_id", f"{POST} AS first", f"{_LATEST} AS latest", "10 * n_chars AS likes"
+    )
+    root, names = scratch_path(spark, "changes"), ["tweet_id", "text", "likes"]
+    changed = "doc_id % 5 = 0 OR doc_id % 11 = 0"
+    arrivals = [
+        docs.filter("doc_id % 7 <> 3").selectExpr("tweet_id", "first AS text", "likes"),
+        docs.filter(f"doc_id % 7 = 3 OR {changed}").selectExpr("tweet_id", "latest AS text", f"likes + CAST({changed} AS INT) AS likes"),
+        docs.filter("doc_id % 4 = 0").selectExpr("tweet_id", "'a weaker copy of a post' AS text", "likes - 1 AS likes"),
+    ]
+    cfg = _config(root, labeller=rule_labeller, skip_embeddings=True, chunks=1)
+    for rows in arrivals:
+        rows.write.mode("append").options(**WRITE).csv(f"{root}/landing")
+        ingest_new_files(spark, f"{root}/landing", names, f"{root}/merged", f"{root}/checkpoint")
+        enrich_changes(spark, cfg, lookup_table(spark, LOOKUP))
+    star = StarStore(spark, f"{root}/star").read("tweets")
+    return star.select("tweet_id", "like_count", F.length("full_text").alias("n_clean"), "sentiment")
+
+
 @query(
     "ingest_job",
     """
