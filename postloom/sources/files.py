@@ -79,6 +79,29 @@ def move(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"cannot move {source} to {target}")
 
 
+def replace_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Put a folder in the place of another, or of none. The old one steps aside, returns if the new one cannot take its
+    place, and goes once it has: between the two renames a reader finds nothing, but never a part."""
+    jvm, p, fs = _hadoop(spark, target)
+    fs.mkdirs(p.getParent())
+    aside = jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{p.getName()}-{uuid.uuid4().hex}")
+    had = fs.exists(p)
+    if had and not fs.rename(p, aside):
+        raise OSError(f"cannot move {target} aside")
+    if not fs.rename(jvm.org.apache.hadoop.fs.Path(source), p):
+        if had:
+            fs.rename(aside, p)
+        raise OSError(f"cannot move {source} to {target}")
+    if had:
+        fs.delete(aside, True)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder and what is in it, if it is there."""
+    _, p, fs = _hadoop(spark, path)
+    fs.delete(p, True)
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     """Content of a small file."""
     jvm, p, fs = _hadoop(spark, path)

@@ -160,6 +160,50 @@ def test_views_export_and_warehouse(spark, tmp_path):
     assert load_exports(spark, str(tmp_path / "none"), str(tmp_path / "wh2"))["tweets"] is None
 
 
+def test_a_load_that_fails_midway_leaves_the_old_tables(spark, tmp_path):
+    from postloom.sources.export import load_warehouse
+
+    src, target = tmp_path / "csv", tmp_path / "wh"
+    schemas = {"a": "i int, s string", "b": "i int"}
+
+    def put(table, name, data):
+        (src / table).mkdir(parents=True, exist_ok=True)
+        (src / table / name).write_bytes(data)
+
+    def state():
+        return {t: rows(spark.read.parquet(str(target / t))) for t in ("a", "b")}
+
+    put("a", "1.csv", b'i,s\n1,"x\ny"\n2,\n')
+    put("b", "1.csv", b"i\n7\n")
+    load = lambda: load_warehouse(spark, str(src), ["a", "b", "c"], str(target), schemas=schemas)
+    assert load() == {"a": 2, "b": 1, "c": None}
+    old = state()
+    # the first table would load; the second ends in the middle of a broken file
+    put("a", "2.csv", b"i,s\n3,z\n")
+    put("b", "2.csv.gz", b"not gzip at all")
+    with pytest.raises(Exception, match="(?i)gzip|exception"):
+        load()
+    assert state() == old
+    assert sorted(os.listdir(target)) == ["a", "b"]
+    os.truncate(src / "b" / "2.csv.gz", 0)
+    put("b", "2.csv.gz", __import__("gzip").compress(b"i\n8\n9\n"))
+    assert load() == {"a": 3, "b": 3, "c": None}
+    assert state()["b"] == [(7,), (8,), (9,)]
+    assert sorted(os.listdir(target)) == ["a", "b"]
+
+
+def test_a_copy_that_lost_rows_is_refused(spark, tmp_path):
+    from postloom.sources.export import _verify
+
+    df = spark.createDataFrame([(1,), (2,)], "i int")
+    df.write.parquet(str(tmp_path / "t"))
+    _verify(spark, str(tmp_path / "t"), "parquet", {}, df.schema, 2)
+    with pytest.raises(ValueError, match="2 rows instead of 3"):
+        _verify(spark, str(tmp_path / "t"), "parquet", {}, df.schema, 3)
+    with pytest.raises(ValueError, match="columns"):
+        _verify(spark, str(tmp_path / "t"), "parquet", {}, df.select(F.col("i").cast("string").alias("i")).schema, 2)
+
+
 def test_one_bad_table_does_not_stop_the_others(spark, tmp_path):
     from postloom.sources.export import export_csv
 

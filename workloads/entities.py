@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from postloom.operators import entities
-from postloom.session import materialize
-from postloom.sources.lookup import noise_table
+from postloom.session import materialize, scratch_path
+from postloom.sources.lookup import noise_table, read_lookup, read_noise
 from workloads.base import query, table
 
 # Aliases are the lower-case part names, canonical names their capitals.
@@ -124,3 +124,27 @@ def entity_mentions(spark, sf_dir):
         "tweet_id", F.size("brands_raw").cast("bigint").alias("n_mentions"),
         F.size("brands_canonical").cast("bigint").alias("n_names"),
     )
+
+
+@query(
+    "lookup_file",
+    """
+    SELECT c_custkey, CASE WHEN c_custkey % 3 <> 2 THEN n_name || ' Inc' END AS brand_canonical,
+           CASE WHEN c_custkey % 3 = 2 THEN 'listed' END AS noise
+    FROM customer JOIN nation ON c_nationkey = n_nationkey
+    """,
+)
+def lookup_file(spark, sf_dir):
+    """Customers name their nation in lower or upper case, or their region; the lookup is a JSON file of nations, the noise
+    list a text file of regions, both of a fixed size."""
+    nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    root = scratch_path(spark, "lookup")
+    pairs = F.collect_list(F.struct(F.lower("n_name"), F.concat("n_name", F.lit(" Inc"))))
+    nation.agg(F.to_json(F.map_from_entries(pairs)).alias("value")).write.text(f"{root}/entities")
+    region.select(F.concat(F.lit(" "), F.lower("r_name")).alias("value")).write.text(f"{root}/noise")
+    said = table(spark, sf_dir, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey")).join(
+        region, F.col("n_regionkey") == F.col("r_regionkey"))
+    said = said.selectExpr(
+        "c_custkey", "CASE c_custkey % 3 WHEN 0 THEN lower(n_name) WHEN 1 THEN n_name ELSE lower(r_name) END AS brand_raw")
+    found = entities.resolve_names(said, read_lookup(spark, f"{root}/entities"), read_noise(spark, f"{root}/noise"))
+    return said.join(found, "brand_raw").select("c_custkey", "brand_canonical", "noise")

@@ -200,6 +200,23 @@ def export_load(spark, sf_dir):
     return spark.createDataFrame(rows, "name string, exported bigint, loaded bigint")
 
 
+@query(
+    "export_tweets",
+    _LABELLED + f"""
+    SELECT tweet_id, {_case(INTENT)} AS intent_label, {_case(SENTIMENT)} AS sentiment, CAST(0 AS INTEGER) AS is_spam,
+           CAST(384 AS INTEGER) AS dimensions FROM v
+    """,
+)
+def export_tweets(spark, sf_dir):
+    """The parent table after its way through CSV into the warehouse: flags as numbers, vectors as text that reads back."""
+    root = finished(spark, sf_dir)[0]
+    export_star(spark, f"{root}/star", f"{root}/csv")
+    load_exports(spark, f"{root}/csv", f"{root}/warehouse")
+    rows = spark.read.parquet(f"{root}/warehouse/tweets")
+    vector = F.size(F.from_json("embedding", "array<float>"))
+    return rows.select("tweet_id", "intent_label", "sentiment", "is_spam", vector.alias("dimensions"))
+
+
 # What the last arrival of a document says: one in five is reworded, one in eleven is cut to a text that counts as spam.
 _LATEST = f"CASE WHEN doc_id % 11 = 0 THEN 'gone' WHEN doc_id % 5 = 0 THEN 'once more ' || {POST} ELSE {POST} END"
 

@@ -64,6 +64,23 @@ def clean_counters(spark, sf_dir):
     )
 
 
+@query(
+    "screen_names",
+    """
+    SELECT CAST(c_custkey AS VARCHAR) AS tweet_id, CASE c_custkey % 3 WHEN 0 THEN c_name WHEN 1 THEN c_mktsegment ELSE '' END AS screen_name
+    FROM customer
+    """,
+)
+def screen_names(spark, sf_dir):
+    """Handles of cleaned posts: the screen name unless it is exactly empty, else the user name, both stripped; a blank
+    screen name is none, but does not give way."""
+    rows = table(spark, sf_dir, "customer").selectExpr(
+        "CAST(c_custkey AS STRING) AS tweet_id", "'a post of ' || c_name AS text", "c_name || ' ' AS user_username",
+        "CASE c_custkey % 3 WHEN 0 THEN '' WHEN 1 THEN chr(9) || c_mktsegment ELSE ' ' END AS user_screen_name",
+    )
+    return clean.accepted_posts(clean.clean_posts(ingest.project_merged(rows, columns=MERGED_COLUMNS))).select("tweet_id", "screen_name")
+
+
 @query(
     "enrich_job",
     _STAGE + """

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from postloom.operators import vectors
+from postloom.operators import star, vectors
 from postloom.session import materialize
 from workloads.base import ORACLES, costly, query, table
 
@@ -34,6 +34,37 @@ def embed_length(spark, sf_dir):
     return vecs.join(first, "embedding").select("doc_id", F.size("embedding").alias("dimensions"), norm.alias("norm"), "first_alike")
 
 
+@query(
+    "vectors_reused",
+    "SELECT doc_id, CAST(CASE WHEN doc_id % 3 = 0 THEN 2 ELSE 384 END AS INTEGER) AS dimensions, doc_id % 3 = 0 AS kept FROM documents",
+)
+def vectors_reused(spark, sf_dir):
+    """Documents of which one in three has a stored vector, which stays, and one in three a stored null, which is encoded
+    like those that have none."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("full_text"))
+    short = F.array(F.col("doc_id").cast("float"), F.lit(2.0).cast("float"))
+    stored = docs.filter("doc_id % 3 < 2").select("doc_id", F.when(F.col("doc_id") % 3 == 0, short).alias("embedding"))
+    done = vectors.embed(vectors.reuse_vectors(docs, stored, "doc_id"))
+    return done.select(
+        "doc_id", F.size("embedding").alias("dimensions"), (F.col("embedding") == short).alias("kept")
+    )
+
+
+@query(
+    "vector_text",
+    "SELECT vec_id, CASE WHEN vec_id % 5 <> 0 THEN CAST(len(embedding) AS INTEGER) END AS dimensions, vec_id % 5 <> 0 AS same FROM embeddings",
+)
+def vector_text(spark, sf_dir):
+    """Vectors as JSON text and back; one in five is empty and has no text."""
+    vecs = corpus(spark, sf_dir).withColumn("embedding", F.col("embedding").cast("array<float>"))
+    vecs = vecs.withColumn("embedding", F.when(F.col("vec_id") % 5 != 0, F.col("embedding")).otherwise(F.array().cast("array<float>")))
+    text = star.vector_json(F.col("embedding"))
+    back = F.from_json(text, "array<float>")
+    return vecs.select(
+        "vec_id", F.when(text.isNotNull(), F.size(back)).alias("dimensions"), F.coalesce(back == F.col("embedding"), F.lit(False)).alias("same")
+    )
+
+
 def corpus(spark, sf_dir):
     return table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
 
