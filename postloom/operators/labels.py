@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from postloom.functions.evaluation import once
 from postloom.functions.text import snake_token_sql, token_sql
 from postloom.schemas import DEAD_LETTER
-from postloom.vocabulary import Vocabulary, sql_string
+from postloom.session import materialize
+from postloom.vocabulary import Tokens, Vocabulary, VocabularyTable, sql_string
 
 LISTS = ("causes", "barriers", "aspects", "brands_raw")
 LABEL_COLUMNS = ("intent", "sentiment", "causes", "products", "barriers", "aspects", "brands_raw")
@@ -47,7 +48,7 @@ def drop_parsed(df: DataFrame) -> DataFrame:
     return df.drop("_v", "_products", *[f"_{f}" for f in LISTS], *[f"_{f}_objects" for f in LISTS])
 
 
-def normalized_labels(vocab: Vocabulary) -> dict[str, Column]:
+def normalized_labels(vocab: Vocabulary | VocabularyTable | Tokens) -> dict[str, Column]:
     """Label columns over a parsed response. Unknown values take the field's default; duplicates are kept.
 
     Written as SQL text: dozens of small Column calls per lambda would make building the plan slower than small jobs.
@@ -88,13 +89,13 @@ def normalized_labels(vocab: Vocabulary) -> dict[str, Column]:
     }
 
 
-def gate_errors(vocab: Vocabulary) -> Column:
+def gate_errors(vocab: Vocabulary | VocabularyTable) -> Column:
     """Codes of every rule a parsed response breaks; an empty array means valid. One bad item rejects the row."""
 
     def any_item(name: str, bad: str) -> str:
         return f"coalesce(exists(_{name}_objects, e -> {bad}), false)"
 
-    allowed = ", ".join(sql_string(s) for s in vocab.values["sentiment"])
+    allowed = vocab.allows_sql("sentiment", _get("e", "sentiment"))
     text = _get("e", "matched_sentence", "variant")
     checks = {"response:not_an_object": "_v IS NULL"}
     checks |= {f"{f}:not_a_list": f"{_get('_v', f, 'variant')} IS NOT NULL AND _{f} IS NULL" for f in LISTS}
@@ -104,7 +105,7 @@ def gate_errors(vocab: Vocabulary) -> Column:
         ),
         "aspects.sentiment:not_allowed": any_item(
             "aspects",
-            f"NOT ({_is_string('e', 'sentiment')} AND coalesce({_get('e', 'sentiment')} IN ({allowed}), false))",
+            f"NOT ({_is_string('e', 'sentiment')} AND coalesce({allowed}, false))",
         ),
         "aspects.span_text:missing": any_item("aspects", f"NOT {_is_filled('e', 'span_text')}"),
         "brands_raw.brand_raw:missing": any_item("brands_raw", f"NOT {_is_filled('e', 'brand_raw')}"),
@@ -113,10 +114,33 @@ def gate_errors(vocab: Vocabulary) -> Column:
     return F.expr(f"array_compact(array({codes}))")
 
 
-def normalize_labels(df: DataFrame, vocab: Vocabulary, response: str = "response") -> DataFrame:
+def with_entries(df: DataFrame, vocab: VocabularyTable, response: str = "response") -> DataFrame:
+    """Add ``_canon``, the part of the vocabulary that a row's own tokens need, null where none of them is known.
+
+    The tokens of all fields meet the table in one join, and come back to their row by its number, which is written down
+    first. A token that many rows share is a skewed key of a plain join, which adaptive execution splits.
+    """
+    rows = materialize(df.withColumn("_row", F.monotonically_increasing_id()), "responses")
+    found = drop_parsed(parse_response(rows.select("_row", F.col(response).alias("_said")), "_said").withColumns(normalized_labels(Tokens())))
+    keys = [
+        "array(concat('intent:', intent), concat('sentiment:', sentiment))",
+        "transform(causes, e -> concat('cause:', e.cause_category))", "transform(products, e -> concat('product:', e))",
+        "transform(barriers, e -> concat('barrier:', e.barrier_code))", "transform(aspects, e -> concat('aspect:', e.aspect))",
+        "transform(aspects, e -> concat('=sentiment:', e.sentiment))",
+        "transform(brands_raw, e -> concat('product:', e.product_type))",
+    ]
+    tokens = found.select("_row", F.explode(F.expr(f"array_compact(array_distinct(concat({', '.join(keys)})))")).alias("key"))
+    known = tokens.join(vocab.entries(), "key").groupBy("_row").agg(
+        F.map_from_entries(F.collect_list(F.struct("key", "value"))).alias("_canon"))
+    return rows.join(known, "_row", "left").drop("_row")
+
+
+def normalize_labels(df: DataFrame, vocab: Vocabulary | VocabularyTable, response: str = "response") -> DataFrame:
     """Add the label columns and ``errors`` for the JSON in ``response``."""
+    if isinstance(vocab, VocabularyTable):
+        df = with_entries(df, vocab, response)
     parsed = once(parse_response(df, response), errors=gate_errors(vocab))
-    return drop_parsed(parsed.withColumns(normalized_labels(vocab)))
+    return drop_parsed(parsed.withColumns(normalized_labels(vocab))).drop("_canon")
 
 
 def require_model(df: DataFrame) -> DataFrame:

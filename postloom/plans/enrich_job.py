@@ -16,7 +16,7 @@ from postloom.session import materialize, scratch_path, tune
 from postloom.sources import cache_store
 from postloom.sources.csv_tables import read_merged
 from postloom.sources.star_store import StarStore
-from postloom.vocabulary import Vocabulary, default_vocabulary
+from postloom.vocabulary import Vocabulary, VocabularyTable, default_vocabulary
 
 
 @dataclass(frozen=True)
@@ -36,7 +36,7 @@ class EnrichConfig:
     concurrency: int | None = None
     call_pause: float = 0.1
     retry_wait: float = 2.0
-    vocabulary: Vocabulary = field(default_factory=default_vocabulary)
+    vocabulary: Vocabulary | VocabularyTable = field(default_factory=default_vocabulary)
     encoder: object = vectors.hash_encoder
     # Take the vector of a post whose text the store already has; worth its join where the encoder is a model.
     reuse_vectors: bool = False

@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from postloom import Vocabulary, default_vocabulary
+from postloom import Vocabulary, VocabularyTable, default_vocabulary
 from postloom.operators import annotate as ann
 from postloom.operators import cache, labels
 from postloom.sources import cache_store
@@ -137,6 +137,56 @@ def test_vocabulary_from_table(spark):
     assert (row.intent, row.sentiment) == ("ok", "neutral")
 
 
+def vocabulary_rows(vocab):
+    own = [(f, v, v) for f, values in vocab.values.items() for v in values]
+    return own + [(f, raw, value) for f, said in vocab.synonyms.items() for raw, value in said.items()]
+
+
+TABLE = "field string, raw_value string, canonical_value string"
+
+
+def test_a_table_gives_what_the_literal_gives(spark):
+    """Random responses, repeated rows, broken and null ones, and clashing spellings of two fields."""
+    rnd = random.Random(5)
+    vocab = Vocabulary({**VOCAB.values, "cause": (*VOCAB.values["cause"], "price")}, VOCAB.synonyms, VOCAB.defaults)
+    said = [v for _, raw, value in vocabulary_rows(vocab) for v in (raw, value.upper(), f" {value.replace('_', ' ')} ")]
+    said += [None, "", "no such", 5, "price:", "cause:stress", {"a": 1}]
+    pick = lambda: rnd.choice(said)
+
+    def doc():
+        return json.dumps({
+            "intent": pick(), "sentiment": pick(), "products": [pick() for _ in range(rnd.randrange(4))],
+            "causes": [{"cause_category": pick(), "matched_sentence": "s"} for _ in range(rnd.randrange(3))],
+            "barriers": rnd.choice([None, "x", [{"barrier_code": pick()}], [7, {"barrier_code": pick()}]]),
+            "aspects": [{"aspect": pick(), "sentiment": rnd.choice(["positive", "Positive", "neutral", None, 3]), "span_text": "t"}][: rnd.randrange(2)],
+            "brands_raw": [{"brand_raw": "b", "product_type": pick()}],
+        })
+
+    docs = [doc() for _ in range(300)]
+    docs += docs[:20] + [None, "", "[1]", "{", "{}"]
+    df = spark.createDataFrame(list(enumerate(docs)), "n int, response string")
+    rows = vocabulary_rows(vocab)
+    table = spark.createDataFrame([*rows, *rows[:5], ("cause", None, "stress"), (None, "x", "y")], TABLE)
+    read = lambda v: [str(r) for r in labels.normalize_labels(df, v).orderBy("n").collect()]
+    assert read(VocabularyTable(table, vocab.defaults)) == read(vocab)
+
+
+def test_a_vocabulary_of_many_rows_is_joined(spark, plan):
+    table = spark.range(20_000).selectExpr("'product' AS field", "'spelling_' || id AS raw_value", "'kind_' || id % 100 AS canonical_value")
+    df = spark.createDataFrame([(i, json.dumps({"products": [f"Spelling {i * 977}", "kind 7", "kind 100"]})) for i in range(20)], "n int, response string")
+    out = labels.normalize_labels(df, VocabularyTable(table))
+    assert {r.n: r.products for r in out.collect()} == {i: [f"kind_{i * 977 % 100}", "kind_7", "other"] for i in range(20)}
+    assert "Cartesian" not in plan(out) and "NestedLoop" not in plan(out)
+    assert out.columns == labels.normalize_labels(df, VOCAB).columns
+    # of several values for one spelling the greatest
+    twice = spark.createDataFrame([("product", "a", "x"), ("product", "a", "y"), ("product", "a", "a")], TABLE)
+    one = spark.createDataFrame([('{"products": ["A"]}',)], "response string")
+    assert labels.normalize_labels(one, VocabularyTable(twice)).first().products == ["y"]
+    assert labels.normalize_labels(one.limit(0), VocabularyTable(twice)).count() == 0
+    with pytest.raises(ValueError, match="VocabularyTable"):
+        Vocabulary.from_table(table)
+
+
 def test_cache_joins_and_import(spark, tmp_path):
     path = tmp_path / "cache.json"
     path.write_text(json.dumps({

@@ -13,7 +13,7 @@ from postloom.operators import cache, clean, labels, star
 from postloom.plans import reports
 from postloom.schemas import CACHE
 from postloom.session import materialize
-from postloom.vocabulary import default_vocabulary
+from postloom.vocabulary import VocabularyTable, default_vocabulary
 from workloads.base import K, URL, costly, query, table
 from workloads.text import CLEAN_SQL, POST
 
@@ -100,6 +100,31 @@ def normalize_labels(spark, sf_dir):
     )
 
 
+@query(
+    "normalize_table",
+    """
+    SELECT l_orderkey, l_linenumber, 'sold' AS intent, CASE WHEN l_linenumber = 2 THEN 'other' ELSE coalesce(p_brand, 'other') END AS product,
+           CASE WHEN l_linenumber = 3 THEN 'aspects.sentiment:not_allowed' ELSE '' END AS errors
+    FROM lineitem LEFT JOIN part ON l_partkey = p_partkey
+    """,
+)
+def normalize_table(spark, sf_dir):
+    """Labels against a vocabulary that is a table: every part is a spelling of its brand, in each response one part, written
+    in another case, or an unknown one."""
+    parts = table(spark, sf_dir, "part").selectExpr(
+        "'product' AS field", "'no_' || p_partkey AS raw_value", "p_brand AS canonical_value")
+    fixed = spark.range(1).selectExpr(
+        "stack(2, 'intent', 'sale', 'sold', 'sentiment', 'good', 'positive') AS (field, raw_value, canonical_value)")
+    said = table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey", "l_linenumber",
+        """concat('{"intent": "Sale ", "products": ["', CASE WHEN l_linenumber = 2 THEN 'none' ELSE 'NO ' || l_partkey END,
+           '"], "aspects": [{"aspect": "x", "sentiment": "', CASE WHEN l_linenumber = 3 THEN 'good' ELSE 'positive' END,
+           '", "span_text": "s"}]}') AS response""",
+    )
+    done = labels.normalize_labels(said, VocabularyTable(parts.unionByName(fixed)))
+    return done.select("l_orderkey", "l_linenumber", "intent", F.element_at("products", 1).alias("product"), F.array_join("errors", ",").alias("errors"))
+
+
 DEFECTS = (
     ("'{}'", ""),
     ("'[1]'", "response:not_an_object"),
