@@ -2,9 +2,9 @@
 
 Two fingerprints that differ in at most four bits agree in at least four of their eight byte positions. The inverted
 index therefore holds, for each distinct fingerprint, its 70 choices of four positional bytes; any two fingerprints
-that share a list share at least those four bytes. Inside a list the shared positional bytes of each pair are tallied,
-a pair is looked at only in the list of its first four shared positions, and those that reach the minimum are verified
-by their differing bits. Plain one-byte lists would hold 1/256 of the corpus each and their pairs would grow with its
+that share a list share at least those four bytes. Inside a list the shared positional bytes of each pair are tallied, those
+that reach the minimum are verified by their differing bits, and a pair counts only in the list of its first four shared
+positions. Plain one-byte lists would hold 1/256 of the corpus each and their pairs would grow with its
 square; a list on four bytes holds 2**-32 of unrelated fingerprints.
 
 No pair list leaves a task: each list contributes a spanning forest of its links. A list longer than ``list_limit``
@@ -36,6 +36,10 @@ BLOCK = 1 << 16
 CHOICES = list(combinations(range(8), 8 - MAX_BITS))
 
 
+# Seven low bits of every byte.
+_LOW = np.uint64(0x7F7F7F7F7F7F7F7F)
+
+
 def _signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
@@ -89,16 +93,18 @@ def _forest(values: np.ndarray, choice: int, shared: int):
     step = max(1, (1 << 20) // len(values))
     for lo in range(0, len(values), step):
         diff = values[lo : lo + step, None] ^ values[None, :]
-        near = np.bitwise_count(diff) <= MAX_BITS
-        rows, cols = np.nonzero(near)
+        # Count filtering: a byte that is shared is zero in the difference; only pairs with enough of them go on.
+        tally = np.bitwise_count(~(((diff & _LOW) + _LOW) | diff | _LOW))
+        rows, cols = np.nonzero(tally >= shared)
         keep = cols > rows + lo
         rows, cols = rows[keep], cols[keep]
+        keep = np.bitwise_count(diff[rows, cols]) <= MAX_BITS
+        rows, cols = rows[keep], cols[keep]
         if not len(rows):
             continue
         same = diff[rows, cols].view(np.uint8).reshape(-1, 8) == 0
-        tally = same.sum(axis=1)
         lead = (same & (same.cumsum(axis=1) <= shared)) == first
-        keep = (tally >= shared) & lead.all(axis=1)
+        keep = lead.all(axis=1)
         for i, j in zip((rows[keep] + lo).tolist(), cols[keep].tolist()):
             a, b = find(i), find(j)
             if a != b:
