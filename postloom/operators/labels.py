@@ -118,7 +118,10 @@ def with_entries(df: DataFrame, vocab: VocabularyTable, response: str = "respons
     """Add ``_canon``, the part of the vocabulary that a row's own tokens need, null where none of them is known.
 
     The tokens of all fields meet the table in one join, and come back to their row by its number, which is written down
-    first. A token that many rows share is a skewed key of a plain join, which adaptive execution splits.
+    first. A token that many rows share is a skewed key of a plain join, which adaptive execution splits. The planner
+    guesses the size of what was grouped from its sources, far too low, and keeps a broadcast it once chose. So the table's
+    entries are written down, plainly, as their size on disk then tells that in memory, and what comes back, a row per
+    response, is merged.
     """
     rows = materialize(df.withColumn("_row", F.monotonically_increasing_id()), "responses")
     found = drop_parsed(parse_response(rows.select("_row", F.col(response).alias("_said")), "_said").withColumns(normalized_labels(Tokens())))
@@ -130,9 +133,10 @@ def with_entries(df: DataFrame, vocab: VocabularyTable, response: str = "respons
         "transform(brands_raw, e -> concat('product:', e.product_type))",
     ]
     tokens = found.select("_row", F.explode(F.expr(f"array_compact(array_distinct(concat({', '.join(keys)})))")).alias("key"))
-    known = tokens.join(vocab.entries(), "key").groupBy("_row").agg(
+    entries = materialize(vocab.entries(), "entries", **{"compression": "none", "parquet.enable.dictionary": "false"})
+    known = tokens.join(entries, "key").groupBy("_row").agg(
         F.map_from_entries(F.collect_list(F.struct("key", "value"))).alias("_canon"))
-    return rows.join(known, "_row", "left").drop("_row")
+    return rows.join(known.hint("merge"), "_row", "left").drop("_row")
 
 
 def normalize_labels(df: DataFrame, vocab: Vocabulary | VocabularyTable, response: str = "response") -> DataFrame:

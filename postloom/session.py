@@ -51,9 +51,10 @@ def empty(spark: SparkSession, schema: str) -> DataFrame:
     )
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once and read it back: the cut point between stages that several outputs share."""
+def materialize(df: DataFrame, name: str, by: str | None = None, **options: str) -> DataFrame:
+    """Write ``df`` once and read it back: the cut point between stages that several outputs share. ``by`` is a column
+    whose values get folders of their own, which a filter on it prunes; ``options`` are those of the writer."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -1,5 +1,6 @@
 import json
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -187,6 +188,15 @@ def test_a_vocabulary_of_many_rows_is_joined(spark, plan):
         Vocabulary.from_table(table)
 
 
+def test_what_comes_back_from_a_vocabulary_is_merged(spark, plan, tmp_path):
+    # From files, whose size the planner takes for that of what is grouped.
+    spark.range(3000).selectExpr("'product' AS field", "'no_' || id AS raw_value", "'kind' AS canonical_value").write.parquet(f"{tmp_path}/v")
+    spark.range(500).selectExpr("id", """'{"products": ["No ' || id || '"]}' AS response""").write.parquet(f"{tmp_path}/r")
+    out = labels.normalize_labels(spark.read.parquet(f"{tmp_path}/r"), VocabularyTable(spark.read.parquet(f"{tmp_path}/v")))
+    assert re.search(r"SortMergeJoin \[_row#\d+L?\], \[_row#\d+L?\], LeftOuter", plan(out))
+    assert out.filter("products = array('kind')").count() == 500
+
+
 def test_cache_joins_and_import(spark, tmp_path):
     path = tmp_path / "cache.json"
     path.write_text(json.dumps({
