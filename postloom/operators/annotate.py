@@ -6,7 +6,7 @@ import json
 import time
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,6 +15,9 @@ from pyspark.sql import types as T
 Labeller = Callable[[list[str]], list[str]]
 LabellerFactory = Callable[[], Labeller]
 
+# Rows that a task turns into Python strings at a time, about: what it holds does not follow its input.
+ROWS = 256
+
 
 def _ask(labeller: Labeller, texts: list[str], tries: int, wait: float) -> list[tuple[str | None, str | None]]:
     """(response, error) per text; a failing group of texts is asked again one by one before it is given up."""
@@ -59,19 +62,24 @@ def annotate(
     schema = T.StructType(
         [*posts.schema.fields, T.StructField("response", T.StringType()), T.StructField("call_error", T.StringType())]
     )
+    group = -(-ROWS // batch_size) * batch_size
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labeller = factory()
-        for frame in frames:
-            answers: list[tuple[str | None, str | None]] = []
-            texts = frame[text_col].tolist()
-            for start in range(0, len(texts), batch_size):
-                answers += _ask(labeller, texts[start : start + batch_size], tries, retry_wait)
-                if call_pause:
-                    time.sleep(call_pause)
-            yield frame.assign(response=[a for a, _ in answers], call_error=[e for _, e in answers])
+        for batch in batches:
+            for at in range(0, batch.num_rows, group):
+                rows = batch.slice(at, group)
+                answers: list[tuple[str | None, str | None]] = []
+                texts = rows.column(text_col).to_pylist()
+                for start in range(0, len(texts), batch_size):
+                    answers += _ask(labeller, texts[start : start + batch_size], tries, retry_wait)
+                    if call_pause:
+                        time.sleep(call_pause)
+                for name, values in zip(("response", "call_error"), zip(*answers)):
+                    rows = rows.append_column(name, pa.array(values, pa.string()))
+                yield rows
 
-    return (posts.repartition(concurrency) if concurrency else posts).mapInPandas(run, schema)
+    return (posts.repartition(concurrency) if concurrency else posts).mapInArrow(run, schema)
 
 
 def chunk_of(id_col: str, chunks: int):

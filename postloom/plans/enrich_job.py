@@ -53,7 +53,11 @@ class EnrichResult:
 
 
 def run_clean(spark: SparkSession, cfg: EnrichConfig, merged: DataFrame, counts: dict[str, int]) -> DataFrame:
-    """Cleaned, accepted posts with ``row_ord``, written once."""
+    """Cleaned, accepted posts with ``row_ord``, written once, where they are to be labelled by ``chunk``.
+
+    ``_row`` tells rows apart. Labels are looked up, asked for and judged under it and the id; the posts themselves are
+    only joined to them at the end, so that no other stage writes or shuffles a text.
+    """
     rows = ordering.skip_rows(merged, "row_ord", cfg.offset)
     cleaned, seen = counted(
         clean.clean_posts(rows, "row_ord"), skipped=count_where(~F.col("accepted"))
@@ -63,13 +67,43 @@ def run_clean(spark: SparkSession, cfg: EnrichConfig, merged: DataFrame, counts:
         # Finding the last row to keep reads the rows more than once, so they are cleaned once and written first.
         posts = ordering.take_rows(materialize(posts, "accepted"), "row_ord", cfg.limit)
     posts, kept = counted(posts, extracted=F.count(F.lit(1)), spam=count_where(F.col("is_spam")))
-    posts = materialize(posts, "clean")
+    posts = posts.withColumn("_row", F.monotonically_increasing_id())
+    if cfg.skip_annotate:
+        posts = materialize(posts, "clean")
+    else:
+        posts = materialize(posts.withColumn("chunk", ann.chunk_of("tweet_id", cfg.chunks)), "clean", by="chunk")
     counts.update(seen.get)
     counts.update(kept.get)
     return posts
 
 
-def run_annotate(spark: SparkSession, cfg: EnrichConfig, misses: DataFrame, counts: dict[str, int]) -> DataFrame | None:
+# Rows of posts while they are labelled; under ``full_text`` no more than the dead-letter log shows.
+KEYS = ("tweet_id", "row_ord", "_row")
+
+
+def start_of_text():
+    return F.substring("full_text", 1, 200).alias("full_text")
+
+
+def asked_posts(wanted: DataFrame, looked_up: DataFrame) -> DataFrame:
+    """The rows of ``wanted`` whose text is asked: of each id without an answer the first. Either these or all others are
+    few, as a rule; the fewer are what the texts meet."""
+    misses = looked_up.filter(F.col("response").isNull())
+    first = misses.groupBy("tweet_id").agg(F.min(F.struct("row_ord", "_row")).alias("_first"))
+    first, seen = counted(first.select("_first._row"), rows=F.count(F.lit(1)))
+    first = materialize(first, "first")
+    n_first, n_all = seen.get["rows"], looked_up.count()
+    if 2 * n_first <= n_all:
+        return wanted.join(first, "_row", "left_semi")
+    if n_first == n_all:
+        return wanted
+    others = materialize(looked_up.select("_row").join(first, "_row", "left_anti"), "others")
+    return wanted.join(others, "_row", "left_anti")
+
+
+def run_annotate(
+    spark: SparkSession, cfg: EnrichConfig, wanted: DataFrame, looked_up: DataFrame, counts: dict[str, int]
+) -> DataFrame | None:
     """Label the misses chunk by chunk, and join the valid answers of all chunks to them; None where there is no chunk.
 
     An id is asked once, with the text of its first row, and the answer holds for all its rows. Each chunk's judged
@@ -78,16 +112,12 @@ def run_annotate(spark: SparkSession, cfg: EnrichConfig, misses: DataFrame, coun
     """
     if cfg.labeller is None:
         raise ValueError("a labeller is needed unless skip_annotate is set")
-    work = scratch_path(spark, "misses")
-    asked = star.first_per_id(misses, "row_ord").select(*misses.columns)
-    asked.withColumn("chunk", ann.chunk_of("tweet_id", cfg.chunks)).write.partitionBy("chunk").parquet(work)
-    schema = T.StructType([*misses.schema.fields, T.StructField("chunk", T.IntegerType())])
-    parts = spark.read.schema(schema).parquet(work)
+    asked = asked_posts(wanted, looked_up).select("tweet_id", "full_text", "chunk")
     answers = None
     for chunk in range(cfg.chunks):
         answered, seen = counted(
             ann.annotate(
-                parts.filter(F.col("chunk") == chunk).drop("chunk"),
+                asked.filter(F.col("chunk") == chunk).drop("chunk"),
                 cfg.labeller,
                 concurrency=cfg.concurrency,
                 call_pause=cfg.call_pause,
@@ -95,7 +125,8 @@ def run_annotate(spark: SparkSession, cfg: EnrichConfig, misses: DataFrame, coun
             ),
             calls=count_where(F.col("call_error").isNull()),
         )
-        judged = labels.normalize_labels(answered.withColumn("model", F.lit(cfg.model_name)), cfg.vocabulary)
+        answered = answered.select("tweet_id", start_of_text(), "response", "call_error", F.lit(cfg.model_name).alias("model"))
+        judged = labels.normalize_labels(answered, cfg.vocabulary)
         # A failed call has no response to judge; its own error is the one to report.
         errors = F.when(F.col("call_error").isNotNull(), F.array("call_error")).otherwise(F.col("errors"))
         judged = materialize(judged.withColumn("errors", errors).drop("call_error"), "answers")
@@ -103,9 +134,10 @@ def run_annotate(spark: SparkSession, cfg: EnrichConfig, misses: DataFrame, coun
         valid = labels.valid_rows(judged)
         cache_store.append_cache(cache_store.cache_entries(valid, cfg.model_name), cfg.cache)
         counts["dead"] = counts.get("dead", 0) + _write_dead(judged, cfg)
-        valid = valid.select("tweet_id", *[c for c in valid.columns if c not in misses.columns])
+        valid = valid.drop("full_text", "response")
         answers = valid if answers is None else answers.unionByName(valid)
     # As many rows as the ids have in the input.
+    misses = looked_up.filter(F.col("response").isNull()).select(*KEYS)
     return None if answers is None else misses.join(answers, "tweet_id")
 
 
@@ -118,22 +150,20 @@ def _write_dead(judged: DataFrame, cfg: EnrichConfig) -> int:
 def run_label(
     spark: SparkSession, cfg: EnrichConfig, posts: DataFrame, counts: dict[str, int], stale: DataFrame | None = None
 ) -> DataFrame:
-    """Labelled posts from cache and labeller; rejects go to the dead-letter log. Spam never reaches the labeller. Stored
-    answers of ``stale`` ids are not used."""
+    """Labels of posts, with ``KEYS``, from cache and labeller; rejects go to the dead-letter log. Spam never reaches the
+    labeller. Stored answers of ``stale`` ids are not used."""
     wanted = clean.without_spam(posts)
     ids = wanted.select("tweet_id") if stale is None else wanted.select("tweet_id").join(stale, "tweet_id", "left_anti")
     cache = cache_store.read_cache(spark, cfg.cache, ids)
-    looked_up = materialize(cache_ops.cache_lookup(wanted, cache), "lookup")
+    looked_up = materialize(cache_ops.cache_lookup(wanted.select(*KEYS, start_of_text()), cache), "lookup")
     hits, seen = counted(looked_up.filter(F.col("response").isNotNull()), hits=F.count(F.lit(1)))
     judged = materialize(labels.require_model(labels.normalize_labels(hits, cfg.vocabulary)), "hits")
     counts.update(hits=seen.get["hits"], dead=_write_dead(judged, cfg), calls=0)
-    out = labels.valid_rows(judged)
+    out = labels.valid_rows(judged).drop("full_text", "response")
     if not cfg.skip_annotate:
-        misses = looked_up.filter(F.col("response").isNull()).drop("response", "model")
-        misses = materialize(misses, "asked")
-        fresh = run_annotate(spark, cfg, misses, counts)
+        fresh = run_annotate(spark, cfg, wanted, looked_up, counts)
         out = out if fresh is None else out.unionByName(fresh)
-    return out.withColumnRenamed("model", "coded_by").drop("response")
+    return out.withColumnRenamed("model", "coded_by")
 
 
 def enrich(
@@ -176,7 +206,9 @@ def enrich_rows(
 
     mentions = enriched.select(F.explode("brands_raw.brand_raw").alias("brand_raw"))
     resolved = materialize(entities.resolve_names(mentions, lookup, noise_terms), "names")
-    final = entities.resolve_mentions(enriched, resolved)
+    final = entities.resolve_mentions(enriched, resolved).drop("tweet_id", "row_ord")
+    # A row per post on both sides: never one to broadcast, whatever the planner guesses.
+    final = clean.without_spam(posts).drop("chunk").join(final.hint("merge"), "_row").drop("_row")
     if not cfg.skip_embeddings:
         # Last, so that no join above carries a vector.
         final = vectors.embed(with_stored_vectors(spark, cfg, final), cfg.encoder)

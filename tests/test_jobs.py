@@ -71,6 +71,37 @@ def job(spark, tmp_path):
     return run
 
 
+def test_texts_are_written_where_they_are_made_and_joined_only(spark, job, monkeypatch):
+    """Of the cut points only the cleaned and the final rows hold whole texts; keys, answers and labels travel without."""
+    from postloom.plans import enrich_job
+
+    long = "pantene " + "hair falls badly " * 100
+    rows = [[str(i), long + str(i), "1", "1", "", "u"] for i in range(5)] + [[" 3", long + "later", "2", "", "", "u"]]
+    with open(job.path / "raw" / "a.csv", "w", newline="") as f:
+        csv.writer(f).writerows([HEADER, *rows])
+    ingest_landing(spark, str(job.path / "raw"), str(job.path / "long"))
+    made, write = {}, enrich_job.materialize
+    monkeypatch.setattr(enrich_job, "materialize", lambda df, name, **kw: made.setdefault(name, write(df, name, **kw)))
+    job(input=str(job.path / "long"), chunks=1)
+    holds = {n for n, df in made.items() for r in df.collect() if any(isinstance(v, str) and len(v) > 500 for v in r)}
+    assert holds == {"clean", "final"}
+    got = {r.tweet_id: r.full_text for r in job.store.read("tweets").collect()}
+    assert got == {str(i): (long + (str(i) if i != 3 else "later")) for i in range(5)}
+    assert sorted(t[-1] for t in job.calls()) == list("01234")  # the first copy of 3 was asked
+
+
+def test_few_and_many_misses_ask_the_same_posts(spark, job):
+    """Posts are asked by a join with the rows to ask or with the others, whichever are fewer."""
+    job(limit=2)
+    assert len(job.calls()) == 2
+    job(limit=5)
+    asked = job.calls()
+    assert sorted(set(asked)) == sorted(TEXTS[i] for i in "1245") and asked.count(TEXTS["1"]) == 1
+    job()
+    assert job.calls().count(TEXTS["6"]) == 1 and job.calls().count(TEXTS["2"]) == 1
+    assert sorted(r.tweet_id for r in job.store.read("tweets").collect()) == ["1", "2", "6"]
+
+
 def test_full_run_then_replay(spark, job):
     result = job()
     assert result.counts == {

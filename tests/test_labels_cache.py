@@ -248,3 +248,13 @@ def test_chunks_are_stable_and_cover(spark, chunks):
     ids = spark.range(100).select(F.col("id").cast("string").alias("tweet_id"))
     seen = [ids.filter(ann.chunk_of("tweet_id", chunks) == c).count() for c in range(chunks)]
     assert sum(seen) == 100
+
+
+def test_annotate_holds_few_texts_at_a_time(spark, plan):
+    posts = spark.createDataFrame([(i, f"text {i}") for i in range(3 * ann.ROWS)], "i int, full_text string").coalesce(1)
+    factory = lambda: lambda texts: [json.dumps([t, len(texts)]) for t in texts]
+    out = ann.annotate(posts, factory, batch_size=100, retry_wait=0, call_pause=0)
+    assert "MapInArrow" in plan(out)
+    # In slices of the first multiple of the batch size that reaches ROWS.
+    said = [json.loads(r.response) for r in out.orderBy("i").collect()]
+    assert [t for t, _ in said] == [f"text {i}" for i in range(768)] and [n for _, n in said] == [100] * 700 + [68] * 68
