@@ -25,6 +25,9 @@ COARSE, FINE, BOOK, WIDTH = 64, 64, 256, 4
 #: Rows that an index is fitted on, at most.
 SAMPLE = 16_384
 
+#: Rows that a task encodes or assigns at a time.
+SLICE = 1_024
+
 #: Code rows and queries that meet in one task group.
 ROWS, QUERIES = 65_536, 1_024
 
@@ -128,10 +131,14 @@ def fit_index(corpus: DataFrame, sample: int = SAMPLE, seed: int = 42) -> Index
     return Index(coarse, fine, books)
 
 
-def _coded(batches: Iterator[pa.RecordBatch], index: Index) -> Iterator[pa.RecordBatch]:
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        if not batch.num_rows:
-            continue
+        for at in range(0, batch.num_rows, SLICE):
+            yield batch.slice(at, SLICE)
+
+
+def _coded(batches: Iterator[pa.RecordBatch], index: Index) -> Iterator[pa.RecordBatch]:
+    for batch in _slices(batches):
         x = _unit(batch.column("embedding"), index.dim)
         first = _gaps(x, index.coarse).argmin(axis=1)
         x = x - index.coarse[first]
@@ -322,7 +329,7 @@ def nearest_cell(rows: DataFrame, centres: np.ndarray) -> DataFrame:
         return own
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             lists = batch.column("embedding")
             cells: list[int | None] = [None] * batch.num_rows
             vectors = lists.to_pylist()

@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml.functions import array_to_vector
 
@@ -94,3 +95,17 @@ def test_clusters_by_a_measure(spark):
     got = {r.vec_id: r.cell for r in vi.nearest_cell(frame(spark, [*rows, (7000, None), (7001, [0.0] * 24), (7002, [1.0])]), centres).collect()}
     want = ((m[:, None] - centres[None]) ** 2).sum(axis=2).argmin(axis=1)
     assert got == dict(enumerate(want)) | {7000: None, 7001: None, 7002: None}
+
+
+def test_rows_are_assigned_and_encoded_in_slices(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    rows = pa.RecordBatch.from_pydict({
+        "vec_id": list(range(3000)), "mark": [0] * 3000, "embedding": pa.array(rng.normal(size=(3000, 8)).tolist(), pa.list_(pa.float64()))})
+    index = vi.fit_index(frame(spark, [(i, v) for i, v in enumerate(rows.column("embedding").to_pylist()[:500])]))
+    whole = lambda: [r for b in vi._coded(iter([rows]), index) for r in b.to_pylist()]
+    made, gaps = [], vi._gaps
+    monkeypatch.setattr(vi, "_gaps", lambda x, c: made.append(len(x)) or gaps(x, c))
+    some = whole()
+    assert max(made) == vi.SLICE and [r["vec_id"] for r in some] == list(range(3000))
+    monkeypatch.setattr(vi, "SLICE", 5000)
+    assert some == whole()
