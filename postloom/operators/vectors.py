@@ -26,6 +26,9 @@ BATCH = 64
 # Query vectors travel inside task closures, this many at a time; each block of them reads the corpus once.
 QUERY_BLOCK = 1024
 
+# Scores that a task holds at a time, about.
+SCORES = 1 << 19
+
 # Vectors with one band value that a task compares; more are spread over several tasks.
 TILE = 2048
 
@@ -107,9 +110,8 @@ def _best(qids: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int) -> dict
     return out
 
 
-def _score(batch: pa.RecordBatch | pa.Table, q: np.ndarray) -> np.ndarray:
+def _score(rows: np.ndarray, q: np.ndarray) -> np.ndarray:
     """Cosine of every row with every query, rounded so that equal vectors tie whatever their place in the batch."""
-    rows = _unit_rows(_matrix(batch.column("embedding"), q.shape[1]))
     scores = np.round(rows @ q.T, 9)
     scores[~rows.any(axis=1)] = -np.inf
     return scores
@@ -129,18 +131,23 @@ def _query_blocks(queries: DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]
 
 
 def _hits_of(corpus: DataFrame, q: np.ndarray, qids: np.ndarray, k: int, wanted: np.ndarray | None = None) -> DataFrame:
-    """At most ``k`` hits per query and Arrow batch: one matrix product each. ``wanted[cell, query]`` masks cells."""
+    """At most ``k`` hits per query and Arrow batch: a matrix product for as many queries as give ``SCORES`` scores.
+    ``wanted[cell, query]`` masks cells."""
     unit = _unit_rows(q)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 table = pa.Table.from_batches([batch])
-                scores = _score(table, unit)
-                if wanted is not None:
-                    scores[~wanted[np.asarray(table.column("cell"))]] = -np.inf
-                ids = np.asarray(table.column("vec_id"))
-                yield pa.RecordBatch.from_pydict(_best(qids, ids, scores, k), schema=_HITS_ARROW)
+                rows, ids = _unit_rows(_matrix(table.column("embedding"), unit.shape[1])), np.asarray(table.column("vec_id"))
+                cells = None if wanted is None else np.asarray(table.column("cell"))
+                width = max(1, SCORES // len(ids))
+                for at in range(0, len(qids), width):
+                    some = slice(at, at + width)
+                    scores = _score(rows, unit[some])
+                    if wanted is not None:
+                        scores[~wanted[cells, some]] = -np.inf
+                    yield pa.RecordBatch.from_pydict(_best(qids[some], ids, scores, k), schema=_HITS_ARROW)
 
     return corpus.mapInArrow(run, HITS)
 

@@ -1,6 +1,7 @@
 import os
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -49,6 +50,24 @@ def test_exact_search(spark, data):
     assert hits(found) == brute(corpus, queries, 4)
 
 
+@pytest.mark.parametrize("scores", [1, 700, 1 << 19])
+def test_scores_are_made_for_a_few_queries_at_a_time(monkeypatch, scores):
+    rng = np.random.default_rng(4)
+    corpus, q = (rng.normal(size=(n, 8)).astype("float32").astype("float64") for n in (300, 9))
+    made, score = [], vectors._score
+    monkeypatch.setattr(vectors, "SCORES", scores)
+    monkeypatch.setattr(vectors, "_score", lambda rows, some: made.append(len(rows) * len(some)) or score(rows, some))
+
+    class Corpus:  # runs a task's function here
+        def mapInArrow(self, run, schema):
+            batch = pa.RecordBatch.from_pydict({"vec_id": list(range(300)), "embedding": pa.array(corpus.tolist(), pa.list_(pa.float64()))})
+            return [r for b in run(iter([batch])) for r in b.to_pylist()]
+
+    got = vectors._hits_of(Corpus(), q, np.arange(9), 4)
+    assert {i: [r["vec_id"] for r in got if r["query_id"] == i] for i in range(9)} == brute(corpus.tolist(), q.tolist(), 4)
+    assert max(made) <= max(300, scores) and sum(made) == 2700
+
+
 @pytest.mark.parametrize("block", [1, 3, 1024])
 def test_hits_do_not_depend_on_the_number_of_queries(spark, data, monkeypatch, block):
     corpus, queries = data
