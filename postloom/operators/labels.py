@@ -115,7 +115,7 @@ def gate_errors(vocab: Vocabulary | VocabularyTable) -> Column:
 
 
 def with_entries(df: DataFrame, vocab: VocabularyTable, response: str = "response") -> DataFrame:
-    """Add ``_canon``, the part of the vocabulary that a row's own tokens need, null where none of them is known.
+    """Add ``_canon``, the part of the vocabulary that a row's own tokens need, null or empty where none of them is known.
 
     The tokens of all fields meet the table in one join, and come back to their row by its number, which is written down
     first. A token that many rows share is a skewed key of a plain join, which adaptive execution splits. The planner
@@ -134,8 +134,9 @@ def with_entries(df: DataFrame, vocab: VocabularyTable, response: str = "respons
     ]
     tokens = found.select("_row", F.explode(F.expr(f"array_compact(array_distinct(concat({', '.join(keys)})))")).alias("key"))
     entries = materialize(vocab.entries(), "entries", **{"compression": "none", "parquet.enable.dictionary": "false"})
-    known = tokens.join(entries, "key").groupBy("_row").agg(
-        F.map_from_entries(F.collect_list(F.struct("key", "value"))).alias("_canon"))
+    # An outer join, which can only broadcast the entries; unknown tokens are left out of the list.
+    entry = F.when(F.col("value").isNotNull(), F.struct("key", "value"))
+    known = tokens.join(entries, "key", "left").groupBy("_row").agg(F.map_from_entries(F.collect_list(entry)).alias("_canon"))
     return rows.join(known.hint("merge"), "_row", "left").drop("_row")
 
 

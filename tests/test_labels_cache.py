@@ -194,6 +194,7 @@ def test_what_comes_back_from_a_vocabulary_is_merged(spark, plan, tmp_path):
     spark.range(500).selectExpr("id", """'{"products": ["No ' || id || '"]}' AS response""").write.parquet(f"{tmp_path}/r")
     out = labels.normalize_labels(spark.read.parquet(f"{tmp_path}/r"), VocabularyTable(spark.read.parquet(f"{tmp_path}/v")))
     assert re.search(r"SortMergeJoin \[_row#\d+L?\], \[_row#\d+L?\], LeftOuter", plan(out))
+    assert "BuildLeft" not in plan(out)
     assert out.filter("products = array('kind')").count() == 500
 
 
