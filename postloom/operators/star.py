@@ -84,16 +84,20 @@ def star_columns(table: str) -> list[str]:
     return [f.strip().split(" ")[0] for f in STAR[table].split(", ")]
 
 
-def star_tables(enriched: DataFrame) -> dict[str, DataFrame]:
-    """The six tables of a batch whose ids are unique (see ``last_per_id``). Five scans of one table, no shuffle."""
+def parent_table(enriched: DataFrame) -> DataFrame:
+    """The parent's columns of enriched posts."""
     have = set(enriched.columns)
     parent = enriched.withColumnRenamed("intent", "intent_label") if "intent" in have else enriched
     if "embedding" not in have:
         parent = parent.withColumn("embedding", F.lit(None).cast("array<float>"))
     vector = F.when(F.size("embedding") > 0, F.col("embedding")).alias("embedding")
-    cols = [vector if c == "embedding" else F.col(c) for c in star_columns("tweets")]
+    return parent.select(*[vector if c == "embedding" else F.col(c) for c in star_columns("tweets")])
+
+
+def child_tables(enriched: DataFrame) -> dict[str, DataFrame]:
+    """The five child tables of enriched posts, or of their labels alone."""
+    have = set(enriched.columns)
     return {
-        "tweets": parent.select(*cols),
         "tweet_causes": explode_causes(enriched),
         "tweet_products": explode_products(enriched),
         "tweet_brands": explode_brands(enriched, canonical="brands_canonical" if "brands_canonical" in have else None),
@@ -102,6 +106,11 @@ def star_tables(enriched: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+def star_tables(enriched: DataFrame) -> dict[str, DataFrame]:
+    """The six tables of a batch whose ids are unique (see ``last_per_id``). Five scans of one table, no shuffle."""
+    return {"tweets": parent_table(enriched), **child_tables(enriched)}
+
+
 def upsert(old: DataFrame, new: DataFrame, batch_ids: DataFrame, id_col: str = "tweet_id") -> DataFrame:
     """Replace all rows of the ids in the batch. ``batch_ids`` are the parents' ids, so vanished children go too."""
     return old.join(batch_ids.select(id_col), id_col, "left_anti").unionByName(new.select(*old.columns))
@@ -113,7 +122,7 @@ def vector_json(c: Column) -> Column:
 
 
 __all__ = [
-    "ASPECTS", "BARRIERS", "CAUSES", "CHILDREN", "explode_aspects", "explode_barriers", "explode_brands",
-    "explode_causes", "explode_products", "first_per_id", "first_per_key", "last_per_id", "last_per_key", "star_columns",
-    "star_tables", "upsert", "vector_json",
+    "ASPECTS", "BARRIERS", "CAUSES", "CHILDREN", "child_tables", "explode_aspects", "explode_barriers", "explode_brands",
+    "explode_causes", "explode_products", "first_per_id", "first_per_key", "last_per_id", "last_per_key", "parent_table",
+    "star_columns", "star_tables", "upsert", "vector_json",
 ]

@@ -6,10 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postloom.functions import text
-from postloom.operators import star
-from postloom.plans.enrich_job import EnrichConfig, EnrichResult, enrich_rows
+from postloom.plans.enrich_job import EnrichConfig, EnrichResult, enrich_rows, star_batch
 from postloom.schemas import MERGED_COLUMNS, STAR
-from postloom.session import empty, materialize, tune
+from postloom.session import TEXTS, empty, materialize, tune
 from postloom.sources.cache_store import read_dead_letters
 from postloom.sources.csv_tables import merged_store, ordered_rows
 from postloom.sources.star_store import StarStore, TableStore
@@ -30,12 +29,15 @@ def changed_rows(source: TableStore, since: int, upto: int, owed: DataFrame | No
     as one of theirs once stripped, because the last of such rows makes the post, and the rows of the stripped ids in
     ``owed``. Besides the changed rows, only the id column of the store is read, and rows of such other ids.
     """
+    if not since:
+        # Every row is new, and there is no answer to another text.
+        return source.read("merged", version=upto).select(*_SEEN), empty(source.spark, "tweet_id string")
     own = text.strip(F.col("tweet_id")).alias("_own")
     moved = source.changes(since, upto).filter(~_struct(_SEEN).eqNullSafe(_struct(_SEEN, "_before")))
     moved = materialize(moved.select(
         *_SEEN, own, F.col("_before").isNull().alias("_new"),
         (F.col("_before").isNotNull() & ~_struct(_TEXT).eqNullSafe(_struct(_TEXT, "_before"))).alias("_reworded"),
-    ), "moved")
+    ), "moved", **TEXTS)
     wanted = moved.select("_own")
     if owed is not None:
         wanted = wanted.unionByName(owed.select(F.col("tweet_id").alias("_own")))
@@ -81,9 +83,9 @@ def enrich_changes(
     if result.enriched is None:
         batch = {name: empty(spark, ddl) for name, ddl in STAR.items()}
     else:
-        batch = star.star_tables(result.enriched)
+        batch = star_batch(result)
     ids = rows.select(text.strip(F.col("tweet_id")).alias("tweet_id")).distinct()
     shown = target.read("tweets", ids, held["version"]).select("tweet_id")
     gone = materialize(shown.join(batch["tweets"].select("tweet_id"), "tweet_id", "left_anti"), "gone")
-    result.version = target.load(batch, removed=gone, mark=upto, base=held["version"])
+    result.version = target.load(batch, removed=gone, mark=upto, base=held["version"], folder=result.folder)
     return result

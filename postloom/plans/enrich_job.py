@@ -12,7 +12,7 @@ from postloom.metrics import count_where, counted
 from postloom.operators import annotate as ann
 from postloom.operators import cache as cache_ops
 from postloom.operators import clean, entities, labels, ordering, star, vectors
-from postloom.session import materialize, scratch_path, tune
+from postloom.session import TEXTS, materialize, open_folders, small_batches, tune
 from postloom.sources import cache_store
 from postloom.sources.csv_tables import read_merged
 from postloom.sources.star_store import StarStore
@@ -44,10 +44,14 @@ class EnrichConfig:
 
 @dataclass
 class EnrichResult:
-    """Counters by stage, and the enriched table (None when a stage yielded no rows)."""
+    """Counters by stage, and the enriched table (None when a stage yielded no rows); what a load is made of: the folder
+    its parent has been written to, if any, and the labels of its posts."""
 
     counts: dict[str, int] = field(default_factory=dict)
     enriched: DataFrame | None = None
+    posts: DataFrame | None = None
+    labels: DataFrame | None = None
+    folder: str | None = None
     stopped_after: str | None = None
     version: int | None = None
 
@@ -65,13 +69,17 @@ def run_clean(spark: SparkSession, cfg: EnrichConfig, merged: DataFrame, counts:
     posts = clean.accepted_posts(cleaned)
     if cfg.limit:
         # Finding the last row to keep reads the rows more than once, so they are cleaned once and written first.
-        posts = ordering.take_rows(materialize(posts, "accepted"), "row_ord", cfg.limit)
+        posts = ordering.take_rows(materialize(posts, "accepted", **TEXTS), "row_ord", cfg.limit)
     posts, kept = counted(posts, extracted=F.count(F.lit(1)), spam=count_where(F.col("is_spam")))
     posts = posts.withColumn("_row", F.monotonically_increasing_id())
     if cfg.skip_annotate:
-        posts = materialize(posts, "clean")
+        posts = materialize(posts, "clean", **TEXTS)
     else:
-        posts = materialize(posts.withColumn("chunk", ann.chunk_of("tweet_id", cfg.chunks)), "clean", by="chunk")
+        posts = posts.withColumn("chunk", ann.chunk_of("tweet_id", cfg.chunks))
+        # Row groups so small that a task can hold one for each chunk.
+        block = {"parquet.block.size": str(max(1, 64 // cfg.chunks) << 20)}
+        with open_folders(spark, cfg.chunks):
+            posts = materialize(posts, "clean", by="chunk", **TEXTS, **block)
     counts.update(seen.get)
     counts.update(kept.get)
     return posts
@@ -176,10 +184,15 @@ def enrich(
     tune(spark)
     result = enrich_rows(spark, cfg, read_merged(spark, cfg.input), lookup, noise_terms)
     if result.enriched is not None and not cfg.dry_run:
-        result.version = StarStore(spark, cfg.store).load(star.star_tables(result.enriched))
+        result.version = StarStore(spark, cfg.store).load(star_batch(result), folder=result.folder)
     return result
 
 
+def star_batch(result: EnrichResult) -> dict[str, DataFrame]:
+    """The star tables of a result: posts as they were written, and what their labels hold."""
+    return {"tweets": result.posts if result.folder else star.parent_table(result.posts), **star.child_tables(result.labels)}
+
+
 def enrich_rows(
     spark: SparkSession,
     cfg: EnrichConfig,
@@ -188,7 +201,15 @@ def enrich_rows(
     noise_terms: DataFrame | None = None,
     stale: DataFrame | None = None,
 ) -> EnrichResult:
-    """All stages but the load over merged rows with ``row_ord``; stored answers of ``stale`` ids are asked again."""
+    """All stages but the load over merged rows with ``row_ord``; stored answers of ``stale`` ids are asked again. Unless it
+    is a dry run, the posts are written where the load will have them, so that no text is written again for it."""
+    with small_batches(spark):
+        return _enrich_rows(spark, cfg, merged, lookup, noise_terms, stale)
+
+
+def _enrich_rows(
+    spark: SparkSession, cfg: EnrichConfig, merged: DataFrame, lookup: DataFrame, noise_terms: DataFrame | None, stale: DataFrame | None
+) -> EnrichResult:
     result = EnrichResult()
     posts = run_clean(spark, cfg, merged, result.counts)
     if not result.counts["extracted"]:
@@ -206,21 +227,34 @@ def enrich_rows(
 
     mentions = enriched.select(F.explode("brands_raw.brand_raw").alias("brand_raw"))
     resolved = materialize(entities.resolve_names(mentions, lookup, noise_terms), "names")
-    final = entities.resolve_mentions(enriched, resolved).drop("tweet_id", "row_ord")
-    # A row per post on both sides: never one to broadcast, whatever the planner guesses.
-    final = clean.without_spam(posts).drop("chunk").join(final.hint("merge"), "_row").drop("_row")
+    loaded, found = counted(
+        entities.resolve_mentions(enriched, resolved), mentions=F.coalesce(F.sum(F.size("brands_raw")), F.lit(0))
+    )
+    result.labels = materialize(loaded, "resolved")
+    # A row per post on both sides: never one to broadcast, whatever the planner guesses. Hashing the narrow side spares a
+    # sort of the texts.
+    own = result.labels.select("_row", "intent", "sentiment", "coded_by")
+    final = clean.without_spam(posts).drop("chunk", "row_ord").join(own.hint("shuffle_hash"), "_row").drop("_row")
     if not cfg.skip_embeddings:
         # Last, so that no join above carries a vector.
         final = vectors.embed(with_stored_vectors(spark, cfg, final), cfg.encoder)
     final, seen = counted(
         final,
-        mentions=F.coalesce(F.sum(F.size("brands_raw")), F.lit(0)),
+        posts=F.count(F.lit(1)),
         **({} if cfg.skip_embeddings else {"embedded": count_where(F.col("embedding").isNotNull())}),
     )
-    final = materialize(final, "final")
-    result.counts.update(seen.get)
+    columns, at = final.columns, None
+    if not cfg.dry_run:
+        store = StarStore(spark, cfg.store)
+        result.folder = store.new_load()
+        final, at = star.parent_table(final), store.parent_path(result.folder)
+    result.posts = materialize(final, "final", at=at, **TEXTS)
+    result.counts.update({k: n for k, n in seen.get.items() if k != "posts"})
+    result.counts.update(found.get)
     result.counts.update(name_counts(mentions, resolved))
-    result.enriched = final
+    kept = result.posts if cfg.dry_run else result.posts.withColumnRenamed("intent_label", "intent").select(*columns)
+    others = result.labels.drop("_row", "intent", "sentiment", "coded_by")
+    result.enriched = kept.join(others.hint("shuffle_hash"), "tweet_id")
     return result
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +28,35 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Writer options of tables that hold whole texts.
+TEXTS = {"compression": "zstd"}
+
+
+@contextmanager
+def small_batches(spark: SparkSession, size: str = "4m") -> Iterator[None]:
+    """Inside, rows cross to Python in batches of about ``size`` bytes, however long their texts are: what a worker holds
+    does not follow its input, as it does up to the default of 10,000 rows."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+@contextmanager
+def open_folders(spark: SparkSession, folders: int) -> Iterator[None]:
+    """Inside, a task that writes to up to so many folders keeps a file open in each, instead of sorting its rows by folder."""
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(folders))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach: the one in ``spark.checkpoint.dir``, or a private one in local mode."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -51,10 +82,11 @@ def empty(spark: SparkSession, schema: str) -> DataFrame:
     )
 
 
-def materialize(df: DataFrame, name: str, by: str | None = None, **options: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, by: str | None = None, at: str | None = None, **options: str) -> DataFrame:
     """Write ``df`` once and read it back: the cut point between stages that several outputs share. ``by`` is a column
-    whose values get folders of their own, which a filter on it prunes; ``options`` are those of the writer."""
+    whose values get folders of their own, which a filter on it prunes; ``at`` is a path to write to instead of scratch;
+    ``options`` are those of the writer."""
     spark = df.sparkSession
-    path = scratch_path(spark, name)
+    path = at or scratch_path(spark, name)
     (df.write.partitionBy(by) if by else df.write).options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

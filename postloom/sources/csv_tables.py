@@ -34,7 +34,7 @@ MERGED_STORE = {"merged": ", ".join(f"`{c}` string" for c in MERGED_COLUMNS) + (
 def merged_store(spark: SparkSession, root: str) -> TableStore:
     """The merged table as a store, one row per id, with the file and row in it where the id was first seen, and those
     of the copy that was kept."""
-    return TableStore(spark, root, MERGED_STORE, "merged")
+    return TableStore(spark, root, MERGED_STORE, "merged", texts=True)
 
 
 def read_csv_files(spark: SparkSession, paths: list[str], rank: int = 1) -> DataFrame:

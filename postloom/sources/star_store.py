@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
 from postloom.schemas import STAR
-from postloom.session import empty
-from postloom.sources.files import create_file, list_files, read_text
+from postloom.session import TEXTS, empty, materialize
+from postloom.sources.files import create_file, list_files, read_text, remove_folder
 
 FAN = 8
 
@@ -34,11 +34,12 @@ class Conflict(RuntimeError):
 
 
 class TableStore:
-    """Tables keyed by ``tweet_id``; ``schemas`` maps names to DDL, and ``parent`` names the table that has every id once."""
+    """Tables keyed by ``tweet_id``; ``schemas`` maps names to DDL, and ``parent`` names the table that has every id once.
+    ``texts`` tells that the parent holds whole texts."""
 
-    def __init__(self, spark: SparkSession, root: str, schemas: dict[str, str], parent: str):
+    def __init__(self, spark: SparkSession, root: str, schemas: dict[str, str], parent: str, texts: bool = False):
         self.spark, self.root = spark, root.rstrip("/")
-        self.schemas, self.parent = schemas, parent
+        self.schemas, self.parent, self.texts = schemas, parent, texts
 
     def _manifest(self, version: int) -> str:
         # Twenty digits: names sort like numbers.
@@ -96,7 +97,32 @@ class TableStore:
         last = last.withColumnRenamed("_load", "_last")
         return rows.join(last, "tweet_id").filter(F.col("_load") == F.col("_last")).drop("_last")
 
+    def _replaced(self, loads: list[dict]) -> DataFrame | None:
+        """``(tweet_id, _last)`` of the ids that more than one load has or removes, written down: it is what all rows of a
+        table must meet, and where such ids are few it is broadcast and no row of a table is shuffled. Written plainly, as
+        its size then tells that in memory. None where a single load tells all."""
+        if len(loads) < 2:
+            return None
+        rows, gone = self._rows(self.parent, loads).select("tweet_id", "_load"), self._removed(loads)
+        rows = rows if gone is None else rows.unionByName(gone)
+        seen = rows.groupBy("tweet_id").agg(F.max("_load").alias("_last"), F.min("_load").alias("_first"))
+        seen = seen.filter("_first < _last").drop("_first")
+        return materialize(seen, "replaced", **{"compression": "none", "parquet.enable.dictionary": "false"})
+
+    def _whole(self, table: str, loads: list[dict], replaced: DataFrame | None) -> DataFrame:
+        """All rows of a table: of ids that several loads have those of the last one."""
+        if not loads:
+            return empty(self.spark, self.schemas[table])
+        rows = self._rows(table, loads)
+        columns = [c for c in rows.columns if c != "_load"]
+        if replaced is not None:
+            last = F.coalesce("_last", F.when(F.col("tweet_id").isNotNull(), F.col("_load")))
+            rows = rows.join(replaced, "tweet_id", "left").filter(F.col("_load") == last)
+        return rows.select(*columns)
+
     def _merged(self, table: str, loads: list[dict], ids: DataFrame | None = None) -> DataFrame:
+        if ids is None:
+            return self._whole(table, loads, self._replaced(loads))
         if not loads:
             return empty(self.spark, self.schemas[table])
         rows = self._rows(table, loads)
@@ -104,7 +130,7 @@ class TableStore:
         if len(loads) > 1:
             # An id's rows are those of its last load, in every table.
             rows = self._of_last(rows, self._last(loads, ids))
-        elif ids is not None:
+        else:
             rows = rows.join(ids.distinct(), "tweet_id")
         return rows.select(*columns)
 
@@ -135,51 +161,71 @@ class TableStore:
 
     def tables(self) -> dict[str, DataFrame]:
         loads = self.current()[1]
-        return {t: self._merged(t, loads) for t in self.schemas}
+        replaced = self._replaced(loads)
+        return {t: self._whole(t, loads, replaced) for t in self.schemas}
 
     def register_views(self) -> None:
         """Temporary views named like the tables, for plain SQL."""
         for name, df in self.tables().items():
             df.createOrReplaceTempView(name)
 
-    def _write(self, tables: dict[str, DataFrame], tier: int, removed: DataFrame | None = None) -> dict:
-        folder = f"load-{uuid.uuid4().hex}"
+    def new_load(self) -> str:
+        """Name of a folder for a load whose parent is written before the load, to ``parent_path`` of it."""
+        return f"load-{uuid.uuid4().hex}"
+
+    def parent_path(self, folder: str) -> str:
+        return f"{self.root}/{folder}/{self.parent}"
+
+    def _options(self, table: str) -> dict[str, str]:
+        return TEXTS if self.texts and table == self.parent else {}
+
+    def _write(self, tables: dict[str, DataFrame], tier: int, removed: DataFrame | None = None, folder: str | None = None) -> dict:
+        """Write a load; with ``folder``, in which the parent is already, the other tables."""
         parts = tables if removed is None else {**tables, "removed": removed.select("tweet_id")}
+        if folder:
+            parts = {t: df for t, df in parts.items() if t != self.parent}
+        folder = folder or self.new_load()
 
         def write(table: str) -> None:
-            parts[table].write.parquet(f"{self.root}/{folder}/{table}")
+            parts[table].write.options(**self._options(table)).parquet(f"{self.root}/{folder}/{table}")
 
         # The jobs are independent; the cluster fills one's tail with the next one's tasks.
-        with ThreadPoolExecutor(max_workers=len(parts)) as pool:
+        with ThreadPoolExecutor(max_workers=max(1, len(parts))) as pool:
             list(pool.map(inheritable_thread_target(self.spark)(write), parts))
         return {"folder": folder, "tier": tier, **({} if removed is None else {"removed": True})}
 
     def load(
-        self, batch: dict[str, DataFrame], removed: DataFrame | None = None, mark: int | None = None, base: int | None = None
+        self, batch: dict[str, DataFrame], removed: DataFrame | None = None, mark: int | None = None, base: int | None = None,
+        folder: str | None = None,
     ) -> int:
         """Upsert a batch of all tables with unique parent ids; returns the version that shows it.
 
         Loading the same batch again changes nothing that a reader sees. ``removed`` are ids, none of them in the batch,
         that disappear with it. ``mark`` is kept with the version. Where ``base`` is given and is not the current version,
-        the batch was made from a state that is gone, and nothing is loaded: a Conflict.
+        the batch was made from a state that is gone, and nothing is loaded: a Conflict. ``folder`` is that of ``new_load``
+        where the batch's parent has been written there; else a batch is computed once, as it is written.
         """
-        held = self.state()
-        version, loads = held["version"], held["loads"]
+        version, loads = self.current()
+        held = self.state(version)
         if base is not None and base != version:
             raise Conflict(f"{self.root} is at version {version}, not {base}")
         mark = held["mark"] if mark is None else mark
         if removed is not None and removed.isEmpty():
             removed = None
-        if removed is not None or not batch[self.parent].isEmpty():
-            columns = {t: [c for c in self.spark.createDataFrame([], ddl).columns] for t, ddl in self.schemas.items()}
-            loads = [*loads, self._write({t: batch[t].select(*columns[t]) for t in self.schemas}, 0, removed)]
-        elif mark == held["mark"]:
-            return version
+        columns = {t: [c for c in self.spark.createDataFrame([], ddl).columns] for t, ddl in self.schemas.items()}
+        made = self._write({t: batch[t].select(*columns[t]) for t in self.schemas}, 0, removed, folder)
+        if removed is not None or not self._rows(self.parent, [made]).isEmpty():
+            loads = [*loads, made]
+        else:
+            remove_folder(self.spark, f"{self.root}/{made['folder']}")
+            if mark == held["mark"]:
+                return version
         version = self._publish(version + 1, loads, mark)
         while len(loads) >= FAN and len({load["tier"] for load in loads[-FAN:]}) == 1:
             tail, older = loads[-FAN:], loads[:-FAN]
             # Rebalance packs the small files of many loads and splits large ones.
-            merged = {t: self._merged(t, tail).hint("rebalance") for t in self.schemas}
+            replaced = self._replaced(tail)
+            merged = {t: self._whole(t, tail, replaced).hint("rebalance") for t in self.schemas}
             gone = self._removed(tail) if older else None
             if gone is not None:
                 # A removal still holds against older loads unless a later load of the tail has the id again.
@@ -193,4 +239,4 @@ class StarStore(TableStore):
     """The six tables of the star schema."""
 
     def __init__(self, spark: SparkSession, root: str):
-        super().__init__(spark, root, STAR, "tweets")
+        super().__init__(spark, root, STAR, "tweets", texts=True)

@@ -90,6 +90,27 @@ def test_texts_are_written_where_they_are_made_and_joined_only(spark, job, monke
     assert sorted(t[-1] for t in job.calls()) == list("01234")  # the first copy of 3 was asked
 
 
+def test_a_run_hands_python_small_batches_and_writes_posts_where_they_stay(spark, job, monkeypatch):
+    from postloom.plans import enrich_job
+
+    key, made, write = "spark.sql.execution.arrow.maxBytesPerBatch", {}, enrich_job.materialize
+    before = spark.conf.get(key)
+
+    def watched(df, name, **kw):
+        made[name] = (write(df, name, **kw), spark.conf.get(key), df._jdf.queryExecution().executedPlan().toString())
+        return made[name][0]
+
+    monkeypatch.setattr(enrich_job, "materialize", watched)
+    result = job()
+    assert {made[n][1] for n in ("clean", "answers")} == {"4m"} and spark.conf.get(key) == before
+    star = str(job.path / "star")
+    files = made["final"][0].inputFiles()
+    assert files and all(star in f for f in files) and set(files) == set(job.store.read("tweets").inputFiles())
+    # the texts are hashed to their labels, not sorted
+    assert "ShuffledHashJoin" in made["final"][2] and "Sort" not in made["final"][2]
+    assert sorted(r.tweet_id for r in result.enriched.collect()) == ["1", "2", "6"]
+
+
 def test_few_and_many_misses_ask_the_same_posts(spark, job):
     """Posts are asked by a join with the rows to ask or with the others, whichever are fewer."""
     job(limit=2)

@@ -223,3 +223,29 @@ def test_a_claim_of_a_dead_writer_is_taken_over(spark, tmp_path):
     assert create_file(spark, path, "late", patience=-1)
     assert not create_file(spark, path, "again", patience=-1) and read_text(spark, path) == "late"
     assert sorted(f for f in os.listdir(tmp_path / "m") if not f.endswith(".crc")) == ["1.json", "1.json.claim"]
+
+
+def test_whole_reads_shuffle_no_row_where_few_ids_were_replaced(spark, tmp_path, plan):
+    store = StarStore(spark, str(tmp_path / "s"))
+    store.load(tables(spark, *[post(str(i), products=["p"]) for i in range(9)]))
+    store.load(tables(spark, post("1", "new"), post("9")), removed=spark.createDataFrame([("2",)], "tweet_id string"))
+    whole = store.read("tweets")
+    assert "BroadcastHashJoin" in plan(whole) and "hashpartitioning" not in plan(whole)
+    kept = [(str(i), "new" if i == 1 else "t") for i in range(10) if i != 2]
+    assert rows(whole.select("tweet_id", "full_text")) == kept
+    assert rows(store.read("tweet_products")) == [(str(i), "p") for i in range(9) if i not in (1, 2)]
+
+
+def test_a_load_computes_its_batch_once(spark, tmp_path):
+    store, count = StarStore(spark, str(tmp_path / "s")), spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            count.add(batch.num_rows)
+            yield batch
+
+    batch = tables(spark, post("1"), post("2"))
+    batch["tweets"] = batch["tweets"].coalesce(1).mapInArrow(seen, batch["tweets"].schema)
+    assert store.load(batch) == 1 and count.value == 2
+    none = {t: df.limit(0) for t, df in tables(spark, post("0")).items()}
+    assert store.load(none) == 1 and len([f for f in os.listdir(tmp_path / "s") if f.startswith("load-")]) == 1

@@ -11,7 +11,7 @@ from postloom.plans.enrich_job import EnrichConfig, enrich
 from postloom.plans.export_job import export_star, load_exports
 from postloom.plans.ingest_job import ingest_landing
 from postloom.schemas import STAR
-from postloom.session import scratch_path
+from postloom.session import TEXTS, scratch_path
 from postloom.sources.cache_store import read_cache, read_dead_letters
 from postloom.sources.csv_tables import WRITE, read_merged, write_csv
 from postloom.sources.lookup import lookup_table, noise_table
@@ -77,7 +77,7 @@ def _config(root: str, **options) -> EnrichConfig:
 def finished(spark, sf_dir: str):
     """Folder of a job that has just run over every document, its counters, and its lookup tables."""
     root = scratch_path(spark, "job")
-    merged_documents(spark, sf_dir).write.parquet(f"{root}/merged")
+    merged_documents(spark, sf_dir).write.options(**TEXTS).parquet(f"{root}/merged")
     lookup, noise = lookup_table(spark, LOOKUP), noise_table(spark, ["yang"])
     result = enrich(spark, _config(root), lookup, noise)
     return root, dict(result.counts), lookup, noise
@@ -249,7 +249,7 @@ def stream_to_star(spark, sf_dir):
     ]
     cfg = _config(root, labeller=rule_labeller, skip_embeddings=True, chunks=1)
     for rows in arrivals:
-        rows.write.mode("append").options(**WRITE).csv(f"{root}/landing")
+        rows.write.mode("append").options(**WRITE, compression="gzip").csv(f"{root}/landing")
         ingest_new_files(spark, f"{root}/landing", names, f"{root}/merged", f"{root}/checkpoint")
         enrich_changes(spark, cfg, lookup_table(spark, LOOKUP))
     star = StarStore(spark, f"{root}/star").read("tweets")
