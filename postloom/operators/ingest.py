@@ -102,6 +102,17 @@ def dedup_best(df: DataFrame, id_col: str, score: Column, ord_col: str, seen_col
     return best.select(id_col, "_row.*", "first_ord")
 
 
+def winners(df: DataFrame, id_col: str, score: Column, place: tuple[str, ...], seen_col: str) -> DataFrame:
+    """As ``dedup_best``, for rows that id and ``place`` tell apart, which orders equal scores. The winners are found by
+    these columns alone and written down; whole rows travel once to meet them and are never sorted, as an aggregate that
+    holds them would do on both sides of its shuffle. Reads ``df`` twice."""
+    ranked = F.struct((-score).alias("_score"), *place)
+    best = df.select(id_col, ranked.alias("_rank"), seen_col).groupBy(id_col).agg(
+        F.min("_rank").alias("_rank"), F.min(seen_col).alias("first_ord"))
+    best = materialize(best.select(id_col, *[f"_rank.{c}" for c in place], "first_ord"), "winners")
+    return df.drop(seen_col).join(best.hint("shuffle_hash"), [id_col, *place])
+
+
 def engagement() -> Column:
     """Likes, retweets and comments; three counts of 64 bits need more than 64 for their sum."""
     return sum(safe_int(F.col(c)).cast("decimal(38,0)") for c in ("likes", "retweets", "comments"))

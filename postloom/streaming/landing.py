@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from postloom.operators.ingest import dedup_best, engagement, fill_missing_ids, merge_rows, place_in_file, project_merged
+from postloom.operators.ingest import (
+    backfill_authors, dedup_best, engagement, fill_missing_ids, place_in_file, project_merged, winners,
+)
 from postloom.schemas import MERGED_COLUMNS
 from postloom.session import materialize, tune
 from postloom.sources.csv_tables import READ, merged_store
@@ -59,15 +61,18 @@ def merge_batch(store: TableStore, batch: DataFrame, batch_id: int) -> None:
     rows = place_in_file(project_merged(batch.withColumn("_pos", F.monotonically_increasing_id()), "_file", "_pos"))
     rows = fill_missing_ids(rows, "tweet_id", "source_file", "file_row")
     at = F.struct("source_file", "file_row")
-    fresh = materialize(merge_rows(rows.withColumns({"seen": at, "won": at}), "seen", "won"), "batch")
-    stored = store.read("merged", fresh)
+    fresh = rows.select(*MERGED_COLUMNS, at.alias("seen"), at.alias("won"))
+    stored = store.read("merged", materialize(fresh.select("tweet_id").distinct(), "ids"))
     won = F.struct(F.col("won_file").alias("source_file"), F.col("won_row").alias("file_row"))
     stored = stored.select(*MERGED_COLUMNS, at.alias("seen"), won.alias("won"))
-    merged = dedup_best(stored.unionByName(fresh), "tweet_id", engagement(), "won", "seen")
-    merged = merged.select(
+    # A replayed row meets its own copy, so a row is told by where it comes from, too.
+    both = stored.withColumn("_new", F.lit(False)).unionByName(fresh.withColumn("_new", F.lit(True)))
+    best = winners(both, "tweet_id", engagement(), ("won", "_new"), "seen")
+    # Back-filling stored rows again changes nothing: it has left no field empty that it can fill.
+    merged = backfill_authors(best).select(
         *MERGED_COLUMNS, "first_ord.*", F.col("won.source_file").alias("won_file"), F.col("won.file_row").alias("won_row")
     )
-    store.load({"merged": materialize(merged, "merged")})
+    store.load({"merged": merged})
 
 
 def ingest_new_files(

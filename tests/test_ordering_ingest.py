@@ -3,6 +3,7 @@ import random
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from postloom.operators import ingest, ordering
 from postloom.plans.ingest_job import ingest_landing
@@ -104,3 +105,16 @@ def test_csv_round_trip(spark, tmp_path):
         with open(file, newline="", encoding="utf-8") as f:
             for row in list(csv.reader(f))[1:]:
                 assert (rows[int(row[0]) - 1][1] or "") == row[1]
+
+
+def test_winners_are_those_of_dedup_best_and_rows_are_not_sorted(spark, plan):
+    data = [(f"i{n % 5}", n % 3, (f"f{n % 2}", n), (f"f{n % 4}", n % 7), n % 2 == 0, f"text {n}") for n in range(40)]
+    # a replayed row meets its own copy
+    data += [("i0", 9, ("f9", 1), ("f9", 1), False, "same"), ("i0", 9, ("f9", 1), ("f9", 1), True, "same")]
+    place = "struct<source_file:string,file_row:bigint>"
+    df = spark.createDataFrame(data, f"tweet_id string, n int, won {place}, seen {place}, fresh boolean, v string")
+    best = ingest.winners(df, "tweet_id", F.col("n"), ("won", "fresh"), "seen")
+    old = ingest.dedup_best(df, "tweet_id", F.col("n"), "won", "seen")
+    some = ["tweet_id", "n", "won", "first_ord", "v"]
+    assert sorted(best.select(some).collect()) == sorted(old.select(some).collect())
+    assert "ShuffledHashJoin" in plan(best) and "Sort" not in plan(best)
