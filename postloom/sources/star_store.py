@@ -129,7 +129,9 @@ class TableStore:
         columns = [c for c in rows.columns if c != "_load"]
         if len(loads) > 1:
             # An id's rows are those of its last load, in every table.
-            rows = self._of_last(rows, self._last(loads, ids))
+            # Written down plainly, as what is replaced: few ids are broadcast, and the other rows are not shuffled.
+            last = materialize(self._last(loads, ids), "last", **{"compression": "none", "parquet.enable.dictionary": "false"})
+            rows = self._of_last(rows, last)
         else:
             rows = rows.join(ids.distinct(), "tweet_id")
         return rows.select(*columns)

@@ -249,3 +249,12 @@ def test_a_load_computes_its_batch_once(spark, tmp_path):
     assert store.load(batch) == 1 and count.value == 2
     none = {t: df.limit(0) for t, df in tables(spark, post("0")).items()}
     assert store.load(none) == 1 and len([f for f in os.listdir(tmp_path / "s") if f.startswith("load-")]) == 1
+
+
+def test_reads_of_few_ids_shuffle_no_row(spark, tmp_path, plan):
+    store = StarStore(spark, str(tmp_path / "s"))
+    store.load(tables(spark, *[post(str(i)) for i in range(9)]))
+    store.load(tables(spark, post("1", "new")))
+    some = store.read("tweets", spark.createDataFrame([("1",), ("2",)], "tweet_id string"))
+    assert "BroadcastHashJoin" in plan(some) and "hashpartitioning" not in plan(some)
+    assert rows(some.select("tweet_id", "full_text")) == [("1", "new"), ("2", "t")]
